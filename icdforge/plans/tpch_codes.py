@@ -104,28 +104,33 @@ MCE_LAST_FY = f"least({LAST_FY} + 1, {FY_LAST})"
 MCE_MEMBER = "p_size <= 32"
 
 
-def _edit_case(field_index: int, quote: bool) -> str:
-    """CASE over p_size % 16 selecting one field of the MCE edit-type table."""
-    whens = []
-    for i, row in enumerate(MCE_EDIT_TYPES):
-        v = row[field_index]
-        whens.append(f"when {i} then " + (f"'{v}'" if quote else str(v)))
-    return f"case p_size % 16 {' '.join(whens)} end"
-
-
-MCE_STAGE: list[tuple[str, str]] = [
-    ("mce_section", _edit_case(0, False)),
-    ("mce_sub0", _edit_case(1, True)),
-    ("mce_type", _edit_case(2, True)),
-    ("mce_code_type", _edit_case(3, True)),
-    ("mce_version", _s(f"fy - {MCE_VERSION_OFFSET}")),
-]
-MCE_STAGE2: list[tuple[str, str]] = [
-    # section 8 is relabelled 8 A from FY 2000 on
-    ("mce_sub", "case when mce_section = 8 and fy >= 2000 then 'A' else mce_sub0 end"),
-    ("mce_code", "case when mce_code_type = 'P' then px_code else dx_code end"),
-    ("mce_desc", "substring(short, 1, 64)"),
-]
+def _edit_field(field_index: int, quote: bool, dialect: str) -> str:
+    """Field of the MCE edit-type table picked by ``p_size % 16``: a lookup
+    in a constant array (folded to one literal by both engines)."""
+    vals = [(f"'{row[field_index]}'" if quote else str(row[field_index])) for row in MCE_EDIT_TYPES]
+    idx = "cast(p_size % 16 + 1 as integer)"
+    if dialect == "spark":
+        return f"element_at(array({', '.join(vals)}), {idx})"
+    return f"[{', '.join(vals)}][{idx}]"
+
+
+def mce_stages(dialect: str) -> list[list[tuple[str, str]]]:
+    return [
+        [
+            ("mce_section", _edit_field(0, False, dialect)),
+            ("mce_sub0", _edit_field(1, True, dialect)),
+            ("mce_type", _edit_field(2, True, dialect)),
+            ("mce_code_type", _edit_field(3, True, dialect)),
+            ("mce_version", _s(f"fy - {MCE_VERSION_OFFSET}")),
+        ],
+        [
+            # section 8 is relabelled 8 A from FY 2000 on
+            ("mce_sub", "case when mce_section = 8 and fy >= 2000 then 'A' else mce_sub0 end"),
+            ("mce_code", "case when mce_code_type = 'P' then px_code else dx_code end"),
+            ("mce_desc", "substring(short, 1, 64)"),
+        ],
+    ]
+
 
 # File names of the adapter's releases, as SQL over ``fy``.
 FILE_NAMES = {
@@ -185,7 +190,8 @@ def part_releases(spark: SparkSession, sf_dir: str, mce: bool = False) -> DataFr
     for st in STAGES:
         df = _stage(df, st)
     if mce:
-        df = _stage(_stage(df, MCE_STAGE), MCE_STAGE2)
+        for st in mce_stages("spark"):
+            df = _stage(df, st)
     return df
 
 
@@ -251,5 +257,6 @@ def duck_part_releases(mce: bool = False) -> str:
     for st in STAGES:
         sql = duck_stage(sql, st)
     if mce:
-        sql = duck_stage(duck_stage(sql, MCE_STAGE), MCE_STAGE2)
+        for st in mce_stages("duckdb"):
+            sql = duck_stage(sql, st)
     return sql
