@@ -38,6 +38,18 @@ def _let(bindings: dict[str, Column], body) -> Column:
     return F.transform(packed, lambda r: body({k: r[k] for k in bindings}))[0]
 
 
+def materialize(df: DataFrame, cols: list[Column]) -> DataFrame:
+    """``df.select(*cols)`` evaluated exactly once per row.
+
+    Filters on the result (the reject split, downstream predicates) would
+    otherwise be pushed below the projection with every column expression
+    substituted at each reference, re-evaluating (and, through stacked
+    projections, multiplying) the parse work.  A one-row ``inline`` generator
+    is an evaluation boundary the optimizer does not push filters through.
+    """
+    return df.select(F.inline(F.array(F.struct(*cols))))
+
+
 def _null_if_empty(c: Column) -> Column:
     return F.when(c == "", F.lit(None).cast("string")).otherwise(c)
 
@@ -74,7 +86,7 @@ def parse_fixed(lines: DataFrame, layout: Layout) -> DataFrame:
     out = [F.col(c) for c in _passthrough(lines)]
     out += [field(v, by_name[n]).alias(n) for n in layout.rowset_order]
     out += [v.alias(RAW), _let({"v": v}, reason).alias(REASON)]
-    return lines.select(*out)
+    return materialize(lines, out)
 
 
 def _parse_split(lines: DataFrame, layout: Layout, body: Column, sep_regex: str, struct_checks) -> DataFrame:
@@ -101,7 +113,7 @@ def _parse_split(lines: DataFrame, layout: Layout, body: Column, sep_regex: str,
     out = [F.col(c) for c in _passthrough(lines)]
     out += [fields[n].alias(n) for n in layout.rowset_order]
     out += [F.col("value").alias(RAW), _let({"v": F.col("value"), "p": F.col(_PARTS)}, reason).alias(REASON)]
-    return staged.select(*out)
+    return materialize(staged, out)
 
 
 def parse_quoted_bar(lines: DataFrame, layout: Layout) -> DataFrame:
