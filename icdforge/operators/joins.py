@@ -15,12 +15,22 @@ from pyspark.sql import functions as F
 
 # Characters of upper-cased ICD codes, in byte order.  Base 36 keeps that
 # order, so a code prefix maps to an integer and a range of prefixes to a
-# ``sequence``.
-_CODE_ALPHABET_RE = "^[0-9A-Z]+$"
+# ``sequence``.  Prefixes shorter than k are padded with the lowest ('0') or
+# highest ('Z') character, which keeps the order (padding with the minimum is
+# monotone), so every code in [lo, hi] has its padded prefix in
+# [pad0(prefix(lo)), padZ(prefix(hi))].
+_PREFIX_OK = "^[0-9A-Z]*$"
 
 
-def _prefix_number(c: Column, k: int) -> Column:
-    return F.conv(F.substring(c, 1, k), 36, 10).cast("bigint")
+def _checked(prefix: Column, what: str) -> Column:
+    return F.when(prefix.rlike(_PREFIX_OK), prefix).otherwise(
+        F.raise_error(F.concat(F.lit(f"{what} must start with upper-case letters or digits: "), prefix))
+    )
+
+
+def _prefix_number(c: Column, k: int, pad: str, what: str) -> Column:
+    p = _checked(F.substring(c, 1, k), what)
+    return F.conv(F.rpad(p, k, pad), 36, 10).cast("bigint")
 
 
 def _number_prefix(n: Column, k: int) -> Column:
@@ -40,34 +50,18 @@ def expand_ranges(
     Each range is exploded into the code prefixes (first ``prefix_len``
     characters) it can touch - at most 36**prefix_len per range, usually one
     or two - and joined to the codes on the prefix as an equi-key; the exact
-    ``between`` is applied on the joined rows.  Codes and bounds must be
-    upper-case alphanumeric and at least ``prefix_len`` long; other ranges or
-    codes raise through :func:`range_input_problems` in tests and are skipped
-    here rather than matched wrongly.
+    ``between`` is applied on the joined rows.  The first ``prefix_len``
+    characters of codes and bounds must be upper-case letters or digits (ICD
+    codes are); anything else fails the query instead of being skipped.
+    Ranges with ``lo > hi`` are empty.
     """
     k = prefix_len
-    r = ranges.filter(
-        F.col(lo_col).rlike(_CODE_ALPHABET_RE)
-        & F.col(hi_col).rlike(_CODE_ALPHABET_RE)
-        & (F.length(lo_col) >= k)
-        & (F.length(hi_col) >= k)
-        & (F.col(lo_col) <= F.col(hi_col))
-    )
+    lo, hi = F.col(lo_col), F.col(hi_col)
+    r = ranges.filter(lo.isNotNull() & hi.isNotNull() & (lo <= hi))
     r = r.withColumn(
         "_prefix",
-        F.explode(F.sequence(_prefix_number(F.col(lo_col), k), _prefix_number(F.col(hi_col), k))),
+        F.explode(F.sequence(_prefix_number(lo, k, "0", "range bound"), _prefix_number(hi, k, "Z", "range bound"))),
     ).withColumn("_prefix", _number_prefix(F.col("_prefix"), k))
-    c = codes.withColumn("_prefix", F.substring(F.col(code_col), 1, k))
+    c = codes.withColumn("_prefix", F.rpad(_checked(F.substring(F.col(code_col), 1, k), "code"), k, "0"))
     joined = c.join(r, on="_prefix", how="inner")
-    return joined.filter((F.col(code_col) >= F.col(lo_col)) & (F.col(code_col) <= F.col(hi_col))).drop("_prefix")
-
-
-def range_input_problems(ranges: DataFrame, lo_col: str = "Range_Lo", hi_col: str = "Range_Hi", prefix_len: int = 3) -> DataFrame:
-    bad = ~(
-        F.col(lo_col).rlike(_CODE_ALPHABET_RE)
-        & F.col(hi_col).rlike(_CODE_ALPHABET_RE)
-        & (F.length(lo_col) >= prefix_len)
-        & (F.length(hi_col) >= prefix_len)
-        & (F.col(lo_col) <= F.col(hi_col))
-    )
-    return ranges.filter(bad)
+    return joined.filter((F.col(code_col) >= lo) & (F.col(code_col) <= hi)).drop("_prefix")

@@ -161,21 +161,38 @@ def version_of(fy: int) -> int:
     return 10 if fy >= ICD10_FROM else 9
 
 
+_MANIFESTS: dict = {}
+
+
 def adapter_manifest(spark: SparkSession, kind: str) -> DataFrame:
     """Release manifest of the adapter calendar (one row per fiscal year;
-    bounded by the calendar, so it is safe to broadcast)."""
-    if kind == "mce":
-        return mce_manifest(spark, [(f"{fy - MCE_VERSION_OFFSET}", version_of(fy), fy) for fy in FISCAL_YEARS])
-    return manifest(spark, [(version_of(fy), fy, _py_file_name(kind, version_of(fy), fy)) for fy in FISCAL_YEARS])
+    bounded by the calendar, so it is safe to broadcast).  Built once per
+    session."""
+    key = (id(spark._jsparkSession), kind)
+    if key not in _MANIFESTS:
+        if kind == "mce":
+            m = mce_manifest(spark, [(f"{fy - MCE_VERSION_OFFSET}", version_of(fy), fy) for fy in FISCAL_YEARS])
+        else:
+            m = manifest(spark, [(version_of(fy), fy, _py_file_name(kind, version_of(fy), fy)) for fy in FISCAL_YEARS])
+        _MANIFESTS[key] = m
+    return _MANIFESTS[key]
 
 
 # ---------------------------------------------------------------- Spark side --
+_TABLES: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Parquet table of the driver's data set (file listing done once per session)."""
+    key = (id(spark._jsparkSession), sf_dir, name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _TABLES[key]
 
 
 def _stage(df: DataFrame, stage: list[tuple[str, str]]) -> DataFrame:
-    return df.select("*", *[F.expr(e).alias(n) for n, e in stage])
+    # one call per stage: expressions are parsed JVM-side in a batch
+    return df.selectExpr("*", *[f"{e} AS {n}" for n, e in stage])
 
 
 def part_releases(spark: SparkSession, sf_dir: str, mce: bool = False) -> DataFrame:
@@ -186,7 +203,7 @@ def part_releases(spark: SparkSession, sf_dir: str, mce: bool = False) -> DataFr
     if mce:
         part = part.filter(F.expr(MCE_MEMBER))
     last = MCE_LAST_FY if mce else LAST_FY
-    df = part.select("*", F.explode(F.sequence(F.expr(FIRST_FY), F.expr(last))).alias("fy"))
+    df = part.selectExpr("*", f"explode(sequence({FIRST_FY}, {last})) AS fy")
     for st in STAGES:
         df = _stage(df, st)
     if mce:
@@ -238,7 +255,7 @@ def release_lines(spark: SparkSession, sf_dir: str, kind: str, version: int | No
             if version == 9:
                 pr = pr.filter(F.col("fy") != POA_SHARED[1])  # shared file holds the FY 1996 content
         name = FILE_NAMES[(table if kind == "desc" else kind, version)]
-    return pr.select(F.expr(line_expr(kind, version, table)).alias("value"), F.expr(name).alias(FILE_NAME))
+    return pr.selectExpr(f"{line_expr(kind, version, table)} AS value", f"{name} AS {FILE_NAME}")
 
 
 # --------------------------------------------------------------- DuckDB side --
