@@ -139,10 +139,9 @@ def release_of_date(df: DataFrame, date_col: str, manifest_df: DataFrame, how: s
     interval is then checked as part of the join condition, which keeps the
     result exact for manifests whose intervals are not whole fiscal years.
     """
-    m = (
-        manifest_df.select("ICD_Version", "CMS_Fiscal_Year", "Effective_Date", "End_Date")
-        .distinct()
-        .withColumn("_rel_fy", F.col("CMS_Fiscal_Year"))
+    # one row per release (the manifests' contract): no de-duplication shuffle
+    m = manifest_df.select(
+        "ICD_Version", "CMS_Fiscal_Year", "Effective_Date", "End_Date", F.col("CMS_Fiscal_Year").alias("_rel_fy")
     )
     d = df.withColumn("_svc_fy", fiscal_year(F.col(date_col)))
     cond = (

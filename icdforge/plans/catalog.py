@@ -446,17 +446,18 @@ def claim_codes(spark, sf):
         F.expr(f"case when {CLAIM_FY} >= {T.ICD10_FROM} then 10 else 9 end").alias("ver"),
     )
     for st in CODE_EXPRS:
-        j = j.select("*", *[F.expr(e).alias(n) for n, e in st])
-    seq = F.struct(F.col("l_linenumber"), F.col("p_partkey"))
-    dx = j.select(
-        "claim_id", seq.alias("seq"), F.lit("D").alias("ICD_Code_Type"),
-        F.expr("case when ver = 10 then code10 else code9 end").alias("ICD_Code"),
+        j = j.selectExpr("*", *[f"{e} AS {n}" for n, e in st])
+    # both code types of a line from one pass over the joined lines
+    dx = F.struct(F.lit("D").alias("t"), F.expr("case when ver = 10 then code10 else code9 end").alias("c"))
+    px = F.when(
+        F.col("l_quantity") >= 30,
+        F.struct(F.lit("P").alias("t"), F.expr("case when ver = 10 then px10 else px9 end").alias("c")),
     )
-    px = j.filter("l_quantity >= 30").select(
-        "claim_id", seq.alias("seq"), F.lit("P").alias("ICD_Code_Type"),
-        F.expr("case when ver = 10 then px10 else px9 end").alias("ICD_Code"),
+    seq = F.struct(F.col("l_linenumber"), F.col("p_partkey"))
+    return (
+        j.select("claim_id", seq.alias("seq"), F.explode(F.filter(F.array(dx, px), lambda x: x.isNotNull())).alias("_c"))
+        .select("claim_id", "seq", F.col("_c.t").alias("ICD_Code_Type"), F.col("_c.c").alias("ICD_Code"))
     )
-    return dx.unionByName(px)
 
 
 def claim_context(spark, sf):
