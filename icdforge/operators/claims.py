@@ -56,6 +56,18 @@ def claim_codes_from_arrays(claims: DataFrame, dx_col: str = "dx", px_col: str =
     return dx.unionByName(px).select("claim_id", "seq", "ICD_Code_Type", "ICD_Code")
 
 
+def principal_seq(codes: DataFrame) -> DataFrame:
+    """(claim_id, Principal_Seq): lowest ``seq`` among a claim's diagnoses.
+
+    With a numeric ``seq`` this is a hash aggregate with map-side partial
+    aggregation."""
+    return (
+        codes.filter(F.col("ICD_Code_Type") == "D")
+        .groupBy("claim_id")
+        .agg(F.min("seq").alias("Principal_Seq"))
+    )
+
+
 def principal_diagnoses(codes: DataFrame) -> DataFrame:
     """(claim_id, Principal_Seq, Principal_Code): the diagnosis with the lowest ``seq``."""
     first = F.min(F.struct(F.col("seq").alias("s"), F.col("ICD_Code").alias("c")))
@@ -69,12 +81,10 @@ def principal_diagnoses(codes: DataFrame) -> DataFrame:
 
 def mark_principal(codes: DataFrame) -> DataFrame:
     """Add ``Is_Principal`` ('Y'/'N') to every claim code."""
-    p = principal_diagnoses(codes)
+    p = principal_seq(codes)
     j = codes.join(p, on="claim_id", how="left")
     is_p = (F.col("ICD_Code_Type") == "D") & (F.col("seq") == F.col("Principal_Seq"))
-    return j.withColumn("Is_Principal", F.when(is_p, F.lit("Y")).otherwise(F.lit("N"))).drop(
-        "Principal_Seq", "Principal_Code"
-    )
+    return j.withColumn("Is_Principal", F.when(is_p, F.lit("Y")).otherwise(F.lit("N"))).drop("Principal_Seq")
 
 
 def claims_with_release(claims: DataFrame, manifest_df: DataFrame) -> DataFrame:

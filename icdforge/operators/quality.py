@@ -29,10 +29,14 @@ def key_collisions(new_rows: DataFrame, kept_rows: DataFrame, keys: Sequence[str
 
 
 def _exploded_report(df: DataFrame, id_cols: Sequence[str], entries: list[F.Column]) -> DataFrame:
-    """One pass: build an array of violation structs per row and explode it;
-    rows without violations explode to nothing, so no filter is needed."""
-    arr = F.filter(F.array(*entries), lambda x: x.isNotNull())
-    return df.select(*id_cols, F.explode(arr).alias("_e")).select(*id_cols, "_e.*")
+    """One pass: an array of (possibly NULL) violation structs per row,
+    exploded and filtered (the filter sits above the generator, so it is not
+    pushed back into the projection)."""
+    return (
+        df.select(*id_cols, F.explode(F.array(*entries)).alias("_e"))
+        .filter(F.col("_e").isNotNull())
+        .select(*id_cols, "_e.*")
+    )
 
 
 def null_violations(df: DataFrame, columns: Sequence[str], id_cols: Sequence[str]) -> DataFrame:

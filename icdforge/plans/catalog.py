@@ -44,6 +44,24 @@ EXTERNAL_PREFIXES = {9: ("E",), 10: ("V", "W", "X", "Y")}
 
 
 # =============================================================== Spark side ==
+_PLANS: dict = {}
+
+
+def _memo(fn):
+    """Build a derived table's plan once per (session, data set): queries
+    that share it reuse the same lazy DataFrame (no data is cached)."""
+
+    def wrapper(spark, sf, *args):
+        key = (fn.__name__, id(spark._jsparkSession), sf, args)
+        if key not in _PLANS:
+            _PLANS[key] = fn(spark, sf, *args)
+        return _PLANS[key]
+
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def _load(spark, sf, kind, version, table="dx", lines=None):
     if lines is None:
         lines = T.release_lines(spark, sf, kind, version, table)
@@ -53,14 +71,17 @@ def _load(spark, sf, kind, version, table="dx", lines=None):
     return good
 
 
+@_memo
 def dx_rows(spark, sf, version):
     return _load(spark, sf, "desc", version, "dx").select(*DX_COLS)
 
 
+@_memo
 def dx_union(spark, sf):
     return dx_rows(spark, sf, 9).unionByName(dx_rows(spark, sf, 10))
 
 
+@_memo
 def px_union(spark, sf):
     def one(v):
         return _load(spark, sf, "desc", v, "proc").withColumnRenamed("Diagnosis_Code", "Procedure_Code").select(*PX_COLS)
@@ -68,18 +89,22 @@ def px_union(spark, sf):
     return one(9).unionByName(one(10))
 
 
+@_memo
 def poa_rows(spark, sf, version):
     return _load(spark, sf, "poa", version).select(*POA_COLS)
 
 
+@_memo
 def poa_union(spark, sf):
     return poa_rows(spark, sf, 9).unionByName(poa_rows(spark, sf, 10))
 
 
+@_memo
 def mce_rows(spark, sf):
     return _load(spark, sf, "mce", None).select(*MCE_COLS)
 
 
+@_memo
 def code_tables(spark, sf):
     return analytics.code_dimension(dx_union(spark, sf), px_union(spark, sf))
 
@@ -407,21 +432,32 @@ def q_length_profile(spark, sf):
 
 
 # ---------------------------------------------------------------- claims ----
-CODE_EXPRS = [
-    [
-        ("code10", f"{T._letter('p_partkey')} || lpad(cast(p_partkey as string), 6, '0')"),
-        ("px10", f"'0' || {T._letter('p_partkey')} || lpad(cast(p_partkey as string), 5, '0')"),
-        ("r10", "p_partkey % 10"),
-        ("q10", "cast((p_partkey - p_partkey % 10) / 10 as bigint)"),
-        ("px9", T._zpad("p_partkey", "3 + p_partkey % 2")),
-    ],
-    [T.STAGES[1][0]],  # code9
-]
+def _code9(p: str) -> str:
+    r, q = f"{p} % 10", f"cast(({p} - {p} % 10) / 10 as bigint)"
+    return (
+        f"case when {r} = 0 then 'E' || {T._zpad(q, f'3 + {q} % 2')}"
+        f" when {r} = 1 then 'V' || {T._zpad(q, f'2 + {q} % 3')}"
+        f" else {T._zpad(p, f'3 + {p} % 3')} end"
+    )
+
+
+# claim codes of a part, only the branch of the claim's version is evaluated
+CLAIM_DX = (
+    f"case when ver = 10 then {T._letter('p_partkey')} || lpad(cast(p_partkey as string), 6, '0')"
+    f" else {_code9('p_partkey')} end"
+)
+CLAIM_PX = (
+    f"case when ver = 10 then '0' || {T._letter('p_partkey')} || lpad(cast(p_partkey as string), 5, '0')"
+    f" else {T._zpad('p_partkey', '3 + p_partkey % 2')} end"
+)
+# claim line order (line number, part key) as one orderable number
+SEQ_SCALE = 10**12
 CLAIM_FY = (
     f"cast(year(cast(o_orderdate as date)) + case when month(cast(o_orderdate as date)) >= 10 then 1 else 0 end as integer)"
 )
 
 
+@_memo
 def claim_headers(spark, sf):
     o = T.read_table(spark, sf, "orders")
     return o.select(
@@ -433,6 +469,7 @@ def claim_headers(spark, sf):
     )
 
 
+@_memo
 def claim_codes(spark, sf):
     """Long claim codes: each line item gives its part's diagnosis code, lines
     with quantity >= 30 also its procedure code, in the claim's ICD version."""
@@ -445,21 +482,18 @@ def claim_codes(spark, sf):
         "l_quantity",
         F.expr(f"case when {CLAIM_FY} >= {T.ICD10_FROM} then 10 else 9 end").alias("ver"),
     )
-    for st in CODE_EXPRS:
-        j = j.selectExpr("*", *[f"{e} AS {n}" for n, e in st])
     # both code types of a line from one pass over the joined lines
-    dx = F.struct(F.lit("D").alias("t"), F.expr("case when ver = 10 then code10 else code9 end").alias("c"))
-    px = F.when(
-        F.col("l_quantity") >= 30,
-        F.struct(F.lit("P").alias("t"), F.expr("case when ver = 10 then px10 else px9 end").alias("c")),
-    )
-    seq = F.struct(F.col("l_linenumber"), F.col("p_partkey"))
+    dx = F.struct(F.lit("D").alias("t"), F.expr(CLAIM_DX).alias("c"))
+    px = F.when(F.col("l_quantity") >= 30, F.struct(F.lit("P").alias("t"), F.expr(CLAIM_PX).alias("c")))
+    seq = F.col("l_linenumber").cast("bigint") * SEQ_SCALE + F.col("p_partkey")
     return (
-        j.select("claim_id", seq.alias("seq"), F.explode(F.filter(F.array(dx, px), lambda x: x.isNotNull())).alias("_c"))
+        j.select("claim_id", seq.alias("seq"), F.explode(F.array(dx, px)).alias("_c"))
+        .filter(F.col("_c").isNotNull())
         .select("claim_id", "seq", F.col("_c.t").alias("ICD_Code_Type"), F.col("_c.c").alias("ICD_Code"))
     )
 
 
+@_memo
 def claim_context(spark, sf):
     rel = claims.claims_with_release(claim_headers(spark, sf), T.adapter_manifest(spark, "dx"))
     return claims.claim_code_context(claim_codes(spark, sf), rel)

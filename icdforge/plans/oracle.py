@@ -111,17 +111,16 @@ FROM orders LEFT JOIN man m ON {FY_OF.format(d='o_orderdate')} = m.CMS_Fiscal_Ye
     "cl0": f"""SELECT l_orderkey AS claim_id, l_partkey AS p_partkey, l_linenumber, l_quantity,
   CASE WHEN {FY_OF.format(d='o_orderdate')} >= {T.ICD10_FROM} THEN 10 ELSE 9 END AS ver
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
-    "cl1": T.duck_stage(T.duck_stage("SELECT * FROM cl0", C.CODE_EXPRS[0]), C.CODE_EXPRS[1]),
-    "ccodes": """SELECT claim_id, l_linenumber, p_partkey, 'D' AS ICD_Code_Type,
-  CASE WHEN ver = 10 THEN code10 ELSE code9 END AS ICD_Code FROM cl1
-UNION ALL SELECT claim_id, l_linenumber, p_partkey, 'P' AS ICD_Code_Type,
-  CASE WHEN ver = 10 THEN px10 ELSE px9 END AS ICD_Code FROM cl1 WHERE l_quantity >= 30""",
-    "principal": """SELECT claim_id, min(cast(l_linenumber as bigint) * 1000000000 + p_partkey) AS pkey
+    "cl1": "SELECT * FROM cl0",
+    "ccodes": f"""SELECT claim_id, l_linenumber, p_partkey, 'D' AS ICD_Code_Type, {C.CLAIM_DX} AS ICD_Code FROM cl1
+UNION ALL SELECT claim_id, l_linenumber, p_partkey, 'P' AS ICD_Code_Type, {C.CLAIM_PX} AS ICD_Code
+FROM cl1 WHERE l_quantity >= 30""",
+    "principal": """SELECT claim_id, min(cast(l_linenumber as bigint) * 1000000000000 + p_partkey) AS pkey
 FROM ccodes WHERE ICD_Code_Type = 'D' GROUP BY claim_id""",
     "pcode": """SELECT DISTINCT c.claim_id, c.ICD_Code AS Principal_Code FROM ccodes c JOIN principal p
-  ON c.claim_id = p.claim_id AND c.ICD_Code_Type = 'D' AND cast(c.l_linenumber as bigint) * 1000000000 + c.p_partkey = p.pkey""",
+  ON c.claim_id = p.claim_id AND c.ICD_Code_Type = 'D' AND cast(c.l_linenumber as bigint) * 1000000000000 + c.p_partkey = p.pkey""",
     "ctx": """SELECT c.claim_id, c.ICD_Code_Type, c.ICD_Code,
-  CASE WHEN c.ICD_Code_Type = 'D' AND cast(c.l_linenumber as bigint) * 1000000000 + c.p_partkey = p.pkey
+  CASE WHEN c.ICD_Code_Type = 'D' AND cast(c.l_linenumber as bigint) * 1000000000000 + c.p_partkey = p.pkey
        THEN 'Y' ELSE 'N' END AS Is_Principal,
   h.age, h.sex, h.los_hours, h.CMS_Fiscal_Year, h.ICD_Version
 FROM ccodes c LEFT JOIN principal p ON c.claim_id = p.claim_id JOIN hdr h ON c.claim_id = h.claim_id""",

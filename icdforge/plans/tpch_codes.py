@@ -183,10 +183,20 @@ _TABLES: dict = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table of the driver's data set (file listing done once per session)."""
+    """Parquet table of the driver's data set (file listing done once per session).
+
+    A table stored as fewer splits than the session has cores (a small file
+    with one row group) is spread round-robin over the cores first, because
+    the derivations multiply its rows and the parse work would otherwise run
+    in a single task.  Large tables (many splits) are read as they are.
+    """
     key = (id(spark._jsparkSession), sf_dir, name)
     if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+        _TABLES[key] = df
     return _TABLES[key]
 
 

@@ -26,18 +26,6 @@ def _first_reason(checks: list[tuple[Column, str]]) -> Column:
     return F.coalesce(*[F.when(cond, F.lit(reason)) for cond, reason in checks], F.lit(None).cast("string"))
 
 
-def _let(bindings: dict[str, Column], body) -> Column:
-    """Evaluate ``body`` with each binding computed once per row.
-
-    The checks of a layout refer to the line and its split fields many
-    times; the optimizer pushes the reject filter below the parse projection
-    by substituting those expressions at every reference.  Binding them as
-    the single element of a one-element array keeps one reference each.
-    """
-    packed = F.array(F.struct(*[c.alias(k) for k, c in bindings.items()]))
-    return F.transform(packed, lambda r: body({k: r[k] for k in bindings}))[0]
-
-
 def materialize(df: DataFrame, cols: list[Column]) -> DataFrame:
     """``df.select(*cols)`` evaluated exactly once per row.
 
@@ -73,19 +61,16 @@ def parse_fixed(lines: DataFrame, layout: Layout) -> DataFrame:
             return F.substring(line, starts[f.name], 1 << 30)
         return F.substring(line, starts[f.name], f.width)
 
-    def reason(b):
-        line = b["v"]
-        return _first_reason(
-            [
-                (F.length(line) < layout.min_length, "line_too_short"),
-                (F.length(field(line, last)) > last.width, f"field_too_long:{last.name}"),
-            ]
-        )
-
+    reason = _first_reason(
+        [
+            (F.length(v) < layout.min_length, "line_too_short"),
+            (F.length(field(v, last)) > last.width, f"field_too_long:{last.name}"),
+        ]
+    )
     by_name = {f.name: f for f in layout.fields}
     out = [F.col(c) for c in _passthrough(lines)]
     out += [field(v, by_name[n]).alias(n) for n in layout.rowset_order]
-    out += [v.alias(RAW), _let({"v": v}, reason).alias(REASON)]
+    out += [v.alias(RAW), reason.alias(REASON)]
     return materialize(lines, out)
 
 
@@ -93,26 +78,19 @@ def _parse_split(lines: DataFrame, layout: Layout, body: Column, sep_regex: str,
     n = len(layout.fields)
     staged = lines.select(*_passthrough(lines), F.col("value"), F.split(body, sep_regex, -1).alias(_PARTS))
 
-    def fields_of(parts: Column) -> dict[str, Column]:
-        return {f.name: _null_if_empty(F.get(parts, i)) for i, f in enumerate(layout.fields)}
-
-    def reason(b):
-        parts = b["p"]
-        fields = fields_of(parts)
-        checks = list(struct_checks(b["v"]))
-        checks.append((F.size(parts) != n, "field_count"))
-        for f in layout.fields:
-            checks.append((F.coalesce(F.length(fields[f.name]), F.lit(0)) > f.width, f"field_too_long:{f.name}"))
-        for name in layout.int_fields:
-            checks.append(
-                (fields[name].isNotNull() & fields[name].try_cast("int").isNull(), f"not_an_integer:{name}")
-            )
-        return _first_reason(checks)
-
-    fields = fields_of(F.col(_PARTS))
+    parts = F.col(_PARTS)
+    fields = {f.name: _null_if_empty(F.get(parts, i)) for i, f in enumerate(layout.fields)}
+    checks = list(struct_checks(F.col("value")))
+    checks.append((F.size(parts) != n, "field_count"))
+    for f in layout.fields:
+        checks.append((F.coalesce(F.length(fields[f.name]), F.lit(0)) > f.width, f"field_too_long:{f.name}"))
+    for name in layout.int_fields:
+        checks.append((fields[name].isNotNull() & fields[name].try_cast("int").isNull(), f"not_an_integer:{name}"))
     out = [F.col(c) for c in _passthrough(lines)]
     out += [fields[n].alias(n) for n in layout.rowset_order]
-    out += [F.col("value").alias(RAW), _let({"v": F.col("value"), "p": F.col(_PARTS)}, reason).alias(REASON)]
+    out += [F.col("value").alias(RAW), _first_reason(checks).alias(REASON)]
+    # the line and its split are computed once below the boundary; every
+    # field and check reads them as attributes
     return materialize(staged, out)
 
 
