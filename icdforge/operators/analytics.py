@@ -179,12 +179,15 @@ def release_delta(dim: DataFrame, pairs: DataFrame, code_col: str, desc_col: str
     return j.withColumn("Change", change).filter(F.col("Change").isNotNull())
 
 
-def unapply_delta(dim: DataFrame, delta: DataFrame, code_col: str, desc_col: str = "Code_Desc_Long") -> DataFrame:
+def unapply_delta(
+    dim: DataFrame, delta: DataFrame, pairs: DataFrame, code_col: str, desc_col: str = "Code_Desc_Long"
+) -> DataFrame:
     """Rebuild each earlier release from the later one and the delta (B13):
-    drop added codes, restore revised descriptions, put deleted codes back."""
+    drop added codes, restore revised descriptions, put deleted codes back.
+    ``pairs`` (one row per release pair, from :func:`release_pairs`) is
+    broadcast."""
     newer = dim.select(VER, F.col(FY).alias("To_FY"), code_col, F.col(desc_col).alias("_desc"))
-    pairs = F.broadcast(delta.select(VER, "From_FY", "To_FY").distinct())
-    newer = newer.join(pairs, on=[VER, "To_FY"], how="inner")
+    newer = newer.join(F.broadcast(pairs.select(VER, "From_FY", "To_FY")), on=[VER, "To_FY"], how="inner")
     d = delta.select(VER, "From_FY", "To_FY", code_col, "Change", "Old_Desc")
     kept = (
         newer.join(d, on=[VER, "From_FY", "To_FY", code_col], how="left")

@@ -79,9 +79,12 @@ def principal_diagnoses(codes: DataFrame) -> DataFrame:
     )
 
 
-def mark_principal(codes: DataFrame) -> DataFrame:
-    """Add ``Is_Principal`` ('Y'/'N') to every claim code."""
-    p = principal_seq(codes)
+def mark_principal(codes: DataFrame, principal: DataFrame | None = None) -> DataFrame:
+    """Add ``Is_Principal`` ('Y'/'N') to every claim code.
+
+    ``principal`` (claim_id, Principal_Seq) may be given when the caller
+    can derive it more cheaply than from ``codes``."""
+    p = principal if principal is not None else principal_seq(codes)
     j = codes.join(p, on="claim_id", how="left")
     is_p = (F.col("ICD_Code_Type") == "D") & (F.col("seq") == F.col("Principal_Seq"))
     return j.withColumn("Is_Principal", F.when(is_p, F.lit("Y")).otherwise(F.lit("N"))).drop("Principal_Seq")
@@ -132,9 +135,9 @@ def unchecked_rule() -> Column:
     )
 
 
-def claim_code_context(codes: DataFrame, claims_rel: DataFrame) -> DataFrame:
+def claim_code_context(codes: DataFrame, claims_rel: DataFrame, principal: DataFrame | None = None) -> DataFrame:
     """Claim codes with principal marker and the claim's release, age, sex, LOS."""
-    return mark_principal(codes).join(claims_rel, on="claim_id", how="inner")
+    return mark_principal(codes, principal).join(claims_rel, on="claim_id", how="inner")
 
 
 def apply_edits(context: DataFrame, edits: DataFrame, **rule_params) -> DataFrame:

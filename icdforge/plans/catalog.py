@@ -414,7 +414,7 @@ def q_release_delta(spark, sf):
 def q_delta_unapply(spark, sf):
     dx = dx_union(spark, sf)
     delta = analytics.release_delta(dx, _pairs(spark), "Diagnosis_Code")
-    return analytics.unapply_delta(dx, delta, "Diagnosis_Code")
+    return analytics.unapply_delta(dx, delta, _pairs(spark), "Diagnosis_Code")
 
 
 def q_release_identity(spark, sf):
@@ -493,10 +493,20 @@ def claim_codes(spark, sf):
     )
 
 
+@_memo
+def claim_principal(spark, sf):
+    """Principal line of each claim straight from ``lineitem``: every line
+    carries a diagnosis, so the lowest (line number, part) is the principal
+    (a hash aggregate on one number, no join)."""
+    li = T.read_table(spark, sf, "lineitem")
+    seq = F.col("l_linenumber").cast("bigint") * SEQ_SCALE + F.col("l_partkey")
+    return li.groupBy(F.col("l_orderkey").alias("claim_id")).agg(F.min(seq).alias("Principal_Seq"))
+
+
 @_memo
 def claim_context(spark, sf):
     rel = claims.claims_with_release(claim_headers(spark, sf), T.adapter_manifest(spark, "dx"))
-    return claims.claim_code_context(claim_codes(spark, sf), rel)
+    return claims.claim_code_context(claim_codes(spark, sf), rel, claim_principal(spark, sf))
 
 
 def q_claim_edits(spark, sf):

@@ -88,16 +88,33 @@ def prepare_table(spark: SparkSession, table: str, spec: TableSpec, action: str,
     return name
 
 
-def insert(df: DataFrame, spark: SparkSession, name: str, spec: TableSpec, sort_col: str | None = None) -> None:
+def insert(
+    df: DataFrame,
+    spark: SparkSession,
+    name: str,
+    spec: TableSpec,
+    sort_col: str | None = None,
+    max_rows_per_file: int = 2_000_000,
+) -> None:
     """Append rows by name: columns are put in the table's order (partition
-    columns last); rows are clustered so each release is written by one
-    task as one file, sorted by code for min/max skipping."""
+    columns last); rows are clustered by release, sorted by code (min/max
+    skipping on code lookups).  A release larger than ``max_rows_per_file``
+    is spread over several tasks/files by a hash of the code, so one big
+    release never lands in a single task."""
+    from pyspark.sql import functions as F
+
     cols = spark.table(name).columns
     parts = [c for c in spec.partition_by if c in cols]
     out = df.select(*cols)
     if parts:
+        # one row per release reaches the driver
+        largest = out.groupBy(*parts).count().agg(F.max("count")).first()[0] or 0
+        buckets = max(1, -(-int(largest) // max_rows_per_file))
+        keys = [F.col(p) for p in parts]
+        if buckets > 1 and sort_col:
+            keys.append(F.pmod(F.hash(F.col(sort_col)), F.lit(buckets)))
         order = parts + ([sort_col] if sort_col else [])
-        out = out.repartition(*parts).sortWithinPartitions(*order)
+        out = out.repartition(*keys).sortWithinPartitions(*order)
     out.write.insertInto(name, overwrite=False)
 
 

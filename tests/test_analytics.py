@@ -48,6 +48,6 @@ def test_delta_unapply_is_inverse(spark, rows):
     man = spark.createDataFrame([(10, 2001), (10, 2002), (10, 2003)], "ICD_Version INT, CMS_Fiscal_Year INT")
     pairs = analytics.release_pairs(man)
     delta = analytics.release_delta(df, pairs, "Diagnosis_Code")
-    rebuilt = sorted(tuple(r) for r in analytics.unapply_delta(df, delta, "Diagnosis_Code").collect())
+    rebuilt = sorted(tuple(r) for r in analytics.unapply_delta(df, delta, pairs, "Diagnosis_Code").collect())
     actual = sorted(tuple(r) for r in df.filter("CMS_Fiscal_Year < 2003").select("ICD_Version", "CMS_Fiscal_Year", "Diagnosis_Code", "Code_Desc_Long").collect())
     assert rebuilt == actual
