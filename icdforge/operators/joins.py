@@ -10,31 +10,62 @@ shuffled sort-merge join otherwise; AQE's skew-join rule splits hot keys.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Characters of upper-cased ICD codes, in byte order.  Base 36 keeps that
-# order, so a code prefix maps to an integer and a range of prefixes to a
-# ``sequence``.  Prefixes shorter than k are padded with the lowest ('0') or
-# highest ('Z') character, which keeps the order (padding with the minimum is
-# monotone), so every code in [lo, hi] has its padded prefix in
-# [pad0(prefix(lo)), padZ(prefix(hi))].
-_PREFIX_OK = "^[0-9A-Z]*$"
+# Code alphabet in byte order and the longest code: ICD-9/10 codes are at
+# most 7 upper-case letters or digits.
+CODE_ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+MAX_CODE_LENGTH = 7
+_CODE_OK = "^[0-9A-Z]*$"
 
 
-def _checked(prefix: Column, what: str) -> Column:
-    return F.when(prefix.rlike(_PREFIX_OK), prefix).otherwise(
-        F.raise_error(F.concat(F.lit(f"{what} must start with upper-case letters or digits: "), prefix))
-    )
+def range_cover(lo: str, hi: str, alphabet: str = CODE_ALPHABET, max_len: int = MAX_CODE_LENGTH) -> list[str]:
+    """Canonical cover of the code range [lo, hi] (byte order) in the trie of
+    codes over ``alphabet`` up to ``max_len`` characters.
+
+    Returns entries ``P:<prefix>`` (every code starting with the prefix is in
+    the range) and ``E:<code>`` (that exact code is in the range).  Covered
+    subtrees are disjoint, so each code in the range matches exactly one
+    entry through one of its prefixes or itself, and no code outside matches.
+    At most about 2 * len(alphabet) * max_len entries per range.
+    """
+    if lo is None or hi is None or lo > hi:
+        return []
+    top = alphabet[-1]
+    out: list[str] = []
+
+    def visit(p: str) -> None:
+        last = p + top * (max_len - len(p))  # largest code in the subtree
+        if last < lo or p > hi:
+            return
+        if p >= lo and last <= hi:
+            out.append("P:" + p)
+            return
+        if lo <= p <= hi and p:
+            out.append("E:" + p)  # the node itself is a code in range
+        if len(p) < max_len:
+            for ch in alphabet:
+                visit(p + ch)
 
+    visit("")
+    return out
 
-def _prefix_number(c: Column, k: int, pad: str, what: str) -> Column:
-    p = _checked(F.substring(c, 1, k), what)
-    return F.conv(F.rpad(p, k, pad), 36, 10).cast("bigint")
 
+def _cover_udf(alphabet: str, max_len: int):
+    @F.pandas_udf("array<string>")
+    def cover(lo: pd.Series, hi: pd.Series) -> pd.Series:
+        return pd.Series([range_cover(a, b, alphabet, max_len) for a, b in zip(lo, hi)])
 
-def _number_prefix(n: Column, k: int) -> Column:
-    return F.lpad(F.upper(F.conv(n.cast("string"), 10, 36)), k, "0")
+    return cover
+
+
+def _code_keys(code: Column) -> Column:
+    """Join keys of a code: ``E:<code>`` and ``P:<prefix>`` for each prefix
+    (including the empty one and the code itself)."""
+    prefixes = F.transform(F.sequence(F.lit(0), F.length(code)), lambda i: F.concat(F.lit("P:"), F.substring(code, 1, i)))
+    return F.concat(F.array(F.concat(F.lit("E:"), code)), prefixes)
 
 
 def expand_ranges(
@@ -43,25 +74,24 @@ def expand_ranges(
     code_col: str,
     lo_col: str = "Range_Lo",
     hi_col: str = "Range_Hi",
-    prefix_len: int = 3,
+    alphabet: str = CODE_ALPHABET,
+    max_len: int = MAX_CODE_LENGTH,
 ) -> DataFrame:
-    """Range join ``lo <= code <= hi`` (byte order) without a nested loop.
-
-    Each range is exploded into the code prefixes (first ``prefix_len``
-    characters) it can touch - at most 36**prefix_len per range, usually one
-    or two - and joined to the codes on the prefix as an equi-key; the exact
-    ``between`` is applied on the joined rows.  The first ``prefix_len``
-    characters of codes and bounds must be upper-case letters or digits (ICD
-    codes are); anything else fails the query instead of being skipped.
-    Ranges with ``lo > hi`` are empty.
+    """Range join ``lo <= code <= hi`` (byte order) as an exact equi-join.
+
+    Each range becomes its trie cover (:func:`range_cover`, a small per-row
+    helper run as an Arrow-batched pandas UDF), each code its <= max_len + 2
+    keys; the equi-join on the key returns exactly the matching (code, range)
+    pairs - no candidate pairs are generated and filtered, so a prefix shared
+    by many codes and ranges costs only the true output.  Codes must consist
+    of ``alphabet`` characters and be at most ``max_len`` long; others fail
+    the query instead of being skipped.  Ranges with ``lo > hi`` are empty.
     """
-    k = prefix_len
-    lo, hi = F.col(lo_col), F.col(hi_col)
-    r = ranges.filter(lo.isNotNull() & hi.isNotNull() & (lo <= hi))
-    r = r.withColumn(
-        "_prefix",
-        F.explode(F.sequence(_prefix_number(lo, k, "0", "range bound"), _prefix_number(hi, k, "Z", "range bound"))),
-    ).withColumn("_prefix", _number_prefix(F.col("_prefix"), k))
-    c = codes.withColumn("_prefix", F.rpad(_checked(F.substring(F.col(code_col), 1, k), "code"), k, "0"))
-    joined = c.join(r, on="_prefix", how="inner")
-    return joined.filter((F.col(code_col) >= lo) & (F.col(code_col) <= hi)).drop("_prefix")
+    code = F.col(code_col)
+    bad = ~code.rlike(_CODE_OK) | (F.length(code) > max_len) if alphabet == CODE_ALPHABET else (
+        F.length(code) > max_len
+    )
+    checked = F.when(bad, F.raise_error(F.concat(F.lit("code outside the code alphabet or too long: "), code))).otherwise(code)
+    c = codes.withColumn("_key", F.explode(_code_keys(checked)))
+    r = ranges.withColumn("_key", F.explode(_cover_udf(alphabet, max_len)(F.col(lo_col), F.col(hi_col))))
+    return c.join(r, on="_key", how="inner").drop("_key")

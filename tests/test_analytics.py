@@ -25,9 +25,26 @@ def test_range_join_matches_brute_force(spark):
     got = sorted(tuple(r) for r in expand_ranges(cdf, rdf, "Diagnosis_Code").select("Range_Lo", "Range_Hi", "Diagnosis_Code").collect())
     want = sorted((lo, hi, c) for lo, hi in ranges for c in codes if lo <= c <= hi)
     assert got == want
-    bad = spark.createDataFrame([("a1", "b2")], "Range_Lo STRING, Range_Hi STRING")
+    bad_codes = spark.createDataFrame([("a1",)], "Diagnosis_Code STRING")
     with pytest.raises(Exception):
-        expand_ranges(cdf, bad, "Diagnosis_Code").collect()
+        expand_ranges(bad_codes, rdf, "Diagnosis_Code").collect()
+
+
+def test_range_cover_exact():
+    import itertools
+
+    from icdforge.operators.joins import range_cover
+
+    alpha = "0AB"
+    universe = ["".join(t) for n in range(0, 4) for t in itertools.product(alpha, repeat=n)]
+    for lo, hi in [("", "BBB"), ("0A", "B0"), ("A", "A"), ("AB0", "B"), ("B", "A"), ("0", "0BB"), ("A0A", "A0B")]:
+        cov = range_cover(lo, hi, alpha, 3)
+        matched = [u for u in universe if ("E:" + u) in cov or any(("P:" + u[:i]) in cov for i in range(len(u) + 1))]
+        assert sorted(matched) == sorted(u for u in universe if lo <= u <= hi), (lo, hi)
+        # disjoint: no code matches twice
+        for u in matched:
+            hits = (("E:" + u) in cov) + sum(("P:" + u[:i]) in cov for i in range(len(u) + 1))
+            assert hits == 1, (lo, hi, u)
 
 
 dims = st.dictionaries(
