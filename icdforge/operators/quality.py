@@ -104,3 +104,18 @@ def functional_dependency_report(
         .agg(F.countDistinct("_val").cast("int").alias("n_distinct"))
         .withColumn("key_kind", F.lit(label))
     )
+
+
+# --- fixed values: diagnosis codes whose descriptions carry accents --------
+ACCENT_CHECK_CODES = ("0413", "04671", "38600", "38601", "38602", "38603", "38604")
+# -----------------------------------------------------------------------------
+
+
+def accent_check(dx: DataFrame, codes=ACCENT_CHECK_CODES, code_col: str = "Diagnosis_Code") -> DataFrame:
+    """Rows of the named codes with a flag telling whether their descriptions
+    kept non-ASCII characters (a wrong code page turns them into '?' or
+    mojibake)."""
+    non_ascii = F.col("Code_Desc_Long").rlike("[^\\x00-\\x7F]") | F.col("Code_Desc_Short").rlike("[^\\x00-\\x7F]")
+    return dx.filter(F.col(code_col).isin(*codes)).withColumn(
+        "Has_Accents", F.when(non_ascii, F.lit("Y")).otherwise(F.lit("N"))
+    )

@@ -31,6 +31,30 @@ def test_diagnosis_load_both_layouts(spark, tmp_path):
     assert types["Diagnosis_Code"] in ("string", "varchar(7)")
 
 
+def test_accent_check_after_load(spark, tmp_path):
+    from icdforge.operators import quality
+
+    FX.write_dx(str(tmp_path))
+    jobs.load_diagnosis(spark, str(tmp_path), table="dx_acc", releases_=FX.DX_RELEASES)
+    got = [(r.Diagnosis_Code, r.Has_Accents) for r in quality.accent_check(spark.table("dx_acc")).collect()]
+    assert got == [("0413", "Y")]
+
+
+def test_poa_semi_anti(spark, tmp_path):
+    from icdforge.operators import analytics
+
+    FX.write_dx(str(tmp_path))
+    FX.write_poa(str(tmp_path))
+    jobs.load_diagnosis(spark, str(tmp_path), table="dx_sa", releases_=FX.DX_RELEASES)
+    jobs.load_poa_exempt(spark, str(tmp_path), table="poa_sa", releases_=FX.POA_RELEASES)
+    dx, poa = spark.table("dx_sa"), spark.table("poa_sa")
+    exempt = {r.Diagnosis_Code for r in analytics.poa_exempt_only(dx, poa).collect()}
+    required = {r.Diagnosis_Code for r in analytics.poa_required_only(dx, poa).collect()}
+    assert exempt == {"V1919"} and required == {"0413", "66070", "O0910", "T82857D"}
+    flags = {r.Diagnosis_Code: r.Is_POA_Exempt for r in analytics.poa_flag(dx, poa).collect()}
+    assert flags["V1919"] == "Y" and flags["0413"] == "N"
+
+
 def test_rejects_are_captured(spark, tmp_path):
     FX.write_dx(str(tmp_path), rejects=True)
     with pytest.raises(LoadCheckError):
