@@ -10,7 +10,6 @@ shuffled sort-merge join otherwise; AQE's skew-join rule splits hot keys.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,12 +52,43 @@ def range_cover(lo: str, hi: str, alphabet: str = CODE_ALPHABET, max_len: int =
     return out
 
 
-def _cover_udf(alphabet: str, max_len: int):
-    @F.pandas_udf("array<string>")
-    def cover(lo: pd.Series, hi: pd.Series) -> pd.Series:
-        return pd.Series([range_cover(a, b, alphabet, max_len) for a, b in zip(lo, hi)])
+def range_cover_column(lo: str, hi: str, alphabet: str = CODE_ALPHABET, max_len: int = MAX_CODE_LENGTH) -> Column:
+    """:func:`range_cover` as a built-in expression over columns ``lo``, ``hi``.
 
-    return cover
+    Only nodes on the paths of ``lo`` and ``hi`` can straddle a bound, so the
+    candidates are those path nodes and their children; a candidate is a
+    ``P:`` entry when its subtree lies inside the range and no ancestor's
+    does, a path node is an ``E:`` entry when it is itself in the range but
+    its subtree is not.  Evaluated once per range row.
+    """
+    top = alphabet[-1]
+    chars = ",".join(alphabet)
+    L = int(max_len)
+
+    def covered(x: str) -> str:
+        return f"({x} >= {lo} AND concat({x}, repeat('{top}', {L} - length({x}))) <= {hi})"
+
+    def ancestor_covered(x: str) -> str:
+        return f"(length({x}) > 0 AND exists(sequence(0, length({x}) - 1), i -> {covered(f'substring({x}, 1, i)')}))"
+
+    path = (
+        f"filter(array_distinct(flatten(transform(sequence(0, {L}), d -> array("
+        f"case when d <= length({lo}) then substring({lo}, 1, d) end, "
+        f"case when d <= length({hi}) then substring({hi}, 1, d) end)))), x -> x is not null)"
+    )
+    children = (
+        f"flatten(transform(filter({path}, b -> length(b) < {L}), "
+        f"b -> transform(split('{chars}', ','), ch -> concat(b, ch))))"
+    )
+    prefixes = (
+        f"transform(filter(array_distinct(concat({path}, {children})), "
+        f"x -> {covered('x')} AND NOT {ancestor_covered('x')}), x -> concat('P:', x))"
+    )
+    exact = (
+        f"transform(filter({path}, x -> length(x) > 0 AND x >= {lo} AND x <= {hi} AND NOT {covered('x')}"
+        f" AND NOT {ancestor_covered('x')}), x -> concat('E:', x))"
+    )
+    return F.expr(f"case when {lo} <= {hi} then concat({prefixes}, {exact}) else array() end")
 
 
 def _code_keys(code: Column) -> Column:
@@ -79,9 +109,9 @@ def expand_ranges(
 ) -> DataFrame:
     """Range join ``lo <= code <= hi`` (byte order) as an exact equi-join.
 
-    Each range becomes its trie cover (:func:`range_cover`, a small per-row
-    helper run as an Arrow-batched pandas UDF), each code its <= max_len + 2
-    keys; the equi-join on the key returns exactly the matching (code, range)
+    Each range becomes its trie cover (:func:`range_cover_column`, built-in
+    higher-order functions evaluated once per range), each code its
+    <= max_len + 2 keys; the equi-join on the key returns exactly the matching (code, range)
     pairs - no candidate pairs are generated and filtered, so a prefix shared
     by many codes and ranges costs only the true output.  Codes must consist
     of ``alphabet`` characters and be at most ``max_len`` long; others fail
@@ -93,5 +123,5 @@ def expand_ranges(
     )
     checked = F.when(bad, F.raise_error(F.concat(F.lit("code outside the code alphabet or too long: "), code))).otherwise(code)
     c = codes.withColumn("_key", F.explode(_code_keys(checked)))
-    r = ranges.withColumn("_key", F.explode(_cover_udf(alphabet, max_len)(F.col(lo_col), F.col(hi_col))))
+    r = ranges.withColumn("_key", F.explode(range_cover_column(f"`{lo_col}`", f"`{hi_col}`", alphabet, max_len)))
     return c.join(r, on="_key", how="inner").drop("_key")

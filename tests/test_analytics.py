@@ -68,3 +68,21 @@ def test_delta_unapply_is_inverse(spark, rows):
     rebuilt = sorted(tuple(r) for r in analytics.unapply_delta(df, delta, pairs, "Diagnosis_Code").collect())
     actual = sorted(tuple(r) for r in df.filter("CMS_Fiscal_Year < 2003").select("ICD_Version", "CMS_Fiscal_Year", "Diagnosis_Code", "Code_Desc_Long").collect())
     assert rebuilt == actual
+
+
+def test_cover_expression_matches_reference(spark):
+    import random as _r
+
+    from icdforge.operators.joins import range_cover, range_cover_column
+
+    rnd = _r.Random(3)
+    alpha = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    pairs = [("", "ZZZZZZZ"), ("A", "A"), ("V1", "V2"), ("B", "A"), ("E800", "E8099")]
+    for _ in range(60):
+        a = "".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 7)))
+        b = "".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 7)))
+        pairs.append((min(a, b), max(a, b)))
+    df = spark.createDataFrame(pairs, "lo STRING, hi STRING")
+    got = {(r.lo, r.hi): sorted(r.cov) for r in df.select("lo", "hi", range_cover_column("lo", "hi").alias("cov")).collect()}
+    for lo, hi in pairs:
+        assert got[(lo, hi)] == sorted(range_cover(lo, hi)), (lo, hi)
