@@ -47,18 +47,16 @@ class LoadResult:
 def resolve_paths(spark: SparkSession, source_dir: str, names: Iterable[str]) -> dict[str, str]:
     """Map manifest file names to paths in ``source_dir``, matching names
     case-insensitively (release names differ in case between sources).
-    Uses the Hadoop file system of the path, so it works on any cluster
-    storage; only the directory listing reaches the driver."""
+
+    The folder is listed by Spark itself (``binaryFile`` source with only the
+    path column, so no file content is read); only the listing - one row per
+    file in the folder - reaches the driver."""
     if source_dir is None:
         raise ValueError("source_dir is required")
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(source_dir)
-    fs = path.getFileSystem(conf)
-    listing = {}
-    for st in fs.listStatus(path):
-        if st.isFile():
-            listing.setdefault(st.getPath().getName().lower(), st.getPath().toString())
+    listing_df = spark.read.format("binaryFile").load(source_dir).select("path")
+    listing: dict[str, str] = {}
+    for (path,) in listing_df.collect():
+        listing.setdefault(path.rsplit("/", 1)[-1].lower(), path)
     out, missing = {}, []
     for n in names:
         p = listing.get(n.lower())
