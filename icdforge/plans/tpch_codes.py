@@ -205,10 +205,21 @@ def _stage(df: DataFrame, stage: list[tuple[str, str]]) -> DataFrame:
     return df.selectExpr("*", *[f"{e} AS {n}" for n, e in stage])
 
 
+_RELEASES: dict = {}
+
+
 def part_releases(spark: SparkSession, sf_dir: str, mce: bool = False) -> DataFrame:
     """One row per (part, fiscal year it is released in) with derived codes
     and texts.  ``mce=True`` gives the MCE membership instead (parts up to
-    size 32, one extra year after deletion)."""
+    size 32, one extra year after deletion).  The plan is built once per
+    session and data set."""
+    key = (id(spark._jsparkSession), sf_dir, mce)
+    if key not in _RELEASES:
+        _RELEASES[key] = _part_releases(spark, sf_dir, mce)
+    return _RELEASES[key]
+
+
+def _part_releases(spark: SparkSession, sf_dir: str, mce: bool) -> DataFrame:
     part = read_table(spark, sf_dir, "part").select(P, "p_name", "p_type", "p_size")
     if mce:
         part = part.filter(F.expr(MCE_MEMBER))
