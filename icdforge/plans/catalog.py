@@ -473,7 +473,7 @@ def claim_headers(spark, sf):
 def claim_codes(spark, sf):
     """Long claim codes: each line item gives its part's diagnosis code, lines
     with quantity >= 30 also its procedure code, in the claim's ICD version."""
-    li = T.read_table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    li = T.spread(T.read_table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity"))
     o = T.read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.col("l_orderkey").alias("claim_id"),

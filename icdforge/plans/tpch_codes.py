@@ -183,23 +183,24 @@ _TABLES: dict = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table of the driver's data set (file listing done once per session).
-
-    A table stored as fewer splits than the session has cores (a small file
-    with one row group) is spread round-robin over the cores first, because
-    the derivations multiply its rows and the parse work would otherwise run
-    in a single task.  Large tables (many splits) are read as they are.
-    """
+    """Parquet table of the driver's data set (file listing done once per session)."""
     key = (id(spark._jsparkSession), sf_dir, name)
     if key not in _TABLES:
-        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-        _TABLES[key] = df
+        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return _TABLES[key]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input stored as fewer splits than the session has cores (a
+    small file with one row group) round-robin over the cores, before work
+    that multiplies its rows or runs heavy per-row expressions; otherwise a
+    single task would do it all.  Inputs with enough splits are unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def _stage(df: DataFrame, stage: list[tuple[str, str]]) -> DataFrame:
     # one call per stage: expressions are parsed JVM-side in a batch
     return df.selectExpr("*", *[f"{e} AS {n}" for n, e in stage])
@@ -220,7 +221,7 @@ def part_releases(spark: SparkSession, sf_dir: str, mce: bool = False) -> DataFr
 
 
 def _part_releases(spark: SparkSession, sf_dir: str, mce: bool) -> DataFrame:
-    part = read_table(spark, sf_dir, "part").select(P, "p_name", "p_type", "p_size")
+    part = spread(read_table(spark, sf_dir, "part").select(P, "p_name", "p_type", "p_size"))
     if mce:
         part = part.filter(F.expr(MCE_MEMBER))
     last = MCE_LAST_FY if mce else LAST_FY
