@@ -49,10 +49,12 @@ _PLANS: dict = {}
 
 def _memo(fn):
     """Build a derived table's plan once per (session, data set): queries
-    that share it reuse the same lazy DataFrame (no data is cached)."""
+    that share it reuse the same lazy DataFrame (no data is cached).  The
+    cached DataFrames keep their session alive, so its ``id`` cannot be
+    reused by another session while the entry exists."""
 
     def wrapper(spark, sf, *args):
-        key = (fn.__name__, id(spark._jsparkSession), sf, args)
+        key = (fn.__name__, id(spark), sf, args)
         if key not in _PLANS:
             _PLANS[key] = fn(spark, sf, *args)
         return _PLANS[key]

@@ -168,7 +168,7 @@ def adapter_manifest(spark: SparkSession, kind: str) -> DataFrame:
     """Release manifest of the adapter calendar (one row per fiscal year;
     bounded by the calendar, so it is safe to broadcast).  Built once per
     session."""
-    key = (id(spark._jsparkSession), kind)
+    key = (id(spark), kind)
     if key not in _MANIFESTS:
         if kind == "mce":
             m = mce_manifest(spark, [(f"{fy - MCE_VERSION_OFFSET}", version_of(fy), fy) for fy in FISCAL_YEARS])
@@ -184,7 +184,7 @@ _TABLES: dict = {}
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet table of the driver's data set (file listing done once per session)."""
-    key = (id(spark._jsparkSession), sf_dir, name)
+    key = (id(spark), sf_dir, name)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return _TABLES[key]
@@ -214,7 +214,7 @@ def part_releases(spark: SparkSession, sf_dir: str, mce: bool = False) -> DataFr
     and texts.  ``mce=True`` gives the MCE membership instead (parts up to
     size 32, one extra year after deletion).  The plan is built once per
     session and data set."""
-    key = (id(spark._jsparkSession), sf_dir, mce)
+    key = (id(spark), sf_dir, mce)
     if key not in _RELEASES:
         _RELEASES[key] = _part_releases(spark, sf_dir, mce)
     return _RELEASES[key]
