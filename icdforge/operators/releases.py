@@ -132,16 +132,21 @@ def attach_release(rows: DataFrame, manifest_df: DataFrame, on: str = FILE_NAME)
 
 
 def release_of_date(df: DataFrame, date_col: str, manifest_df: DataFrame, how: str = "left") -> DataFrame:
-    """As-of lookup: the release in effect on ``date_col``.
-
-    Releases are fiscal years, so the fiscal year of the date is an equi-key
-    (hash join on a broadcast manifest, no nested loop); the validity
-    interval is then checked as part of the join condition, which keeps the
-    result exact for manifests whose intervals are not whole fiscal years.
+    """As-of lookup: the release in effect on ``date_col`` (validity bounds
+    inclusive).
+
+    Each manifest row is listed under every fiscal year its validity interval
+    touches (one for fiscal-year releases), so the fiscal year of the date is
+    an equi-key - a hash join against the broadcast manifest instead of a
+    nested loop - and the interval itself is checked in the join condition.
+    Exact for any intervals; the manifest stays one row per release and year.
     """
-    # one row per release (the manifests' contract): no de-duplication shuffle
     m = manifest_df.select(
-        "ICD_Version", "CMS_Fiscal_Year", "Effective_Date", "End_Date", F.col("CMS_Fiscal_Year").alias("_rel_fy")
+        "ICD_Version",
+        "CMS_Fiscal_Year",
+        "Effective_Date",
+        "End_Date",
+        F.explode(F.sequence(fiscal_year(F.col("Effective_Date")), fiscal_year(F.col("End_Date")))).alias("_rel_fy"),
     )
     d = df.withColumn("_svc_fy", fiscal_year(F.col(date_col)))
     cond = (

@@ -58,3 +58,19 @@ def test_invalid_codes(spark):
     inv = claims.invalid_codes(claims.claim_code_context(codes, rel), dims).collect()
     # claims 1-3 are FY 2019 (all codes known); claim 4 is FY 2018 (none known)
     assert sorted({r.claim_id for r in inv}) == [4]
+
+
+def test_release_of_date_any_interval(spark):
+    man = spark.createDataFrame(
+        [
+            (10, 2016, dt.date(2015, 10, 1), dt.date(2016, 3, 31)),
+            (10, 2016, dt.date(2016, 4, 1), dt.date(2018, 9, 30)),
+        ],
+        "ICD_Version INT, CMS_Fiscal_Year INT, Effective_Date DATE, End_Date DATE",
+    )
+    d = spark.createDataFrame(
+        [(1, dt.date(2016, 1, 1)), (2, dt.date(2016, 4, 1)), (3, dt.date(2017, 12, 1)), (4, dt.date(2019, 1, 1))],
+        "id INT, d DATE",
+    )
+    got = {r.id: (str(r.Effective_Date) if r.Effective_Date else None) for r in releases.release_of_date(d, "d", man).collect()}
+    assert got == {1: "2015-10-01", 2: "2016-04-01", 3: "2016-04-01", 4: None}
