@@ -176,8 +176,7 @@ def _load(
         raise LoadCheckError(f"{n_bad} rejected rows (max {max_rejects})", {"rejects": n_bad})
 
     name = sinks.prepare_table(spark, table or spec.default_name, out_spec, action, schema)
-    sinks.insert(good, spark, name, out_spec, sort_col=(field_names or {}).get(code_name, code_name))
-    n_good = good.count()
+    n_good = sinks.insert(good, spark, name, out_spec, sort_col=(field_names or {}).get(code_name, code_name))
     log.info("loaded %s rows into %s (%s rejects)", n_good, name, n_bad)
     return LoadResult(name, n_good, n_bad, rel_rows)
 
