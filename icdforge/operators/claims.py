@@ -159,14 +159,23 @@ def invalid_codes(context: DataFrame, code_tables: DataFrame) -> DataFrame:
 
 def duplicate_principal(codes: DataFrame) -> DataFrame:
     """Claims where a secondary diagnosis repeats the principal one (B19):
-    (claim_id, Principal_Code, n_occurrences >= 2)."""
-    p = principal_diagnoses(codes)
-    dx = codes.filter(F.col("ICD_Code_Type") == "D").select("claim_id", F.col("ICD_Code").alias("Principal_Code"))
+    (claim_id, Principal_Code, n_occurrences >= 2).
+
+    Two aggregations and no join: per (claim, code) the first position and
+    the count, then per claim the code with the lowest first position.  Both
+    combine map-side, so a claim with a huge number of lines is no hot spot.
+    """
+    per_code = (
+        codes.filter(F.col("ICD_Code_Type") == "D")
+        .groupBy("claim_id", "ICD_Code")
+        .agg(F.min("seq").alias("first_seq"), F.count(F.lit(1)).cast("int").alias("n"))
+    )
+    first = F.min(F.struct(F.col("first_seq"), F.col("ICD_Code").alias("code"), F.col("n")))
     return (
-        dx.join(p.select("claim_id", "Principal_Code"), on=["claim_id", "Principal_Code"], how="inner")
-        .groupBy("claim_id", "Principal_Code")
-        .agg(F.count(F.lit(1)).cast("int").alias("n_occurrences"))
-        .filter(F.col("n_occurrences") >= 2)
+        per_code.groupBy("claim_id")
+        .agg(first.alias("_p"))
+        .filter(F.col("_p.n") >= 2)
+        .select("claim_id", F.col("_p.code").alias("Principal_Code"), F.col("_p.n").alias("n_occurrences"))
     )
 
 
