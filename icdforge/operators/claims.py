@@ -140,15 +140,21 @@ def claim_code_context(codes: DataFrame, claims_rel: DataFrame, principal: DataF
     return mark_principal(codes, principal).join(claims_rel, on="claim_id", how="inner")
 
 
-def apply_edits(context: DataFrame, edits: DataFrame, **rule_params) -> DataFrame:
+def apply_edits(context: DataFrame, edits: DataFrame, include_unchecked: bool = False, **rule_params) -> DataFrame:
     """Single-code MCE edits that fire on claim codes (B17).
 
     ``context`` is :func:`claim_code_context`; edits join on the release and
-    code.  Output: one row per (claim code, firing edit)."""
+    code.  Output: one row per (claim code, firing edit).  With
+    ``include_unchecked`` the edits that could not be evaluated (the claim
+    lacks the age, sex or LOS the rule needs) are returned too, and
+    ``Edit_Status`` tells 'flag' from 'unchecked'."""
     keys = ["CMS_Fiscal_Year", "ICD_Version", "ICD_Code_Type", "ICD_Code"]
     e = edits.select(*keys, "MCE_Edit_Type")
     j = context.join(e, on=keys, how="inner")
-    return j.filter(edit_rule(**rule_params))
+    if not include_unchecked:
+        return j.filter(edit_rule(**rule_params))
+    status = F.when(edit_rule(**rule_params), F.lit("flag")).when(unchecked_rule(), F.lit("unchecked"))
+    return j.withColumn("Edit_Status", status).filter(F.col("Edit_Status").isNotNull())
 
 
 def invalid_codes(context: DataFrame, code_tables: DataFrame) -> DataFrame:

@@ -74,3 +74,16 @@ def test_release_of_date_any_interval(spark):
     )
     got = {r.id: (str(r.Effective_Date) if r.Effective_Date else None) for r in releases.release_of_date(d, "d", man).collect()}
     assert got == {1: "2015-10-01", 2: "2016-04-01", 3: "2016-04-01", 4: None}
+
+
+def test_unchecked_marker(spark):
+    edits, _, _ = _frames(spark)
+    cl = spark.createDataFrame(
+        [(9, dt.date(2019, 1, 1), None, None, None, ["P000"], ["0UT9"])],
+        "claim_id BIGINT, service_date DATE, age INT, sex STRING, los_hours INT, dx ARRAY<STRING>, px ARRAY<STRING>",
+    )
+    rel = claims.claims_with_release(cl.drop("dx", "px"), releases.manifest(spark, releases.DIAGNOSIS_RELEASES))
+    ctx = claims.claim_code_context(claims.claim_codes_from_arrays(cl), rel)
+    assert claims.apply_edits(ctx, edits).count() == 0
+    got = sorted((r.MCE_Edit_Type, r.Edit_Status) for r in claims.apply_edits(ctx, edits, include_unchecked=True).collect())
+    assert got == [("Female_Only", "unchecked"), ("Newborn_Only", "unchecked")]
