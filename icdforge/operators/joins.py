@@ -91,11 +91,10 @@ def range_cover_column(lo: str, hi: str, alphabet: str = CODE_ALPHABET, max_len:
     return F.expr(f"case when {lo} <= {hi} then concat({prefixes}, {exact}) else array() end")
 
 
-def _code_keys(code: Column) -> Column:
-    """Join keys of a code: ``E:<code>`` and ``P:<prefix>`` for each prefix
-    (including the empty one and the code itself)."""
-    prefixes = F.transform(F.sequence(F.lit(0), F.length(code)), lambda i: F.concat(F.lit("P:"), F.substring(code, 1, i)))
-    return F.concat(F.array(F.concat(F.lit("E:"), code)), prefixes)
+def _code_key(code: Column, i: Column) -> Column:
+    """Join key number ``i`` of a code: -1 is ``E:<code>``, 0..len(code) are
+    ``P:<prefix of length i>`` (including the empty prefix and the code)."""
+    return F.when(i < 0, F.concat(F.lit("E:"), code)).otherwise(F.concat(F.lit("P:"), F.substring(code, F.lit(1), i)))
 
 
 def expand_ranges(
@@ -122,6 +121,8 @@ def expand_ranges(
         F.length(code) > max_len
     )
     checked = F.when(bad, F.raise_error(F.concat(F.lit("code outside the code alphabet or too long: "), code))).otherwise(code)
-    c = codes.withColumn("_key", F.explode(_code_keys(checked)))
+    c = codes.withColumn("_i", F.explode(F.sequence(F.lit(-1), F.length(checked)))).withColumn(
+        "_key", _code_key(F.col(code_col), F.col("_i"))
+    ).drop("_i")
     r = ranges.withColumn("_key", F.explode(range_cover_column(f"`{lo_col}`", f"`{hi_col}`", alphabet, max_len)))
     return c.join(r, on="_key", how="inner").drop("_key")
