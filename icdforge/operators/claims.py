@@ -135,9 +135,16 @@ def unchecked_rule() -> Column:
     )
 
 
-def claim_code_context(codes: DataFrame, claims_rel: DataFrame, principal: DataFrame | None = None) -> DataFrame:
-    """Claim codes with principal marker and the claim's release, age, sex, LOS."""
-    return mark_principal(codes, principal).join(claims_rel, on="claim_id", how="inner")
+def claim_code_context(
+    codes: DataFrame, claims_rel: DataFrame | None = None, principal: DataFrame | None = None
+) -> DataFrame:
+    """Claim codes with principal marker and the claim's release, age, sex, LOS.
+
+    ``claims_rel`` is the header with its release (:func:`claims_with_release`);
+    pass ``None`` when the codes already carry those columns (claim lines
+    stored with their header, or joined to it once upstream) to save a join."""
+    marked = mark_principal(codes, principal)
+    return marked if claims_rel is None else marked.join(claims_rel, on="claim_id", how="inner")
 
 
 def apply_edits(context: DataFrame, edits: DataFrame, include_unchecked: bool = False, **rule_params) -> DataFrame:

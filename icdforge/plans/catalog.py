@@ -454,8 +454,8 @@ CLAIM_PX = (
 )
 # claim line order (line number, part key) as one orderable number
 SEQ_SCALE = 10**12
-CLAIM_FY = (
-    f"cast(year(cast(o_orderdate as date)) + case when month(cast(o_orderdate as date)) >= 10 then 1 else 0 end as integer)"
+CLAIM_FY_OF_SERVICE = (
+    "cast(year(service_date) + case when month(service_date) >= 10 then 1 else 0 end as integer)"
 )
 
 
@@ -471,27 +471,33 @@ def claim_headers(spark, sf):
     )
 
 
+@_memo
+def claim_rel(spark, sf):
+    """Claim headers with the release of their service date (broadcast manifest)."""
+    return claims.claims_with_release(claim_headers(spark, sf), T.adapter_manifest(spark, "dx"))
+
+
 @_memo
 def claim_codes(spark, sf):
-    """Long claim codes: each line item gives its part's diagnosis code, lines
-    with quantity >= 30 also its procedure code, in the claim's ICD version."""
+    """Long claim codes carrying their claim's header: each line item gives its
+    part's diagnosis code, lines with quantity >= 30 also its procedure code,
+    in the claim's ICD version.  Lines meet their header in one join."""
     li = T.spread(T.read_table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity"))
-    o = T.read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    j = li.join(o, li.l_orderkey == o.o_orderkey).select(
-        F.col("l_orderkey").alias("claim_id"),
-        F.col("l_partkey").alias("p_partkey"),
-        "l_linenumber",
-        "l_quantity",
-        F.expr(f"case when {CLAIM_FY} >= {T.ICD10_FROM} then 10 else 9 end").alias("ver"),
+    rel = claim_rel(spark, sf)
+    j = li.join(rel, li.l_orderkey == rel.claim_id).select(
+        "claim_id", F.col("l_partkey").alias("p_partkey"), "l_linenumber", "l_quantity",
+        "service_date", "age", "sex", "los_hours", "CMS_Fiscal_Year", "ICD_Version",
+        F.expr(f"case when {CLAIM_FY_OF_SERVICE} >= {T.ICD10_FROM} then 10 else 9 end").alias("ver"),
     )
     # both code types of a line from one pass over the joined lines
     dx = F.struct(F.lit("D").alias("t"), F.expr(CLAIM_DX).alias("c"))
     px = F.when(F.col("l_quantity") >= 30, F.struct(F.lit("P").alias("t"), F.expr(CLAIM_PX).alias("c")))
     seq = F.col("l_linenumber").cast("bigint") * SEQ_SCALE + F.col("p_partkey")
+    header = ["service_date", "age", "sex", "los_hours", "CMS_Fiscal_Year", "ICD_Version"]
     return (
-        j.select("claim_id", seq.alias("seq"), F.explode(F.array(dx, px)).alias("_c"))
+        j.select("claim_id", seq.alias("seq"), *header, F.explode(F.array(dx, px)).alias("_c"))
         .filter(F.col("_c").isNotNull())
-        .select("claim_id", "seq", F.col("_c.t").alias("ICD_Code_Type"), F.col("_c.c").alias("ICD_Code"))
+        .select("claim_id", "seq", F.col("_c.t").alias("ICD_Code_Type"), F.col("_c.c").alias("ICD_Code"), *header)
     )
 
 
@@ -507,8 +513,8 @@ def claim_principal(spark, sf):
 
 @_memo
 def claim_context(spark, sf):
-    rel = claims.claims_with_release(claim_headers(spark, sf), T.adapter_manifest(spark, "dx"))
-    return claims.claim_code_context(claim_codes(spark, sf), rel, claim_principal(spark, sf))
+    # codes already carry the header: no second join with the claims
+    return claims.claim_code_context(claim_codes(spark, sf), None, claim_principal(spark, sf))
 
 
 def q_claim_edits(spark, sf):
@@ -528,8 +534,7 @@ def q_dup_pdx(spark, sf):
 
 
 def q_external_pdx(spark, sf):
-    rel = claims.claims_with_release(claim_headers(spark, sf), T.adapter_manifest(spark, "dx"))
-    return claims.external_cause_principal(claim_codes(spark, sf), rel, EXTERNAL_PREFIXES)
+    return claims.external_cause_principal(claim_codes(spark, sf), claim_rel(spark, sf), EXTERNAL_PREFIXES)
 
 
 QUERIES: dict[str, Query] = {
