@@ -86,3 +86,54 @@ def test_cover_expression_matches_reference(spark):
     got = {(r.lo, r.hi): sorted(r.cov) for r in df.select("lo", "hi", range_cover_column("lo", "hi").alias("cov")).collect()}
     for lo, hi in pairs:
         assert got[(lo, hi)] == sorted(range_cover(lo, hi)), (lo, hi)
+
+
+def _edits(spark, rows):
+    return spark.createDataFrame(
+        rows,
+        "CMS_Fiscal_Year INT, ICD_Version INT, ICD_Code_Type STRING, ICD_Code STRING, MCE_Section INT, "
+        "MCE_Subsection STRING, MCE_Edit_Type STRING",
+    )
+
+
+def test_dependency_violation_and_pivot_zero_fill(spark):
+    e = _edits(
+        spark,
+        [
+            (2019, 10, "D", "A1", 4, "A", "Newborn_Only"),
+            (2019, 10, "D", "A2", 4, "A", "Pediatric_Only"),  # same section, other type: violation
+            (2020, 10, "D", "A1", 8, "A", "Principal_Questionable_Admit"),
+            (2019, 10, "D", "A3", 8, "_", "Principal_Questionable_Admit"),
+        ],
+    )
+    rep = {(r.key_kind, r.CMS_Fiscal_Year, r.key): r.n_distinct for r in analytics.section_type_dependency(e).collect()}
+    assert rep[("section->type", 2019, "4|A")] == 2
+    assert rep[("type->section", 2019, "Principal_Questionable_Admit|D")] == 1
+    piv = {(r.MCE_Section, r.MCE_Edit_Type): (r.FY_2019, r.FY_2020) for r in analytics.edit_pivot(e, [2019, 2020]).collect()}
+    assert piv[(8, "Principal_Questionable_Admit")] == (1, 1)  # 8 and 8 A count together
+    assert piv[(4, "Newborn_Only")] == (1, 0)
+
+
+def test_identity_and_discrepancy_classes(spark):
+    poa = spark.createDataFrame(
+        [
+            (2012, 9, "A1", "A1", "x y"),
+            (2013, 9, "A1", "A1", "x y"),
+            (2014, 9, "A1", "A1", "x  y"),
+        ],
+        "CMS_Fiscal_Year INT, ICD_Version INT, Diagnosis_Code STRING, Diagnosis_Code_With_Period STRING, Code_Desc_Long STRING",
+    )
+    man = spark.createDataFrame([(9, 2012), (9, 2013), (9, 2014)], "ICD_Version INT, CMS_Fiscal_Year INT")
+    ident = {
+        (r.From_FY, r.To_FY): r.Is_Identical
+        for r in analytics.release_identity(
+            poa, analytics.release_pairs(man), ["Diagnosis_Code", "Diagnosis_Code_With_Period", "Code_Desc_Long"]
+        ).collect()
+    }
+    assert ident == {(2012, 2013): "Y", (2013, 2014): "N"}
+    dx = spark.createDataFrame(
+        [(2014, 9, "A1", "x y"), (2013, 9, "A1", "X Y"), (2012, 9, "A1", "z")],
+        "CMS_Fiscal_Year INT, ICD_Version INT, Diagnosis_Code STRING, Code_Desc_Long STRING",
+    )
+    got = {r.CMS_Fiscal_Year: (r.Difference, r.Edit_Distance) for r in analytics.description_discrepancies(poa, dx).collect()}
+    assert got == {2014: ("spacing", 1), 2013: ("case", 2), 2012: ("wording", 3)}
