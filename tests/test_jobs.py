@@ -162,3 +162,22 @@ def test_mce_load_and_checks(spark, tmp_path):
     with pytest.raises(LoadCheckError) as e:
         jobs.load_mce_edits(spark, str(tmp_path), table="mce_t5", releases_=FX.MCE_RELEASES_)
     assert e.value.report["lengths"][0]["column_name"] == "MCE_Subsection"
+
+
+def test_cli_load(spark, tmp_path, capsys):
+    from icdforge.plans import cli
+
+    FX.write_mce(str(tmp_path))
+    import icdforge.operators.releases as R
+
+    # the CLI uses the default release list; point it at the fixture release
+    orig = jobs.load_mce_edits.__defaults__
+    try:
+        jobs.load_mce_edits.__defaults__ = orig[:-1] + (FX.MCE_RELEASES_,)
+        assert cli.main(["mce_edits", "--source-dir", str(tmp_path), "--table", "mce_cli"]) == 0
+    finally:
+        jobs.load_mce_edits.__defaults__ = orig
+    out = capsys.readouterr().out.strip().splitlines()[-1]
+    assert '"rows": 3' in out
+    assert spark.table("mce_cli").count() == 3
+    assert R.MCE_RELEASES[0][0] == "33"
