@@ -85,21 +85,54 @@ def _scan(spark: SparkSession, source_dir: str, manifest_df: DataFrame, kind: st
     return standardize(lines, manifest_df, kind, version)
 
 
-def _checks(rows: DataFrame, spec: tables.TableSpec, kept: DataFrame | None, id_cols: list[str]) -> dict:
+def _release_summary(rows: DataFrame, spec: tables.TableSpec, mce: bool) -> dict[int, dict]:
+    """One pass over the staged rows: per release (fiscal year) the counts of
+    good rows, rejects, rows with a NULL in a NOT NULL column, rows with text
+    over its column's limit and (MCE) rows whose version differs from the
+    release.  One row per release reaches the driver."""
+    good = F.col(REASON).isNull()
+
+    def n(cond):
+        return F.sum(F.when(good & cond, 1).otherwise(0)).cast("long")
+
+    any_null = F.lit(False)
+    for c in spec.not_null():
+        any_null = any_null | F.col(c).isNull()
+    too_long = F.lit(False)
+    for c, lim in spec.limits().items():
+        too_long = too_long | (F.length(F.col(c)) > lim)
+    aggs = [
+        n(F.lit(True)).alias("good"),
+        F.sum(F.when(good, 0).otherwise(1)).cast("long").alias("rejects"),
+        n(any_null).alias("nulls"),
+        n(too_long).alias("lengths"),
+    ]
+    if mce:
+        aggs.append(n(~F.col("ICD_Version").eqNullSafe(F.col("Release_ICD_Version"))).alias("version_mismatch"))
+    out = {}
+    for r in rows.groupBy("CMS_Fiscal_Year").agg(*aggs).collect():
+        out[r["CMS_Fiscal_Year"]] = r.asDict()
+    return out
+
+
+def _checks(
+    rows: DataFrame, spec: tables.TableSpec, kept: DataFrame | None, id_cols: list[str], totals: dict
+) -> dict:
+    """Key checks, plus samples of the NULL / length violations counted in
+    the release summary (fetched only when there are any)."""
     report = {}
-    pk = quality.key_violations(rows, spec.keys)
-    n = pk.count()
-    if n:
-        report["duplicate_keys"] = [r.asDict() for r in pk.limit(20).collect()]
+    pk = quality.key_violations(rows, spec.keys).limit(20).collect()
+    if pk:
+        report["duplicate_keys"] = [r.asDict() for r in pk]
     if kept is not None:
-        coll = quality.key_collisions(rows.select(*spec.keys), kept, spec.keys)
-        if coll.take(1):
-            report["keys_already_in_table"] = [r.asDict() for r in coll.limit(20).collect()]
-    nulls = quality.null_violations(rows, spec.not_null(), id_cols)
-    if nulls.take(1):
+        coll = quality.key_collisions(rows.select(*spec.keys), kept, spec.keys).limit(20).collect()
+        if coll:
+            report["keys_already_in_table"] = [r.asDict() for r in coll]
+    if totals.get("nulls"):
+        nulls = quality.null_violations(rows, spec.not_null(), id_cols)
         report["nulls"] = [r.asDict() for r in nulls.limit(20).collect()]
-    lengths = quality.length_violations(rows, spec.limits(), id_cols)
-    if lengths.take(1):
+    if totals.get("lengths"):
+        lengths = quality.length_violations(rows, spec.limits(), id_cols)
         report["lengths"] = [r.asDict() for r in lengths.limit(20).collect()]
     return report
 
@@ -142,10 +175,12 @@ def _load(
 
     checkpoint_dir(spark)
     rows = rows.checkpoint(eager=True)  # one read of the files; lineage cut on shared storage
+    summary = _release_summary(rows, spec, mce=(kind == "mce"))
+    totals = {k: sum(v[k] for v in summary.values()) for k in ("good", "rejects", "nulls", "lengths")}
     good, bad = split_rejects(rows)
     if kind == "mce":
-        mism = quality.version_mismatches(good)
-        if mism.take(1):
+        if sum(v["version_mismatch"] for v in summary.values()):
+            mism = quality.version_mismatches(good)
             raise LoadCheckError(
                 "ICD version in file rows differs from the release",
                 {"version_mismatch": [r.asDict() for r in mism.limit(20).collect()]},
@@ -164,11 +199,11 @@ def _load(
             drop_v = 9 if action == "DELETE_ICD9" else 10
             kept = kept.filter(F.col(out_spec.partition_by[0]) != drop_v)
     id_cols = [c for c in out_spec.keys]
-    report = _checks(good, out_spec, kept, id_cols)
+    report = _checks(good, out_spec, kept, id_cols, totals)
     if report:
         raise LoadCheckError(f"load into {name} failed its checks: {sorted(report)}", report)
 
-    n_bad = bad.count()
+    n_bad = totals["rejects"]
     if reject_table and n_bad:
         rej = bad.select(F.col(FILE_NAME), F.col("CMS_Fiscal_Year").cast("int"), F.col(RAW).alias("raw"), F.col(REASON).alias("reason"))
         rej.write.mode("append").saveAsTable(reject_table)
@@ -176,7 +211,11 @@ def _load(
         raise LoadCheckError(f"{n_bad} rejected rows (max {max_rejects})", {"rejects": n_bad})
 
     name = sinks.prepare_table(spark, table or spec.default_name, out_spec, action, schema)
-    n_good = sinks.insert(good, spark, name, out_spec, sort_col=(field_names or {}).get(code_name, code_name))
+    largest = max((v["good"] for v in summary.values()), default=0)
+    sinks.insert(
+        good, spark, name, out_spec, sort_col=(field_names or {}).get(code_name, code_name), largest_release=largest
+    )
+    n_good = totals["good"]
     log.info("loaded %s rows into %s (%s rejects)", n_good, name, n_bad)
     return LoadResult(name, n_good, n_bad, rel_rows)
 

@@ -95,12 +95,15 @@ def insert(
     spec: TableSpec,
     sort_col: str | None = None,
     max_rows_per_file: int = 2_000_000,
-) -> int:
+    largest_release: int | None = None,
+) -> int | None:
     """Append rows by name: columns are put in the table's order (partition
     columns last); rows are clustered by release, sorted by code (min/max
     skipping on code lookups).  A release larger than ``max_rows_per_file``
     is spread over several tasks/files by a hash of the code, so one big
-    release never lands in a single task.  Returns the number of rows."""
+    release never lands in a single task.  ``largest_release`` (rows of the
+    biggest release) saves a counting pass when the caller knows it.
+    Returns the number of rows when it was counted here."""
     from pyspark.sql import functions as F
 
     cols = spark.table(name).columns
@@ -108,9 +111,12 @@ def insert(
     out = df.select(*cols)
     total = None
     if parts:
-        # one row per release reaches the driver
-        stats = out.groupBy(*parts).count().agg(F.max("count"), F.sum("count")).first()
-        largest, total = int(stats[0] or 0), int(stats[1] or 0)
+        if largest_release is None:
+            # one row per release reaches the driver
+            stats = out.groupBy(*parts).count().agg(F.max("count"), F.sum("count")).first()
+            largest, total = int(stats[0] or 0), int(stats[1] or 0)
+        else:
+            largest = int(largest_release)
         buckets = max(1, -(-int(largest) // max_rows_per_file))
         keys = [F.col(p) for p in parts]
         if buckets > 1 and sort_col:
@@ -118,7 +124,7 @@ def insert(
         order = parts + ([sort_col] if sort_col else [])
         out = out.repartition(*keys).sortWithinPartitions(*order)
     out.write.insertInto(name, overwrite=False)
-    return total if total is not None else df.count()
+    return total
 
 
 def replace_version_slice(existing: DataFrame, new_rows: DataFrame, version: int, version_col: str = "ICD_Version") -> DataFrame:
