@@ -48,12 +48,22 @@ OVER_AGE = 60
 # -----------------------------------------------------------------------------
 
 
-def claim_codes_from_arrays(claims: DataFrame, dx_col: str = "dx", px_col: str = "px") -> DataFrame:
-    """Array-shaped claims -> long claim codes; position 0 of ``dx`` is the
-    principal diagnosis (``seq`` is the array position)."""
-    dx = claims.select("claim_id", F.posexplode(dx_col).alias("seq", "ICD_Code")).withColumn("ICD_Code_Type", F.lit("D"))
-    px = claims.select("claim_id", F.posexplode(px_col).alias("seq", "ICD_Code")).withColumn("ICD_Code_Type", F.lit("P"))
-    return dx.unionByName(px).select("claim_id", "seq", "ICD_Code_Type", "ICD_Code")
+def claim_codes_from_arrays(
+    claims: DataFrame, dx_col: str = "dx", px_col: str = "px", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Array-shaped claims -> long claim codes in one pass; position 0 of
+    ``dx`` is the principal diagnosis (``seq`` is the array position).
+    ``keep`` names claim columns to carry along (e.g. the header)."""
+
+    def tagged(col: str, code_type: str) -> Column:
+        return F.transform(
+            F.coalesce(F.col(col), F.array().cast("array<string>")),
+            lambda code, i: F.struct(F.lit(code_type).alias("t"), i.alias("seq"), code.alias("c")),
+        )
+
+    return claims.select("claim_id", *keep, F.inline(F.concat(tagged(dx_col, "D"), tagged(px_col, "P")))).select(
+        "claim_id", F.col("seq"), F.col("t").alias("ICD_Code_Type"), F.col("c").alias("ICD_Code"), *keep
+    )
 
 
 def principal_seq(codes: DataFrame) -> DataFrame:

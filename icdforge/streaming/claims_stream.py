@@ -29,21 +29,9 @@ def flag_claims(claims_stream: DataFrame, edits: DataFrame, manifest_df: DataFra
     Same output as :func:`icdforge.operators.claims.apply_edits`; the
     principal is position 0 of ``dx``, so no aggregation is needed.
     """
-    # one record in, its codes out (with the header columns): both code
-    # arrays become one array of (type, position, code) and explode once
-    def tagged(col: str, code_type: str):
-        return F.transform(
-            F.coalesce(F.col(col), F.array().cast("array<string>")),
-            lambda code, i: F.struct(F.lit(code_type).alias("t"), i.alias("seq"), code.alias("c")),
-        )
-
-    ctx = claims_stream.select(
-        "claim_id", "service_date", "age", "sex", "los_hours",
-        F.inline(F.concat(tagged("dx", "D"), tagged("px", "P"))),
-    ).select(
-        "claim_id", "service_date", "age", "sex", "los_hours", "seq",
-        F.col("t").alias("ICD_Code_Type"), F.col("c").alias("ICD_Code"),
-    )
+    # one record in, its codes out, carrying the header columns
+    header = ["service_date", "age", "sex", "los_hours"]
+    ctx = C.claim_codes_from_arrays(claims_stream, keep=header)
     ctx = ctx.withColumn(
         "Is_Principal", F.when((F.col("ICD_Code_Type") == "D") & (F.col("seq") == 0), "Y").otherwise("N")
     )
