@@ -158,25 +158,35 @@ def release_pairs(manifest_df: DataFrame) -> DataFrame:
     )
 
 
+def release_roles(pairs: DataFrame) -> DataFrame:
+    """Each release as the old and/or new side of its consecutive pairs:
+    (version, FY, From_FY, To_FY, _side) - two rows per pair, broadcastable."""
+    old = pairs.select(VER, F.col("From_FY").alias(FY), "From_FY", "To_FY", F.lit("old").alias("_side"))
+    new = pairs.select(VER, F.col("To_FY").alias(FY), "From_FY", "To_FY", F.lit("new").alias("_side"))
+    return old.unionByName(new)
+
+
 def release_delta(dim: DataFrame, pairs: DataFrame, code_col: str, desc_col: str = "Code_Desc_Long") -> DataFrame:
     """Added / deleted / revised codes between consecutive releases (B12).
 
-    One full outer join on (version, pair, code); ``pairs`` is broadcast
-    (one row per release)."""
-    p = F.broadcast(pairs)
-    old = dim.select(VER, F.col(FY).alias("From_FY"), code_col, F.col(desc_col).alias("Old_Desc")).join(
-        p, on=[VER, "From_FY"], how="inner"
-    )
-    new = dim.select(VER, F.col(FY).alias("To_FY"), code_col, F.col(desc_col).alias("New_Desc")).join(
-        p, on=[VER, "To_FY"], how="inner"
+    One scan: every row is tagged with the pair sides its release plays
+    (broadcast roles, two per pair), then one aggregation per (pair, code)
+    - combined map-side - yields the old and new description; no full outer
+    join.  Relies on the table key (one row per release and code)."""
+    tagged = dim.select(VER, FY, code_col, desc_col).join(F.broadcast(release_roles(pairs)), on=[VER, FY], how="inner")
+    old, new = F.col("_side") == "old", F.col("_side") == "new"
+    agg = tagged.groupBy(VER, "From_FY", "To_FY", code_col).agg(
+        F.max(F.when(old, 1)).alias("_in_old"),
+        F.max(F.when(new, 1)).alias("_in_new"),
+        F.max(F.when(old, F.col(desc_col))).alias("Old_Desc"),
+        F.max(F.when(new, F.col(desc_col))).alias("New_Desc"),
     )
-    j = old.join(new, on=[VER, "From_FY", "To_FY", code_col], how="full_outer")
     change = (
-        F.when(F.col("Old_Desc").isNull(), F.lit("added"))
-        .when(F.col("New_Desc").isNull(), F.lit("deleted"))
-        .when(F.col("Old_Desc") != F.col("New_Desc"), F.lit("revised"))
+        F.when(F.col("_in_old").isNull(), F.lit("added"))
+        .when(F.col("_in_new").isNull(), F.lit("deleted"))
+        .when(~F.col("Old_Desc").eqNullSafe(F.col("New_Desc")), F.lit("revised"))
     )
-    return j.withColumn("Change", change).filter(F.col("Change").isNotNull())
+    return agg.withColumn("Change", change).filter(F.col("Change").isNotNull()).drop("_in_old", "_in_new")
 
 
 def unapply_delta(
@@ -207,11 +217,9 @@ def unapply_delta(
 
 def release_identity(dim: DataFrame, pairs: DataFrame, row_cols: Sequence[str]) -> DataFrame:
     """Are consecutive releases identical?  Multiset comparison of the given
-    columns (EXCEPT ALL both ways) from one aggregation (B14)."""
-    p = F.broadcast(pairs)
-    old = dim.withColumnRenamed(FY, "From_FY").join(p, on=[VER, "From_FY"], how="inner")
-    new = dim.withColumnRenamed(FY, "To_FY").join(p, on=[VER, "To_FY"], how="inner")
-    counts = quality.multiset_difference_counts(old, new, [VER, "From_FY", "To_FY"], list(row_cols))
+    columns (EXCEPT ALL both ways) from one scan and one aggregation (B14)."""
+    tagged = dim.join(F.broadcast(release_roles(pairs)), on=[VER, FY], how="inner")
+    counts = quality.multiset_difference_counts(tagged, [VER, "From_FY", "To_FY"], list(row_cols))
     # pairs where one side is empty still appear (all rows on one side)
     return (
         pairs.join(counts, on=[VER, "From_FY", "To_FY"], how="left")

@@ -76,15 +76,14 @@ def length_profile(df: DataFrame, group_cols: Sequence[str], text_cols: Sequence
     )
 
 
-def multiset_difference_counts(
-    old: DataFrame, new: DataFrame, pair_cols: Sequence[str], row_cols: Sequence[str]
-) -> DataFrame:
-    """Per pair of releases: rows only in old / only in new (multiset,
-    like EXCEPT ALL both ways), from one aggregation over both sides."""
-    tagged = old.select(*pair_cols, *row_cols, F.lit(1).alias("_o"), F.lit(0).alias("_n")).unionByName(
-        new.select(*pair_cols, *row_cols, F.lit(0).alias("_o"), F.lit(1).alias("_n"))
+def multiset_difference_counts(tagged: DataFrame, pair_cols: Sequence[str], row_cols: Sequence[str]) -> DataFrame:
+    """Per pair of releases: rows only in old / only in new (multiset, like
+    EXCEPT ALL both ways).  ``tagged`` holds the rows of both sides with a
+    ``_side`` column ('old' / 'new'); one aggregation, combined map-side."""
+    per_row = tagged.groupBy(*pair_cols, *row_cols).agg(
+        F.sum(F.when(F.col("_side") == "old", 1).otherwise(0)).alias("_o"),
+        F.sum(F.when(F.col("_side") == "new", 1).otherwise(0)).alias("_n"),
     )
-    per_row = tagged.groupBy(*pair_cols, *row_cols).agg(F.sum("_o").alias("_o"), F.sum("_n").alias("_n"))
     return per_row.groupBy(*pair_cols).agg(
         F.sum(F.greatest(F.col("_o") - F.col("_n"), F.lit(0))).cast("int").alias("n_only_old"),
         F.sum(F.greatest(F.col("_n") - F.col("_o"), F.lit(0))).cast("int").alias("n_only_new"),
