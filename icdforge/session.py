@@ -30,13 +30,17 @@ def apply_recommended_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints / staged tables.
 
-    Uses ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local tests) a private folder is created and registered.
+    Uses ``spark.checkpoint.dir`` from the session.  Only when it is unset and
+    the session runs in local mode (tests, a laptop) a private folder is
+    created and registered; on a cluster an unset folder is an error, because
+    a machine-local folder is not visible to the executors.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS or object storage)")
     local = tempfile.mkdtemp(prefix="icdforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
