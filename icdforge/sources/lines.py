@@ -3,7 +3,9 @@
 Files are single-byte Windows-1252 text with CRLF line ends.  Spark's csv
 source reads them as one ``value`` column (``sep`` set to a control byte that
 never occurs, quoting off, so quotes and blanks are kept as-is), which is
-splittable and decodes ISO-8859-1.  The 27 printable Windows-1252 characters
+splittable and decodes ISO-8859-1.  The separator is a three-character
+control sequence: a line would lose text only if it contained that exact
+sequence, which plain-text release files never do.  The 27 printable Windows-1252 characters
 in 0x80-0x9F are then mapped with one ``translate``.
 """
 
@@ -55,7 +57,7 @@ def read_lines(spark: SparkSession, paths: Iterable[str], header: bool) -> DataF
     raw = spark.read.csv(
         paths,
         schema="value STRING",
-        sep="\u0001",
+        sep="\u0001\u0002\u0003",
         quote="",
         escape="",
         comment=None,

@@ -80,3 +80,9 @@ def test_tab_layouts(spark):
     assert mce[1]._reject_reason == "not_an_integer:MCE_Section"
     good, bad = split_rejects(parse(lines_df(spark, ["36\t10\tX\tA\tT\tD\tP\td"]), MCE_EDITS))
     assert good.count() == 0 and bad.count() == 1
+
+
+def test_control_bytes_kept(spark, tmp_path):
+    p = tmp_path / "ctl.txt"
+    p.write_bytes(b"a\x01b\x02c\tz\r\n")
+    assert [r.value for r in read_lines(spark, [str(p)], header=False).collect()] == ["a\x01b\x02c\tz"]
