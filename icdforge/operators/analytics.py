@@ -50,9 +50,14 @@ def wide_dimension(codes: DataFrame, edits: DataFrame) -> DataFrame:
 
     The per-code set is bounded by the number of edit types.
     """
-    per_code = edits.groupBy(*EDIT_KEYS).agg(
-        F.concat_ws(",", F.sort_array(F.collect_set("MCE_Edit_Type"))).alias("Edit_Types"),
-        F.countDistinct("MCE_Edit_Type").cast("int").alias("n_edit_types"),
+    per_code = (
+        edits.groupBy(*EDIT_KEYS)
+        .agg(F.sort_array(F.collect_set("MCE_Edit_Type")).alias("_types"))
+        .select(
+            *EDIT_KEYS,
+            F.concat_ws(",", F.col("_types")).alias("Edit_Types"),
+            F.size("_types").cast("int").alias("n_edit_types"),
+        )
     )
     return codes.join(per_code, on=EDIT_KEYS, how="left").withColumn(
         "n_edit_types", F.coalesce(F.col("n_edit_types"), F.lit(0))

@@ -4,7 +4,6 @@ import datetime as dt
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from icdforge.functions import drop_periods, fiscal_year, icd9_add_period, icd9_period_problem, sql_trim
 

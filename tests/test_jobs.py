@@ -1,7 +1,6 @@
 """Loads of fixture release files (FIXTURES.md section 3) and table actions."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from icdforge.plans import jobs
 from icdforge.plans.jobs import LoadCheckError

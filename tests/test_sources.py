@@ -1,6 +1,5 @@
 """Line scans: encoding, header skip per file, file names, layout parsers."""
 
-import os
 
 from pyspark.sql import functions as F
 
