@@ -20,7 +20,7 @@ from ..operators.clean import rename_columns
 from ..operators.joins import expand_ranges
 from ..sources import layouts
 from ..sources.lines import FILE_NAME
-from ..sources.parse import REASON, parse, split_rejects
+from ..sources.parse import REASON, materialize, parse, split_rejects
 from . import tpch_codes as T
 from .pipeline import standardize
 from .sinks import replace_version_slice
@@ -182,14 +182,17 @@ def _orders_manifest(spark, sf):
     m = releases.with_validity(o).withColumn("fy", F.col("CMS_Fiscal_Year"))
     m = m.withColumn("ICD_Version", F.expr(f"cast(case when fy >= {T.ICD10_FROM} then 10 else 9 end as int)"))
     name = F.when(F.col("ICD_Version") == 10, F.expr(T.FILE_NAMES[("dx", 10)])).otherwise(F.expr(T.FILE_NAMES[("dx", 9)]))
-    return m.select(
-        "ICD_Version",
-        "CMS_Fiscal_Year",
-        "Effective_Date",
-        "End_Date",
+    out = [
+        F.col("ICD_Version"),
+        F.col("CMS_Fiscal_Year"),
+        F.col("Effective_Date"),
+        F.col("End_Date"),
         name.alias(FILE_NAME),
         F.expr(T.FILE_NAMES[("mce", None)]).alias("MCE_File_Name"),
-    )
+    ]
+    # evaluation boundary: filters on the manifest (version choices) stay
+    # above it, so every use shares one scan of orders
+    return materialize(m, out)
 
 
 def q_release_manifest(spark, sf):

@@ -42,3 +42,8 @@ def test_reject_filter_stays_above_the_parse(plans):
     gen = next(i for i, l in enumerate(lines) if "Generate inline" in l)
     filt = next(i for i, l in enumerate(lines) if "isnull(_reject_reason" in l)
     assert filt < gen  # printed top-down: the filter is an ancestor of the boundary
+
+
+def test_version_choices_share_one_scan(plans):
+    p = plans["release_filter"]
+    assert p.count("FileScan parquet") == 1 and p.count("ReusedExchange") == 3
