@@ -203,13 +203,25 @@ def duplicate_principal(codes: DataFrame) -> DataFrame:
 
 
 def external_cause_principal(
-    codes: DataFrame, claims_rel: DataFrame, prefixes: Mapping[int, Sequence[str]]
+    codes: DataFrame, claims_rel: DataFrame | None, prefixes: Mapping[int, Sequence[str]]
 ) -> DataFrame:
     """Claims whose principal diagnosis is an external-cause code (B20).
 
     ``prefixes`` maps ICD version -> code prefixes; the reference names no
-    list, so the caller supplies it."""
-    p = principal_diagnoses(codes).join(claims_rel.select("claim_id", "CMS_Fiscal_Year", "ICD_Version"), "claim_id")
+    list, so the caller supplies it.  With ``claims_rel=None`` the codes
+    carry the claim's release columns themselves (no join)."""
+    if claims_rel is None:
+        first = F.min(F.struct(F.col("seq").alias("s"), F.col("ICD_Code").alias("c")))
+        p = (
+            codes.filter(F.col("ICD_Code_Type") == "D")
+            .groupBy("claim_id", "CMS_Fiscal_Year", "ICD_Version")
+            .agg(first.alias("_p"))
+            .select("claim_id", "CMS_Fiscal_Year", "ICD_Version", F.col("_p.c").alias("Principal_Code"))
+        )
+    else:
+        p = principal_diagnoses(codes).join(
+            claims_rel.select("claim_id", "CMS_Fiscal_Year", "ICD_Version"), "claim_id"
+        )
     conds = [
         (F.col("ICD_Version") == int(v)) & F.col("Principal_Code").startswith(pre)
         for v, pres in prefixes.items()

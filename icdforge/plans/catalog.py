@@ -536,7 +536,8 @@ def q_dup_pdx(spark, sf):
 
 
 def q_external_pdx(spark, sf):
-    return claims.external_cause_principal(claim_codes(spark, sf), claim_rel(spark, sf), EXTERNAL_PREFIXES)
+    # the claim codes carry their release columns: no join back to the claims
+    return claims.external_cause_principal(claim_codes(spark, sf), None, EXTERNAL_PREFIXES)
 
 
 QUERIES: dict[str, Query] = {
