@@ -178,6 +178,11 @@ def _load(
     summary = _release_summary(rows, spec, mce=(kind == "mce"))
     totals = {k: sum(v[k] for v in summary.values()) for k in ("good", "rejects", "nulls", "lengths")}
     good, bad = split_rejects(rows)
+    # rejected lines are recorded whatever the checks say (the error file)
+    n_bad = totals["rejects"]
+    if reject_table and n_bad:
+        rej = bad.select(F.col(FILE_NAME), F.col("CMS_Fiscal_Year").cast("int"), F.col(RAW).alias("raw"), F.col(REASON).alias("reason"))
+        rej.write.mode("append").saveAsTable(reject_table)
     if kind == "mce":
         if sum(v["version_mismatch"] for v in summary.values()):
             mism = quality.version_mismatches(good)
@@ -203,10 +208,6 @@ def _load(
     if report:
         raise LoadCheckError(f"load into {name} failed its checks: {sorted(report)}", report)
 
-    n_bad = totals["rejects"]
-    if reject_table and n_bad:
-        rej = bad.select(F.col(FILE_NAME), F.col("CMS_Fiscal_Year").cast("int"), F.col(RAW).alias("raw"), F.col(REASON).alias("reason"))
-        rej.write.mode("append").saveAsTable(reject_table)
     if n_bad > max_rejects:
         raise LoadCheckError(f"{n_bad} rejected rows (max {max_rejects})", {"rejects": n_bad})
 
