@@ -101,7 +101,8 @@ def insert(
     columns last); rows are clustered by release, sorted by code (min/max
     skipping on code lookups).  A release larger than ``max_rows_per_file``
     is spread over several tasks/files by a hash of the code, so one big
-    release never lands in a single task.  ``largest_release`` (rows of the
+    release never lands in a single task (AQE may still merge buckets of
+    small releases up to its advisory partition size).  ``largest_release`` (rows of the
     biggest release) saves a counting pass when the caller knows it.
     Returns the number of rows when it was counted here."""
     from pyspark.sql import functions as F

@@ -180,3 +180,29 @@ def test_cli_load(spark, tmp_path, capsys):
     assert '"rows": 3' in out
     assert spark.table("mce_cli").count() == 3
     assert R.MCE_RELEASES[0][0] == "33"
+
+
+def test_large_release_is_spread_over_files(spark, tmp_path):
+    import datetime as dt
+    import glob
+
+    from icdforge.operators import tables
+    from icdforge.plans import sinks
+
+    rows = [(2019, dt.date(2018, 10, 1), dt.date(2019, 9, 30), 10, f"A{i:05d}", "s", "l") for i in range(400)]
+    df = spark.createDataFrame(
+        rows,
+        "CMS_Fiscal_Year INT, Effective_Date DATE, End_Date DATE, ICD_Version INT, Diagnosis_Code STRING, "
+        "Code_Desc_Short STRING, Code_Desc_Long STRING",
+    )
+    name = sinks.prepare_table(spark, "dx_salted", tables.DIAGNOSIS, "DROP_CREATE")
+    # AQE would merge these tiny partitions again (by size); check the salting itself
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        n = sinks.insert(df, spark, name, tables.DIAGNOSIS, sort_col="Diagnosis_Code", max_rows_per_file=100)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert n == 400 and spark.table(name).count() == 400
+    loc = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first().data_type
+    files = glob.glob(loc.replace("file:", "") + "/ICD_Version=10/CMS_Fiscal_Year=2019/*.parquet")
+    assert len(files) >= 2
