@@ -66,3 +66,19 @@ def test_survey_query_keys_are_registered():
     missing = keys - set(E.queries())
     assert not missing, missing
     assert keys <= set(E.oracle_sql())
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import subprocess
+    import sys
+
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SF, BENCH_WARMUP="0", BENCH_CPUS="2", BENCH_DRIVER_MEMORY="2g")
+    out = subprocess.run(
+        [sys.executable, os.path.join(here, "bench.py"), "fiscal_year", "dx_load_icd10"],
+        env=env, capture_output=True, text=True, timeout=600, check=True,
+    ).stdout.strip().splitlines()
+    d = json.loads(out[-1])
+    assert set(d) == {"metric", "value", "unit", "queries", "sf"}
+    assert d["unit"] == "sec" and d["sf"] == 0.001 and set(d["queries"]) == {"fiscal_year", "dx_load_icd10"}
