@@ -6,7 +6,9 @@ Claims are kept *long*: one row per claim code (``claim_id``, ``seq``,
 claim: the principal diagnosis is a ``min`` aggregate (map-side partial
 aggregation, so a claim with a huge number of lines costs no more than a
 small one), joined back on ``claim_id``; both joins on ``claim_id`` share one
-hash partitioning.  Joins to the edit and code tables are on their primary
+hash partitioning, and codes that already carry their header need only the
+first.  The duplicate-principal check is two aggregations and no join.
+Joins to the edit and code tables are on their primary
 keys; their strategy is left to the planner / AQE (broadcast under the size
 threshold, sort-merge with skew splitting above it).
 """
