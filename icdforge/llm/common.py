@@ -3,7 +3,10 @@ running totals and connected components."""
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,6 +20,26 @@ BLANKS = " \t\n\x0b\f\r"
 ROWS_PER_BUCKET = 20_000
 
 
+_shipped: set[str] = set()
+
+
+def ship() -> None:
+    """Give the session's Python workers this package (once per application),
+    so that functions that run in tasks can be imported there."""
+    context = SparkSession.active().sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="icdforge-code-"), "icdforge-code.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def text_of(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

@@ -119,8 +119,9 @@ def mix_plan(docs: DataFrame, spec: MixSpec = MixSpec(), row_id: str | None = No
     # the last pass takes whole documents that end inside the quota, then the largest one that still fits the gap
     whole = (F.col("size") > 0) & (F.col("start") + F.col("size") <= F.col("rest"))
     laid = materialize(laid.withColumn("whole", whole), "mix-layout")
-    gap = laid.groupBy("skey").agg(F.max("rest").alias("rest"), F.sum(F.when(F.col("whole"), F.col("size")).otherwise(0)).alias("got"))
-    fits = laid.filter("not whole and size > 0").join(gap.select("skey", (F.col("rest") - F.col("got")).alias("gap")), "skey").filter("size <= gap")
+    short = laid.groupBy("skey").agg((F.max("rest") - F.sum(F.when(F.col("whole"), F.col("size")).otherwise(0))).alias("gap")).collect()  # one row per source
+    gap = small_frame(spark, [(r["skey"], int(r["gap"])) for r in short], "skey string, gap long")
+    fits = laid.filter("not whole and size > 0").join(F.broadcast(gap), "skey").filter("size <= gap")
     extra = fits.groupBy("skey").agg(F.max(F.struct("size", "start")).alias("x")).select("skey", F.col("x.start").alias("start"), F.lit(True).alias("extra"))
     marked = laid.join(extra, ["skey", "start"], "left").withColumn("extra", F.coalesce("extra", F.lit(False)) & (F.col("size") > 0) & ~F.col("whole"))
     marked = marked.withColumn("copies", F.when(F.col("size") > 0, F.col("passes") + (F.col("whole") | F.col("extra")).cast("int")).otherwise(0))

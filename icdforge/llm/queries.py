@@ -5,26 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, sharding
+from . import langid, mixing, packing, quality, sharding, simhash, toxicity, urls, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"))
+
+
 def op3_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.robust_rules(_read(spark, sf_dir, "documents")).select("doc_id", *quality.STATS, "base_failed", "kept", "distance")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+    return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_read(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan, _ = mixing.mix_plan(_read(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", (F.size("places") * F.col("size")).cast("long").alias("taken"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(_read(spark, sf_dir, "pages"))
+
+
 def op8_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sharding.interleave(_read(spark, sf_dir, "documents"))
     return s.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {"op3_robust_outliers": op3_robust_outliers, "op6_mixing": op6_mixing, "op8_interleaved_shards": op8_interleaved_shards}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(_read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op3_robust_outliers, op4_simhash, op5_language_id, op6_mixing, op7_url_filter, op8_interleaved_shards, op9_toxicity, op10_warc)}
 ORACLE_SQL: dict[str, str] = {}
