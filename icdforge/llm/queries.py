@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, quality, sharding, simhash, toxicity, urls, warc
+from . import langid, mixing, nndescent, packing, quality, sharding, simhash, toxicity, urls, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
+def op2_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nndescent.near_duplicate_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 def op3_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.robust_rules(_read(spark, sf_dir, "documents")).select("doc_id", *quality.STATS, "base_failed", "kept", "distance")
 
@@ -51,5 +55,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(_read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_robust_outliers, op4_simhash, op5_language_id, op6_mixing, op7_url_filter, op8_interleaved_shards, op9_toxicity, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_nn_descent, op3_robust_outliers, op4_simhash, op5_language_id, op6_mixing, op7_url_filter, op8_interleaved_shards, op9_toxicity, op10_warc)}
 ORACLE_SQL: dict[str, str] = {}

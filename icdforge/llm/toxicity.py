@@ -1,6 +1,7 @@
 """Toxicity: a counterfactual-regularised word classifier.
 
-A logistic regression on the presence of words, with a penalty on the change
+A logistic regression on the presence of words and word beginnings (inflected
+and compound forms share theirs), with a penalty on the change
 of its score when identity terms in a labelled text are swapped for another
 term of the same group: a neutral mention of a group then scores like the
 mention of any other, whatever the labelled rows suggest.
@@ -67,6 +68,17 @@ def words_of(data: np.ndarray) -> set[bytes]:
     return set(data.tobytes().translate(_FOLD).split())
 
 
+#: lengths, in bytes, of the word beginnings that are features besides the words
+BEGINNINGS = (4, 5, 6, 7, 8, 9)
+
+
+def features(words: set[bytes]) -> set[bytes]:
+    out = set(words)
+    for n in BEGINNINGS:
+        out |= {w[:n] + b"*" for w in words if len(w) > n}
+    return out
+
+
 def swap(words: set[bytes], groups=IDENTITY_GROUPS) -> set[bytes]:
     """The words with every identity term replaced by the next of its group."""
     change = {a.encode(): b.encode() for g in groups for a, b in zip(g, g[1:] + g[:1])}
@@ -79,8 +91,12 @@ class ToxicModel:
     weights: np.ndarray
     bias: float
 
+    def __post_init__(self):
+        self.heads = {w[:BEGINNINGS[0]] for w in self.index}
+
     def score(self, words: set[bytes]) -> float:
-        z = self.bias + sum(self.weights[self.index[w]] for w in words & self.index.keys())
+        words = {w for w in words if w[:BEGINNINGS[0]] in self.heads}  # no other word has a feature
+        z = self.bias + sum(self.weights[self.index[w]] for w in features(words) & self.index.keys())
         return float(1 / (1 + np.exp(-min(max(z, -40.0), 40.0))))
 
 
@@ -144,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, spec: ToxicSpec = T
         for batch in batches:
             data, offs = byte_slices(batch.column("text"))
             for k, t in enumerate(batch.column("toxic").to_pylist()):
-                seen[t].update(words_of(data[offs[k]:offs[k + 1]]))
+                seen[t].update(features(words_of(data[offs[k]:offs[k + 1]])))
                 if len(seen[0]) + len(seen[1]) > 200_000:
                     yield flush()
         yield flush()
@@ -168,8 +184,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, spec: ToxicSpec = T
             own, swapped = [], []
             for k in range(batch.num_rows):
                 w = words_of(data[offs[k]:offs[k + 1]])
-                own.append(sorted(index[x] for x in w & index.keys()))
-                swapped.append(sorted(index[x] for x in swap(w) & index.keys()))
+                own.append(sorted(index[x] for x in features(w) & index.keys()))
+                swapped.append(sorted(index[x] for x in features(swap(w)) & index.keys()))
             yield pa.RecordBatch.from_pydict({"toxic": batch.column("toxic").cast(pa.int32()), "a": own, "b": swapped}, schema)
 
     rows = sorted((r["toxic"], list(r["a"]), list(r["b"])) for r in sample.mapInArrow(number, "toxic int, a array<int>, b array<int>").collect())  # at most two samples of rows_per_class
