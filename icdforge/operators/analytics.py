@@ -84,17 +84,22 @@ def poa_required_only(dx: DataFrame, poa: DataFrame) -> DataFrame:
 
 
 def edit_pivot(edits: DataFrame, fiscal_years: Sequence[int], prefix: str = "FY_") -> DataFrame:
-    """Row counts per (section, edit type, code type) with one column per
-    fiscal year, zero-filled (B6).  Sections 8 and 8 A count together."""
+    """Row counts per (section, subsection, edit type, code type) with one
+    column per fiscal year, zero-filled (B6).  ``fiscal_years`` are those of
+    the loaded releases; a row of any other year fails the query rather than
+    staying uncounted."""
     labels = [f"{prefix}{fy}" for fy in fiscal_years]
+    known = F.concat(F.lit(prefix), F.col(FY).cast("string"))
+    other = F.raise_error(F.concat(F.lit("fiscal year without a column: "), F.coalesce(F.col(FY).cast("string"), F.lit("NULL"))))
+    groups = ["MCE_Section", "MCE_Subsection", "MCE_Edit_Type", "ICD_Code_Type"]
     out = (
-        edits.withColumn("_fy", F.concat(F.lit(prefix), F.col(FY).cast("string")))
-        .groupBy("MCE_Section", "MCE_Edit_Type", "ICD_Code_Type")
+        edits.withColumn("_fy", F.when(F.col(FY).isin(*[int(y) for y in fiscal_years]), known).otherwise(other))
+        .groupBy(*groups)
         .pivot("_fy", labels)
         .agg(F.count(F.lit(1)))
         .fillna(0, subset=labels)
     )
-    return out.select("MCE_Section", "MCE_Edit_Type", "ICD_Code_Type", *[F.col(l).cast("int").alias(l) for l in labels])
+    return out.select(*groups, *[F.col(x).cast("int").alias(x) for x in labels])
 
 
 def section_type_dependency(edits: DataFrame) -> DataFrame:
@@ -174,24 +179,37 @@ def release_roles(pairs: DataFrame) -> DataFrame:
 def release_delta(dim: DataFrame, pairs: DataFrame, code_col: str, desc_col: str = "Code_Desc_Long") -> DataFrame:
     """Added / deleted / revised codes between consecutive releases (B12).
 
-    One scan: every row is tagged with the pair sides its release plays
-    (broadcast roles, two per pair), then one aggregation per (pair, code)
-    - combined map-side - yields the old and new description; no full outer
-    join.  Relies on the table key (one row per release and code)."""
-    tagged = dim.select(VER, FY, code_col, desc_col).join(F.broadcast(release_roles(pairs)), on=[VER, FY], how="inner")
-    old, new = F.col("_side") == "old", F.col("_side") == "new"
-    agg = tagged.groupBy(VER, "From_FY", "To_FY", code_col).agg(
-        F.max(F.when(old, 1)).alias("_in_old"),
-        F.max(F.when(new, 1)).alias("_in_new"),
-        F.max(F.when(old, F.col(desc_col))).alias("Old_Desc"),
-        F.max(F.when(new, F.col(desc_col))).alias("New_Desc"),
+    ``pairs`` (:func:`release_pairs`) is broadcast: it tells every row the
+    release before and after its own.  One scan and one exchange by code: a
+    code's rows, one per release, are put in order and each compared with its
+    neighbour.  A second row for a release and code breaks the table's key and
+    fails the query."""
+    near = release_roles(pairs).groupBy(VER, FY).agg(
+        F.max(F.when(F.col("_side") == "new", F.col("From_FY"))).alias("_before"),
+        F.max(F.when(F.col("_side") == "old", F.col("To_FY"))).alias("_after"),
     )
-    change = (
-        F.when(F.col("_in_old").isNull(), F.lit("added"))
-        .when(F.col("_in_new").isNull(), F.lit("deleted"))
-        .when(~F.col("Old_Desc").eqNullSafe(F.col("New_Desc")), F.lit("revised"))
+    w = Window.partitionBy(VER, code_col).orderBy(FY)
+    rows = dim.select(VER, FY, code_col, desc_col).join(F.broadcast(near), on=[VER, FY], how="inner").select(
+        "*", F.lag(FY).over(w).alias("_lag"), F.lead(FY).over(w).alias("_lead"), F.lead(desc_col).over(w).alias("_next")
+    )
+    twice = F.raise_error(F.concat_ws(" ", F.lit("two rows for one release and code:"), F.col(VER), F.col(FY), F.col(code_col)))
+    text = F.lit(None).cast("string")
+
+    def entry(change: str, frm, to, old, new):
+        return F.struct(frm.alias("From_FY"), to.alias("To_FY"), F.lit(change).alias("Change"), old.alias("Old_Desc"), new.alias("New_Desc"))
+
+    fy, desc, follows = F.col(FY), F.col(desc_col), F.col("_lead").eqNullSafe(F.col("_after"))
+    onward = F.when(F.col("_lag") == fy, twice).when(
+        F.col("_after").isNotNull(),
+        F.when(~follows, entry("deleted", fy, F.col("_after"), desc, text)).when(
+            ~desc.eqNullSafe(F.col("_next")), entry("revised", fy, F.col("_after"), desc, F.col("_next"))
+        ),
+    )
+    added = F.when(
+        F.col("_before").isNotNull() & ~F.col("_lag").eqNullSafe(F.col("_before")), entry("added", F.col("_before"), fy, text, desc)
     )
-    return agg.withColumn("Change", change).filter(F.col("Change").isNotNull()).drop("_in_old", "_in_new")
+    changes = rows.select(VER, F.col(code_col), F.explode(F.array(onward, added)).alias("_e")).filter(F.col("_e").isNotNull())
+    return changes.select(VER, "_e.From_FY", "_e.To_FY", code_col, "_e.Old_Desc", "_e.New_Desc", "_e.Change")
 
 
 def unapply_delta(
@@ -199,25 +217,18 @@ def unapply_delta(
 ) -> DataFrame:
     """Rebuild each earlier release from the later one and the delta (B13):
     drop added codes, restore revised descriptions, put deleted codes back.
-    ``pairs`` (one row per release pair, from :func:`release_pairs`) is
-    broadcast."""
+    One full outer join of the later releases with the delta, which is read
+    once; ``pairs`` (:func:`release_pairs`) is broadcast."""
+    keys = [VER, "From_FY", "To_FY", code_col]
     newer = dim.select(VER, F.col(FY).alias("To_FY"), code_col, F.col(desc_col).alias("_desc"))
     newer = newer.join(F.broadcast(pairs.select(VER, "From_FY", "To_FY")), on=[VER, "To_FY"], how="inner")
-    d = delta.select(VER, "From_FY", "To_FY", code_col, "Change", "Old_Desc")
-    kept = (
-        newer.join(d, on=[VER, "From_FY", "To_FY", code_col], how="left")
-        .filter(F.col("Change").isNull() | (F.col("Change") != "added"))
-        .select(
-            VER,
-            F.col("From_FY").alias(FY),
-            code_col,
-            F.when(F.col("Change") == "revised", F.col("Old_Desc")).otherwise(F.col("_desc")).alias(desc_col),
-        )
-    )
-    deleted = d.filter(F.col("Change") == "deleted").select(
-        VER, F.col("From_FY").alias(FY), code_col, F.col("Old_Desc").alias(desc_col)
+    both = newer.join(delta.select(*keys, "Change", "Old_Desc"), on=keys, how="full_outer")
+    return both.filter(F.col("Change").isNull() | (F.col("Change") != "added")).select(
+        VER,
+        F.col("From_FY").alias(FY),
+        code_col,
+        F.when(F.col("Change").isNull(), F.col("_desc")).otherwise(F.col("Old_Desc")).alias(desc_col),
     )
-    return kept.unionByName(deleted)
 
 
 def release_identity(dim: DataFrame, pairs: DataFrame, row_cols: Sequence[str]) -> DataFrame:

@@ -5,12 +5,11 @@ Claims are kept *long*: one row per claim code (``claim_id``, ``seq``,
 ``service_date``, ``age``, ``sex``, ``los_hours``).  Nothing is collected per
 claim: the principal diagnosis is a ``min`` aggregate (map-side partial
 aggregation, so a claim with a huge number of lines costs no more than a
-small one), joined back on ``claim_id``; both joins on ``claim_id`` share one
-hash partitioning, and codes that already carry their header need only the
-first.  The duplicate-principal check is two aggregations and no join.
-Joins to the edit and code tables are on their primary
-keys; their strategy is left to the planner / AQE (broadcast under the size
-threshold, sort-merge with skew splitting above it).
+small one) of a number, so it is a hash aggregate; what a rule is about (codes
+with an edit, codes that occur twice, external causes) is selected first and
+meets the principal's position afterwards.  Joins to the edit and code tables
+are on their primary keys: broadcast after a count, salted beyond it, so a
+diagnosis that half of all claims carry is no hot spot.
 """
 
 from __future__ import annotations
@@ -20,6 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import lookup_join
 from .releases import release_of_date
 
 # --- fixed values: MCE simple edit types ---------------------------------------
@@ -82,13 +82,9 @@ def principal_seq(codes: DataFrame) -> DataFrame:
 
 def principal_diagnoses(codes: DataFrame) -> DataFrame:
     """(claim_id, Principal_Seq, Principal_Code): the diagnosis with the lowest ``seq``."""
-    first = F.min(F.struct(F.col("seq").alias("s"), F.col("ICD_Code").alias("c")))
-    return (
-        codes.filter(F.col("ICD_Code_Type") == "D")
-        .groupBy("claim_id")
-        .agg(first.alias("_p"))
-        .select("claim_id", F.col("_p.s").alias("Principal_Seq"), F.col("_p.c").alias("Principal_Code"))
-    )
+    d = codes.filter(F.col("ICD_Code_Type") == "D")
+    d = d.select("claim_id", F.col("seq").alias("Principal_Seq"), F.col("ICD_Code").alias("Principal_Code"))
+    return d.join(principal_seq(codes), on=["claim_id", "Principal_Seq"], how="left_semi")
 
 
 def mark_principal(codes: DataFrame, principal: DataFrame | None = None) -> DataFrame:
@@ -159,77 +155,78 @@ def claim_code_context(
     return marked if claims_rel is None else marked.join(claims_rel, on="claim_id", how="inner")
 
 
-def apply_edits(context: DataFrame, edits: DataFrame, include_unchecked: bool = False, **rule_params) -> DataFrame:
+CODE_KEYS = ["CMS_Fiscal_Year", "ICD_Version", "ICD_Code_Type", "ICD_Code"]
+
+
+def apply_edits(
+    codes: DataFrame,
+    edits: DataFrame,
+    include_unchecked: bool = False,
+    principal: DataFrame | None = None,
+    edit_rows: int | None = None,
+    **rule_params,
+) -> DataFrame:
     """Single-code MCE edits that fire on claim codes (B17).
 
-    ``context`` is :func:`claim_code_context`; edits join on the release and
-    code.  Output: one row per (claim code, firing edit).  With
-    ``include_unchecked`` the edits that could not be evaluated (the claim
-    lacks the age, sex or LOS the rule needs) are returned too, and
-    ``Edit_Status`` tells 'flag' from 'unchecked'."""
-    keys = ["CMS_Fiscal_Year", "ICD_Version", "ICD_Code_Type", "ICD_Code"]
-    e = edits.select(*keys, "MCE_Edit_Type")
-    j = context.join(e, on=keys, how="inner")
+    ``codes`` carry the claim's release, age, sex and LOS; they meet the edits
+    first (:func:`lookup_join`: broadcast after a count, ``edit_rows`` saves
+    the count, or a salted shuffle), so only codes that have an edit go on to
+    be marked as principal (``principal``: claim_id, Principal_Seq; codes that
+    already have ``Is_Principal`` are taken as they are).  Output: one row per
+    (claim code, firing edit).  With ``include_unchecked`` the edits that could
+    not be evaluated (the claim lacks the age, sex or LOS the rule needs) are
+    returned too, and ``Edit_Status`` tells 'flag' from 'unchecked'."""
+    e = edits.select(*CODE_KEYS, "MCE_Edit_Type")
+    j = lookup_join(codes, e, CODE_KEYS, "inner", ["claim_id"], edit_rows)
+    if "Is_Principal" not in codes.columns:
+        j = mark_principal(j, principal if principal is not None else principal_seq(codes))
     if not include_unchecked:
         return j.filter(edit_rule(**rule_params))
     status = F.when(edit_rule(**rule_params), F.lit("flag")).when(unchecked_rule(), F.lit("unchecked"))
     return j.withColumn("Edit_Status", status).filter(F.col("Edit_Status").isNotNull())
 
 
-def invalid_codes(context: DataFrame, code_tables: DataFrame) -> DataFrame:
+def invalid_codes(codes: DataFrame, code_tables: DataFrame, table_rows: int | None = None) -> DataFrame:
     """Claim codes absent from the code tables of the claim's release (B18)."""
-    keys = ["CMS_Fiscal_Year", "ICD_Version", "ICD_Code_Type", "ICD_Code"]
-    return context.join(code_tables.select(*keys), on=keys, how="left_anti")
+    return lookup_join(codes, code_tables.select(*CODE_KEYS), CODE_KEYS, "left_anti", ["claim_id"], table_rows)
 
 
-def duplicate_principal(codes: DataFrame) -> DataFrame:
+def duplicate_principal(codes: DataFrame, principal: DataFrame | None = None) -> DataFrame:
     """Claims where a secondary diagnosis repeats the principal one (B19):
     (claim_id, Principal_Code, n_occurrences >= 2).
 
-    Two aggregations and no join: per (claim, code) the first position and
-    the count, then per claim the code with the lowest first position.  Both
-    combine map-side, so a claim with a huge number of lines is no hot spot.
+    Per (claim, code) the first position and the count, numbers in a hash
+    aggregate combined map-side, so a claim with a huge number of lines is no
+    hot spot; only codes that occur twice meet their claim's principal position.
     """
-    per_code = (
+    repeated = (
         codes.filter(F.col("ICD_Code_Type") == "D")
         .groupBy("claim_id", "ICD_Code")
-        .agg(F.min("seq").alias("first_seq"), F.count(F.lit(1)).cast("int").alias("n"))
+        .agg(F.min("seq").alias("Principal_Seq"), F.count(F.lit(1)).cast("int").alias("n_occurrences"))
+        .filter(F.col("n_occurrences") >= 2)
     )
-    first = F.min(F.struct(F.col("first_seq"), F.col("ICD_Code").alias("code"), F.col("n")))
-    return (
-        per_code.groupBy("claim_id")
-        .agg(first.alias("_p"))
-        .filter(F.col("_p.n") >= 2)
-        .select("claim_id", F.col("_p.code").alias("Principal_Code"), F.col("_p.n").alias("n_occurrences"))
+    p = principal if principal is not None else principal_seq(codes)
+    return repeated.join(p, on=["claim_id", "Principal_Seq"], how="left_semi").select(
+        "claim_id", F.col("ICD_Code").alias("Principal_Code"), "n_occurrences"
     )
 
 
 def external_cause_principal(
-    codes: DataFrame, claims_rel: DataFrame | None, prefixes: Mapping[int, Sequence[str]]
+    codes: DataFrame, claims_rel: DataFrame | None, prefixes: Mapping[int, Sequence[str]], principal: DataFrame | None = None
 ) -> DataFrame:
     """Claims whose principal diagnosis is an external-cause code (B20).
 
     ``prefixes`` maps ICD version -> code prefixes; the reference names no
     list, so the caller supplies it.  With ``claims_rel=None`` the codes
-    carry the claim's release columns themselves (no join)."""
-    if claims_rel is None:
-        first = F.min(F.struct(F.col("seq").alias("s"), F.col("ICD_Code").alias("c")))
-        p = (
-            codes.filter(F.col("ICD_Code_Type") == "D")
-            .groupBy("claim_id", "CMS_Fiscal_Year", "ICD_Version")
-            .agg(first.alias("_p"))
-            .select("claim_id", "CMS_Fiscal_Year", "ICD_Version", F.col("_p.c").alias("Principal_Code"))
-        )
-    else:
-        p = principal_diagnoses(codes).join(
-            claims_rel.select("claim_id", "CMS_Fiscal_Year", "ICD_Version"), "claim_id"
-        )
-    conds = [
-        (F.col("ICD_Version") == int(v)) & F.col("Principal_Code").startswith(pre)
-        for v, pres in prefixes.items()
-        for pre in pres
-    ]
-    cond = conds[0]
-    for c in conds[1:]:
-        cond = cond | c
-    return p.filter(cond).select("claim_id", "CMS_Fiscal_Year", "ICD_Version", "Principal_Code")
+    carry the claim's release columns themselves (no join).  Only codes with
+    such a prefix meet their claim's principal position."""
+    p = principal if principal is not None else principal_seq(codes)
+    d = codes.filter(F.col("ICD_Code_Type") == "D")
+    if claims_rel is not None:
+        d = d.select("claim_id", "seq", "ICD_Code").join(claims_rel.select("claim_id", "CMS_Fiscal_Year", "ICD_Version"), "claim_id")
+    cond = F.lit(False)
+    for v, pres in prefixes.items():
+        for pre in pres:
+            cond = cond | ((F.col("ICD_Version") == int(v)) & F.col("ICD_Code").startswith(pre))
+    external = d.filter(cond).select("claim_id", F.col("seq").alias("Principal_Seq"), "CMS_Fiscal_Year", "ICD_Version", F.col("ICD_Code").alias("Principal_Code"))
+    return external.join(p, on=["claim_id", "Principal_Seq"], how="left_semi").select("claim_id", "CMS_Fiscal_Year", "ICD_Version", "Principal_Code")

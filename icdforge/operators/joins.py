@@ -1,8 +1,8 @@
 """Join strategies for operators Spark has no single primitive for.
 
 Broadcasts: the library hints ``broadcast`` only for frames whose size is
-bounded by construction (release manifests: one row per release; prefix
-tables: bounded by the alphabet).  Every other join is left to the planner,
+bounded by construction (release manifests: one row per release) or has been
+counted (:func:`lookup_join`).  Every other join is left to the planner,
 whose ``autoBroadcastJoinThreshold`` (static statistics) and AQE (runtime
 sizes) pick a broadcast only under the configured size and fall back to a
 shuffled sort-merge join otherwise; AQE's skew-join rule splits hot keys.
@@ -10,6 +10,8 @@ shuffled sort-merge join otherwise; AQE's skew-join rule splits hot keys.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,43 +19,40 @@ from pyspark.sql import functions as F
 # most 7 upper-case letters or digits.
 CODE_ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 MAX_CODE_LENGTH = 7
-_CODE_OK = "^[0-9A-Z]*$"
 
 
-def range_cover(lo: str, hi: str, alphabet: str = CODE_ALPHABET, max_len: int = MAX_CODE_LENGTH) -> list[str]:
-    """Canonical cover of the code range [lo, hi] (byte order) in the trie of
-    codes over ``alphabet`` up to ``max_len`` characters.
+#: a counted table up to this size is broadcast (about 100 bytes a row)
+BROADCAST_ROWS = 200_000
+#: ways in which the rows of one key are dealt when the table is larger
+SALTS = 16
 
-    Returns entries ``P:<prefix>`` (every code starting with the prefix is in
-    the range) and ``E:<code>`` (that exact code is in the range).  Covered
-    subtrees are disjoint, so each code in the range matches exactly one
-    entry through one of its prefixes or itself, and no code outside matches.
-    At most about 2 * len(alphabet) * max_len entries per range.
-    """
-    if lo is None or hi is None or lo > hi:
-        return []
-    top = alphabet[-1]
-    out: list[str] = []
 
-    def visit(p: str) -> None:
-        last = p + top * (max_len - len(p))  # largest code in the subtree
-        if last < lo or p > hi:
-            return
-        if p >= lo and last <= hi:
-            out.append("P:" + p)
-            return
-        if lo <= p <= hi and p:
-            out.append("E:" + p)  # the node itself is a code in range
-        if len(p) < max_len:
-            for ch in alphabet:
-                visit(p + ch)
+def lookup_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str, salt: Sequence[str], table_rows: int | None = None) -> DataFrame:
+    """Join many ``rows`` to a code table on ``keys`` (inner, left_semi or
+    left_anti), whatever the skew of the keys among the rows.
 
-    visit("")
-    return out
+    The table is counted (or its count given): up to ``BROADCAST_ROWS`` it is
+    broadcast; beyond that both sides are shuffled, the rows of one key dealt
+    over ``SALTS`` tasks by a hash of the ``salt`` columns and the table
+    repeated once for each."""
+    n = table.count() if table_rows is None else table_rows
+    if n <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table), on=list(keys), how=how)
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt), F.lit(SALTS)).cast("int"))
+    repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(repeated, on=[*keys, "_salt"], how=how).drop("_salt")
 
 
 def range_cover_column(lo: str, hi: str, alphabet: str = CODE_ALPHABET, max_len: int = MAX_CODE_LENGTH) -> Column:
-    """:func:`range_cover` as a built-in expression over columns ``lo``, ``hi``.
+    """Canonical cover of the code range [lo, hi] (byte order) in the trie of
+    codes over ``alphabet`` up to ``max_len`` characters, as a built-in
+    expression over columns ``lo``, ``hi``.
+
+    Entries are ``P:<prefix>`` (every code starting with the prefix is in the
+    range) and ``E:<code>`` (that exact code is).  Covered subtrees are
+    disjoint, so each code in the range matches exactly one entry through one
+    of its prefixes or itself, and no code outside matches.  At most about
+    2 * len(alphabet) * max_len entries per range.
 
     Only nodes on the paths of ``lo`` and ``hi`` can straddle a bound, so the
     candidates are those path nodes and their children; a candidate is a
@@ -91,10 +90,22 @@ def range_cover_column(lo: str, hi: str, alphabet: str = CODE_ALPHABET, max_len:
     return F.expr(f"case when {lo} <= {hi} then concat({prefixes}, {exact}) else array() end")
 
 
-def _code_key(code: Column, i: Column) -> Column:
-    """Join key number ``i`` of a code: -1 is ``E:<code>``, 0..len(code) are
-    ``P:<prefix of length i>`` (including the empty prefix and the code)."""
-    return F.when(i < 0, F.concat(F.lit("E:"), code)).otherwise(F.concat(F.lit("P:"), F.substring(code, F.lit(1), i)))
+def _bad_code(code: Column, alphabet: str, max_len: int) -> Column:
+    outside = F.translate(code, alphabet, "") != ""
+    return F.coalesce(outside | (F.length(code) > max_len) | (code == ""), F.lit(True))
+
+
+def range_problems(codes: DataFrame, ranges: DataFrame, code_col: str, lo_col: str = "Range_Lo", hi_col: str = "Range_Hi",
+                   alphabet: str = CODE_ALPHABET, max_len: int = MAX_CODE_LENGTH) -> DataFrame:
+    """What :func:`expand_ranges` leaves out, as rows (side, value, reason):
+    codes and bounds that are null, empty, too long or hold other characters
+    than the alphabet's after upper-casing, and ranges whose low end is above
+    the high end."""
+    c = codes.filter(_bad_code(F.upper(code_col), alphabet, max_len)).select(F.lit("code").alias("side"), F.col(code_col).alias("value"), F.lit("not_a_code").alias("reason"))
+    lo, hi = F.upper(lo_col), F.upper(hi_col)
+    bad = _bad_code(lo, alphabet, max_len) | _bad_code(hi, alphabet, max_len)
+    r = ranges.select(F.lit("range").alias("side"), F.concat_ws("-", lo_col, hi_col).alias("value"), F.when(bad, "not_a_code").when(lo > hi, "low_above_high").alias("reason"))
+    return c.unionByName(r.filter(F.col("reason").isNotNull()))
 
 
 def expand_ranges(
@@ -106,23 +117,27 @@ def expand_ranges(
     alphabet: str = CODE_ALPHABET,
     max_len: int = MAX_CODE_LENGTH,
 ) -> DataFrame:
-    """Range join ``lo <= code <= hi`` (byte order) as an exact equi-join.
+    """Range join ``lo <= code <= hi`` (byte order, after upper-casing) as an
+    exact equi-join.
 
     Each range becomes its trie cover (:func:`range_cover_column`, built-in
-    higher-order functions evaluated once per range), each code its
-    <= max_len + 2 keys; the equi-join on the key returns exactly the matching (code, range)
-    pairs - no candidate pairs are generated and filtered, so a prefix shared
-    by many codes and ranges costs only the true output.  Codes must consist
-    of ``alphabet`` characters and be at most ``max_len`` long; others fail
-    the query instead of being skipped.  Ranges with ``lo > hi`` are empty.
+    higher-order functions evaluated once per range), each code one key per
+    prefix length that the covers use (at most ``max_len`` numbers, from a
+    small aggregate of the ranges) and its own key where exact entries exist;
+    the equi-join on the key returns exactly the matching (code, range) pairs.
+    No key is the empty prefix, so no key holds every code.  What cannot be
+    compared is left out and reported by :func:`range_problems`.
     """
-    code = F.col(code_col)
-    bad = ~code.rlike(_CODE_OK) | (F.length(code) > max_len) if alphabet == CODE_ALPHABET else (
-        F.length(code) > max_len
-    )
-    checked = F.when(bad, F.raise_error(F.concat(F.lit("code outside the code alphabet or too long: "), code))).otherwise(code)
-    c = codes.withColumn("_i", F.explode(F.sequence(F.lit(-1), F.length(checked)))).withColumn(
-        "_key", _code_key(F.col(code_col), F.col("_i"))
-    ).drop("_i")
-    r = ranges.withColumn("_key", F.explode(range_cover_column(f"`{lo_col}`", f"`{hi_col}`", alphabet, max_len)))
+    good = ~_bad_code(F.upper(lo_col), alphabet, max_len) & ~_bad_code(F.upper(hi_col), alphabet, max_len)
+    upper = ranges.filter(good).withColumns({"_lo": F.upper(lo_col), "_hi": F.upper(hi_col)})
+    r = upper.withColumn("_key", F.explode(range_cover_column("_lo", "_hi", alphabet, max_len))).drop("_lo", "_hi")
+    used = [(k[0], n) for k, n in r.select(F.substring("_key", 1, 1).alias("k"), (F.length("_key") - 2).alias("n")).distinct().collect()]  # at most max_len + 1 prefix lengths and exact lengths
+    code = F.upper(code_col)
+    keys = [F.when(F.length(code) >= n, F.concat(F.lit("P:"), F.substring(code, 1, n))) for k, n in sorted(used) if k == "P"]
+    exact = [n for k, n in used if k == "E"]
+    if exact:
+        keys.append(F.when(F.length(code).isin(exact), F.concat(F.lit("E:"), code)))
+    if not keys:
+        keys = [F.lit(None).cast("string")]
+    c = codes.filter(~_bad_code(code, alphabet, max_len)).withColumn("_key", F.explode(F.array_compact(F.array(*keys))))
     return c.join(r, on="_key", how="inner").drop("_key")

@@ -14,18 +14,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def key_value(df: DataFrame, column: str) -> F.Column:
+    """A key column as the tables compare it: text without regard to case and
+    trailing blanks (their collation is case-insensitive)."""
+    text = df.schema[column].dataType.simpleString().startswith(("string", "varchar", "char"))
+    return F.upper(F.rtrim(F.col(column))).alias(column) if text else F.col(column)
+
+
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys held by more than one row, with the row count (``n_rows``)."""
+    """Keys held by more than one row, as compared, with the row count
+    (``n_rows``)."""
     return (
-        df.groupBy(*keys)
+        df.select(*(key_value(df, k) for k in keys))
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).cast("int").alias("n_rows"))
         .filter(F.col("n_rows") > 1)
     )
 
 
 def key_collisions(new_rows: DataFrame, kept_rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """New rows whose key already exists among the rows a load keeps."""
-    return new_rows.join(kept_rows.select(*keys), on=list(keys), how="left_semi")
+    """Keys, as compared, of new rows that exist among the rows a load keeps."""
+    new = new_rows.select(*(key_value(new_rows, k) for k in keys))
+    return new.join(kept_rows.select(*(key_value(kept_rows, k) for k in keys)), on=list(keys), how="left_semi")
 
 
 def _exploded_report(df: DataFrame, id_cols: Sequence[str], entries: list[F.Column]) -> DataFrame:
@@ -95,14 +105,10 @@ def functional_dependency_report(
 ) -> DataFrame:
     """For each ``lhs`` value within ``scope``: how many distinct ``rhs``
     values it maps to (``n_distinct``; > 1 breaks the dependency)."""
-    key = F.concat_ws("|", *[F.col(c).cast("string") for c in lhs])
-    val = F.concat_ws("|", *[F.col(c).cast("string") for c in rhs])
-    return (
-        df.select(*scope, key.alias("key"), val.alias("_val"))
-        .groupBy(*scope, "key")
-        .agg(F.countDistinct("_val").cast("int").alias("n_distinct"))
-        .withColumn("key_kind", F.lit(label))
-    )
+    # values are compared column by column (a NULL is a value of its own)
+    per = df.groupBy(*scope, *lhs).agg(F.countDistinct(F.struct(*rhs)).cast("int").alias("n_distinct"))
+    key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in lhs])
+    return per.select(*scope, key.alias("key"), "n_distinct", F.lit(label).alias("key_kind"))
 
 
 # --- fixed values: diagnosis codes whose descriptions carry accents --------

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import fiscal_year, fiscal_year_end, fiscal_year_start
 from ..sources.lines import FILE_NAME
+from ..sources.parse import REASON
 
 # --- fixed values: the releases loaded by each job ---------------------------
 # (ICD version, CMS fiscal year, file name); every release is effective from
@@ -116,9 +117,11 @@ def ordered(manifest_df: DataFrame) -> DataFrame:
 def attach_release(rows: DataFrame, manifest_df: DataFrame, on: str = FILE_NAME) -> DataFrame:
     """Stamp release constants on every row of a file.
 
-    Inner equi-join on the file name; a file named by several releases is
-    stamped once per release.  The manifest holds one row per release, so it
-    is broadcast (its size is bounded by the number of releases, not by data).
+    Equi-join on the file name; a file named by several releases is stamped
+    once per release.  Rows of a file that no release names stay, without
+    release constants; parsed rows among them are rejects with the reason
+    ``unknown_release``.  The manifest holds one row per release, so it is
+    broadcast (its size is bounded by the number of releases, not by data).
     The manifest's version arrives as ``Release_ICD_Version``.
     """
     m = manifest_df.select(
@@ -128,7 +131,11 @@ def attach_release(rows: DataFrame, manifest_df: DataFrame, on: str = FILE_NAME)
         "Effective_Date",
         "End_Date",
     )
-    return rows.join(F.broadcast(m), on=on, how="inner")
+    out = rows.join(F.broadcast(m), on=on, how="left")
+    if REASON in rows.columns:
+        unknown = F.when(F.col("Release_ICD_Version").isNull(), F.lit("unknown_release"))
+        out = out.withColumn(REASON, F.coalesce(F.col(REASON), unknown))
+    return out
 
 
 def release_of_date(df: DataFrame, date_col: str, manifest_df: DataFrame, how: str = "left") -> DataFrame:

@@ -45,26 +45,6 @@ EXTERNAL_PREFIXES = {9: ("E",), 10: ("V", "W", "X", "Y")}
 
 
 # =============================================================== Spark side ==
-_PLANS: dict = {}
-
-
-def _memo(fn):
-    """Build a derived table's plan once per (session, data set): queries
-    that share it reuse the same lazy DataFrame (no data is cached).  The
-    cached DataFrames keep their session alive, so its ``id`` cannot be
-    reused by another session while the entry exists."""
-
-    def wrapper(spark, sf, *args):
-        key = (fn.__name__, id(spark), sf, args)
-        if key not in _PLANS:
-            _PLANS[key] = fn(spark, sf, *args)
-        return _PLANS[key]
-
-    wrapper.__name__ = fn.__name__
-    wrapper.__doc__ = fn.__doc__
-    return wrapper
-
-
 def _load(spark, sf, kind, version, table="dx", lines=None):
     if lines is None:
         lines = T.release_lines(spark, sf, kind, version, table)
@@ -74,17 +54,14 @@ def _load(spark, sf, kind, version, table="dx", lines=None):
     return good
 
 
-@_memo
 def dx_rows(spark, sf, version):
     return _load(spark, sf, "desc", version, "dx").select(*DX_COLS)
 
 
-@_memo
 def dx_union(spark, sf):
     return dx_rows(spark, sf, 9).unionByName(dx_rows(spark, sf, 10))
 
 
-@_memo
 def px_union(spark, sf):
     def one(v):
         return _load(spark, sf, "desc", v, "proc").withColumnRenamed("Diagnosis_Code", "Procedure_Code").select(*PX_COLS)
@@ -92,22 +69,18 @@ def px_union(spark, sf):
     return one(9).unionByName(one(10))
 
 
-@_memo
 def poa_rows(spark, sf, version):
     return _load(spark, sf, "poa", version).select(*POA_COLS)
 
 
-@_memo
 def poa_union(spark, sf):
     return poa_rows(spark, sf, 9).unionByName(poa_rows(spark, sf, 10))
 
 
-@_memo
 def mce_rows(spark, sf):
     return _load(spark, sf, "mce", None).select(*MCE_COLS)
 
 
-@_memo
 def code_tables(spark, sf):
     return analytics.code_dimension(dx_union(spark, sf), px_union(spark, sf))
 
@@ -210,9 +183,14 @@ def q_release_filter(spark, sf):
     return out
 
 
+UNLISTED = "p_partkey % 19 = 0"  # lines of a file that no release names
+
+
 def q_attach_release(spark, sf):
-    parsed = parse(T.release_lines(spark, sf, "poa", 9), layouts.POA_ICD9)
-    att = releases.attach_release(parsed, T.adapter_manifest(spark, "poa"))
+    pr = T.part_releases(spark, sf).filter((F.col("ver") == 9) & F.col("exempt") & (F.col("fy") != T.POA_SHARED[1]))
+    name = F.expr(f"case when {UNLISTED} then 'unlisted.txt' else {T.FILE_NAMES[('poa', 9)]} end")
+    lines = pr.select(F.expr(T.line_expr("poa", 9)).alias("value"), name.alias(FILE_NAME))
+    att = releases.attach_release(parse(lines, layouts.POA_ICD9), T.adapter_manifest(spark, "poa"))
     return att.select(
         FILE_NAME,
         F.col("Release_ICD_Version").alias("ICD_Version"),
@@ -220,6 +198,7 @@ def q_attach_release(spark, sf):
         "Effective_Date",
         "End_Date",
         "Diagnosis_Code",
+        F.col(REASON).alias("reason"),
     )
 
 
@@ -296,11 +275,13 @@ def q_code_period(spark, sf):
 
 
 def _dup_lines(spark, sf, version):
-    """Release lines plus a second line for the same code where p % 29 = 0."""
+    """Release lines plus a second line for the same code where p % 29 = 0,
+    and one for the code in lower case where p % 29 = 1."""
     pr = T.part_releases(spark, sf).filter(F.col("ver") == version)
     name = F.expr(T.FILE_NAMES[("dx", version)]).alias(FILE_NAME)
     base = pr.select(F.expr(T.line_expr("desc", version)).alias("value"), name)
-    dup = pr.filter(F.expr("p_partkey % 29 = 0")).withColumn("short", F.expr("'dup ' || short"))
+    dup = pr.filter(F.expr("p_partkey % 29 <= 1")).withColumn("short", F.expr("'dup ' || short"))
+    dup = dup.withColumn("dx_code", F.expr("case when p_partkey % 29 = 1 then lower(dx_code) else dx_code end"))
     dup = dup.select(F.expr(T.line_expr("desc", version)).alias("value"), name)
     return base.unionByName(dup)
 
@@ -391,15 +372,14 @@ def q_desc_changes(spark, sf):
     return analytics.description_changes(dx_union(spark, sf), "Diagnosis_Code")
 
 
-RANGE_LO = "chr(cast(65 + p_partkey % 26 as integer)) || lpad(cast(p_partkey as string), 6, '0')"
-RANGE_HI = "substring(chr(cast(65 + p_partkey % 26 as integer)) || lpad(cast(p_partkey as string), 6, '0'), 1, 5) || '99'"
+# every part is the low end of a range of codes that share its first six characters
+RANGE_LO = T.dx10("p_partkey", T.letters("p_partkey"))
+RANGE_HI = f"substring({RANGE_LO}, 1, 6) || 'Z'"
 
 
 def q_range_expand(spark, sf):
-    ranges = (
-        T.read_table(spark, sf, "part")
-        .filter("p_size <= 3")
-        .select(F.expr(RANGE_LO).alias("Range_Lo"), F.expr(RANGE_HI).alias("Range_Hi"))
+    ranges = T.read_table(spark, sf, "part").select(
+        F.expr(T.spark_sql(RANGE_LO)).alias("Range_Lo"), F.expr(T.spark_sql(RANGE_HI)).alias("Range_Hi")
     )
     codes = dx_rows(spark, sf, 10).select("CMS_Fiscal_Year", "Diagnosis_Code")
     return expand_ranges(codes, ranges, "Diagnosis_Code").select("Range_Lo", "Range_Hi", "CMS_Fiscal_Year", "Diagnosis_Code")
@@ -436,24 +416,10 @@ def q_length_profile(spark, sf):
 
 
 # ---------------------------------------------------------------- claims ----
-def _code9(p: str) -> str:
-    r, q = f"{p} % 10", f"cast(({p} - {p} % 10) / 10 as bigint)"
-    return (
-        f"case when {r} = 0 then 'E' || {T._zpad(q, f'3 + {q} % 2')}"
-        f" when {r} = 1 then 'V' || {T._zpad(q, f'2 + {q} % 3')}"
-        f" else {T._zpad(p, f'3 + {p} % 3')} end"
-    )
-
-
 # claim codes of a part, only the branch of the claim's version is evaluated
-CLAIM_DX = (
-    f"case when ver = 10 then {T._letter('p_partkey')} || lpad(cast(p_partkey as string), 6, '0')"
-    f" else {_code9('p_partkey')} end"
-)
-CLAIM_PX = (
-    f"case when ver = 10 then '0' || {T._letter('p_partkey')} || lpad(cast(p_partkey as string), 5, '0')"
-    f" else {T._zpad('p_partkey', '3 + p_partkey % 2')} end"
-)
+CLAIM_DX = f"case when ver = 10 then {T.dx10('p_partkey', 'q26')} else {T.dx9('p_partkey', 'r10', 'q10')} end"
+CLAIM_PX = f"case when ver = 10 then {T.px10('p_partkey', 'q26')} else {T.px9('p_partkey')} end"
+CLAIM_PARTS = {"r10": "p_partkey % 10", "q10": T.tens("p_partkey"), "q26": T.letters("p_partkey")}
 # claim line order (line number, part key) as one orderable number
 SEQ_SCALE = 10**12
 CLAIM_FY_OF_SERVICE = (
@@ -461,7 +427,6 @@ CLAIM_FY_OF_SERVICE = (
 )
 
 
-@_memo
 def claim_headers(spark, sf):
     o = T.read_table(spark, sf, "orders")
     return o.select(
@@ -473,37 +438,30 @@ def claim_headers(spark, sf):
     )
 
 
-@_memo
 def claim_rel(spark, sf):
     """Claim headers with the release of their service date (broadcast manifest)."""
     return claims.claims_with_release(claim_headers(spark, sf), T.adapter_manifest(spark, "dx"))
 
 
-@_memo
 def claim_codes(spark, sf):
     """Long claim codes carrying their claim's header: each line item gives its
-    part's diagnosis code, lines with quantity >= 30 also its procedure code,
-    in the claim's ICD version.  Lines meet their header in one join."""
-    li = T.spread(T.read_table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity"))
+    part's diagnosis and procedure code in the claim's ICD version.  Lines meet
+    their header in one join."""
+    li = T.read_table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").alias("p_partkey"), "l_linenumber")
     rel = claim_rel(spark, sf)
+    header = ["service_date", "age", "sex", "los_hours", "CMS_Fiscal_Year", "ICD_Version"]
     j = li.join(rel, li.l_orderkey == rel.claim_id).select(
-        "claim_id", F.col("l_partkey").alias("p_partkey"), "l_linenumber", "l_quantity",
-        "service_date", "age", "sex", "los_hours", "CMS_Fiscal_Year", "ICD_Version",
+        "claim_id", "p_partkey", (F.col("l_linenumber").cast("bigint") * SEQ_SCALE + F.col("p_partkey")).alias("seq"), *header,
         F.expr(f"case when {CLAIM_FY_OF_SERVICE} >= {T.ICD10_FROM} then 10 else 9 end").alias("ver"),
+        *(F.expr(e).alias(n) for n, e in CLAIM_PARTS.items()),
     )
     # both code types of a line from one pass over the joined lines
-    dx = F.struct(F.lit("D").alias("t"), F.expr(CLAIM_DX).alias("c"))
-    px = F.when(F.col("l_quantity") >= 30, F.struct(F.lit("P").alias("t"), F.expr(CLAIM_PX).alias("c")))
-    seq = F.col("l_linenumber").cast("bigint") * SEQ_SCALE + F.col("p_partkey")
-    header = ["service_date", "age", "sex", "los_hours", "CMS_Fiscal_Year", "ICD_Version"]
-    return (
-        j.select("claim_id", seq.alias("seq"), *header, F.explode(F.array(dx, px)).alias("_c"))
-        .filter(F.col("_c").isNotNull())
-        .select("claim_id", "seq", F.col("_c.t").alias("ICD_Code_Type"), F.col("_c.c").alias("ICD_Code"), *header)
+    both = [F.struct(F.lit(t).alias("t"), F.expr(T.spark_sql(e)).alias("c")) for t, e in (("D", CLAIM_DX), ("P", CLAIM_PX))]
+    return j.select("claim_id", "seq", *header, F.explode(F.array(*both)).alias("_c")).select(
+        "claim_id", "seq", F.col("_c.t").alias("ICD_Code_Type"), F.col("_c.c").alias("ICD_Code"), *header
     )
 
 
-@_memo
 def claim_principal(spark, sf):
     """Principal line of each claim straight from ``lineitem``: every line
     carries a diagnosis, so the lowest (line number, part) is the principal
@@ -513,31 +471,25 @@ def claim_principal(spark, sf):
     return li.groupBy(F.col("l_orderkey").alias("claim_id")).agg(F.min(seq).alias("Principal_Seq"))
 
 
-@_memo
-def claim_context(spark, sf):
-    # codes already carry the header: no second join with the claims
-    return claims.claim_code_context(claim_codes(spark, sf), None, claim_principal(spark, sf))
-
-
 def q_claim_edits(spark, sf):
-    return claims.apply_edits(claim_context(spark, sf), mce_rows(spark, sf)).select(
+    return claims.apply_edits(claim_codes(spark, sf), mce_rows(spark, sf), principal=claim_principal(spark, sf)).select(
         "claim_id", "CMS_Fiscal_Year", "ICD_Code_Type", "ICD_Code", "Is_Principal", "MCE_Edit_Type"
     )
 
 
 def q_invalid_code(spark, sf):
-    return claims.invalid_codes(claim_context(spark, sf), code_tables(spark, sf)).select(
+    return claims.invalid_codes(claim_codes(spark, sf), code_tables(spark, sf)).select(
         "claim_id", "CMS_Fiscal_Year", "ICD_Version", "ICD_Code_Type", "ICD_Code"
     )
 
 
 def q_dup_pdx(spark, sf):
-    return claims.duplicate_principal(claim_codes(spark, sf))
+    return claims.duplicate_principal(claim_codes(spark, sf), claim_principal(spark, sf))
 
 
 def q_external_pdx(spark, sf):
     # the claim codes carry their release columns: no join back to the claims
-    return claims.external_cause_principal(claim_codes(spark, sf), None, EXTERNAL_PREFIXES)
+    return claims.external_cause_principal(claim_codes(spark, sf), None, EXTERNAL_PREFIXES, claim_principal(spark, sf))
 
 
 QUERIES: dict[str, Query] = {

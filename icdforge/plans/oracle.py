@@ -40,11 +40,11 @@ def _dates(fy: str) -> str:
     )
 
 
+# characters before the period: E codes 4, others 3; a code of just that length takes none
+_CATEGORY = "(CASE WHEN code[1] = 'E' THEN 4 ELSE 3 END)"
 PERIOD = (
-    "CASE WHEN code LIKE 'E%' THEN (CASE WHEN length(code) = 4 THEN code WHEN length(code) > 4 THEN"
-    " substring(code, 1, 4) || '.' || substring(code, 5, length(code) - 4) END)"
-    " WHEN regexp_matches(code, '^[V0-9]') THEN (CASE WHEN length(code) = 3 THEN code WHEN length(code) > 3 THEN"
-    " substring(code, 1, 3) || '.' || substring(code, 4, length(code) - 3) END) END"
+    f"CASE WHEN regexp_matches(code, '^[EV0-9]') AND length(code) >= {_CATEGORY}"
+    f" THEN rtrim(left(code, {_CATEGORY}) || '.' || substring(code, {_CATEGORY} + 1), '.') END"
 )
 
 
@@ -108,13 +108,12 @@ CLAIMS = {
   cast(o_custkey % 100 as integer) AS age, CASE WHEN o_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS sex,
   cast(o_orderkey % 10 as integer) * 24 AS los_hours, m.CMS_Fiscal_Year, m.ICD_Version
 FROM orders LEFT JOIN man m ON {FY_OF.format(d='o_orderdate')} = m.CMS_Fiscal_Year""",
-    "cl0": f"""SELECT l_orderkey AS claim_id, l_partkey AS p_partkey, l_linenumber, l_quantity,
+    "cl0": f"""SELECT l_orderkey AS claim_id, l_partkey AS p_partkey, l_linenumber,
+  {', '.join(f"{e.replace('p_partkey', 'l_partkey')} AS {n}" for n, e in C.CLAIM_PARTS.items())},
   CASE WHEN {FY_OF.format(d='o_orderdate')} >= {T.ICD10_FROM} THEN 10 ELSE 9 END AS ver
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
-    "cl1": "SELECT * FROM cl0",
-    "ccodes": f"""SELECT claim_id, l_linenumber, p_partkey, 'D' AS ICD_Code_Type, {C.CLAIM_DX} AS ICD_Code FROM cl1
-UNION ALL SELECT claim_id, l_linenumber, p_partkey, 'P' AS ICD_Code_Type, {C.CLAIM_PX} AS ICD_Code
-FROM cl1 WHERE l_quantity >= 30""",
+    "ccodes": f"""SELECT claim_id, l_linenumber, p_partkey, 'D' AS ICD_Code_Type, {C.CLAIM_DX} AS ICD_Code FROM cl0
+UNION ALL SELECT claim_id, l_linenumber, p_partkey, 'P' AS ICD_Code_Type, {C.CLAIM_PX} AS ICD_Code FROM cl0""",
     "principal": """SELECT claim_id, min(cast(l_linenumber as bigint) * 1000000000000 + p_partkey) AS pkey
 FROM ccodes WHERE ICD_Code_Type = 'D' GROUP BY claim_id""",
     "pcode": """SELECT DISTINCT c.claim_id, c.ICD_Code AS Principal_Code FROM ccodes c JOIN principal p
@@ -133,7 +132,7 @@ def _with(*names: str, extra: dict | None = None) -> str:
     src = {**BASE, **CLAIMS, **(extra or {})}
     deps = {
         "dx": ["pr"], "px": ["pr"], "poa9src": ["pr"], "poa": ["pr", "poa9src"], "mce": ["mr"],
-        "codes": ["dx", "px"], "hdr": ["man"], "cl1": ["cl0"], "ccodes": ["cl1"], "principal": ["ccodes"],
+        "codes": ["dx", "px"], "hdr": ["man"], "ccodes": ["cl0"], "principal": ["ccodes"],
         "pcode": ["ccodes", "principal"], "ctx": ["ccodes", "principal", "hdr"],
     }
     need: list[str] = []
@@ -221,10 +220,12 @@ FROM ({man_from_orders})"""
             f"SELECT '{which}' AS Which_ICD_Version_To_Load, cast(ICD_Version as integer) AS ICD_Version, CMS_Fiscal_Year, CMS_File_Name FROM mo WHERE {cond}"
         )
     q["release_filter"] = f"WITH mo AS ({mo})\n" + "\nUNION ALL\n".join(parts)
-    q["attach_release"] = _with("poa9src") + f"""SELECT 'POA_Exempt_FY' || cast(fy as string) || '.txt' AS CMS_File_Name,
-  9 AS ICD_Version, cast(fy_out as integer) AS CMS_Fiscal_Year, {_dates('fy_out')},
-  CASE WHEN p_partkey % 4 = 0 THEN lower(code9) ELSE code9 END AS Diagnosis_Code
-FROM poa9src"""
+    poa_code = "CASE WHEN p_partkey % 4 = 0 THEN lower(code9) ELSE code9 END AS Diagnosis_Code"
+    q["attach_release"] = _with("poa9src") + f"""SELECT {_file('poa', 9)} AS CMS_File_Name,
+  9 AS ICD_Version, cast(fy_out as integer) AS CMS_Fiscal_Year, {_dates('fy_out')}, {poa_code}, cast(NULL AS varchar) AS reason
+FROM poa9src WHERE NOT {C.UNLISTED}
+UNION ALL
+SELECT 'unlisted.txt', NULL, NULL, NULL, NULL, {poa_code}, 'unknown_release' FROM poa9src WHERE {C.UNLISTED} AND fy = fy_out"""
     q["version_mismatch"] = _with("mr") + f"""SELECT {_file('mce', None)} AS CMS_File_Name, cast(fy as integer) AS CMS_Fiscal_Year,
   cast(ver as integer) AS Release_ICD_Version, CASE WHEN ver = 10 THEN 9 ELSE 10 END AS ICD_Version, mce_code AS ICD_Code
 FROM mr WHERE p_partkey % 23 = 7"""
@@ -246,7 +247,7 @@ FROM orders"""
   CASE WHEN ICD_Version = 9 THEN {PERIOD} END AS Diagnosis_Code_With_Period
 FROM (SELECT *, Diagnosis_Code AS code FROM dx)"""
     q["pk_violations"] = _with("dx") + """SELECT CMS_Fiscal_Year, ICD_Version, Diagnosis_Code, 2 AS n_rows
-FROM dx WHERE p_partkey % 29 = 0"""
+FROM dx WHERE p_partkey % 29 <= 1"""
     q["not_null_violations"] = _with("poa9src") + f"""SELECT CMS_Fiscal_Year, ICD_Version, Diagnosis_Code, column_name FROM (
   SELECT cast(fy_out as integer) AS CMS_Fiscal_Year, 9 AS ICD_Version,
     substring(trim(upper('X' || substring(code9, 2))), 1, 5) AS Diagnosis_Code, 'Diagnosis_Code_With_Period' AS column_name
@@ -280,7 +281,7 @@ ON c.CMS_Fiscal_Year = e.CMS_Fiscal_Year AND c.ICD_Version = e.ICD_Version
 FROM dx d LEFT JOIN (SELECT DISTINCT CMS_Fiscal_Year, ICD_Version, Diagnosis_Code FROM poa) p
   ON d.CMS_Fiscal_Year = p.CMS_Fiscal_Year AND d.ICD_Version = p.ICD_Version AND d.Diagnosis_Code = p.Diagnosis_Code"""
     cols = ", ".join(f"cast(count(*) FILTER (WHERE CMS_Fiscal_Year = {fy}) as integer) AS FY_{fy}" for fy in FYS)
-    q["edit_pivot"] = _with("mce") + f"SELECT MCE_Section, MCE_Edit_Type, ICD_Code_Type, {cols} FROM mce GROUP BY MCE_Section, MCE_Edit_Type, ICD_Code_Type"
+    q["edit_pivot"] = _with("mce") + f"SELECT MCE_Section, MCE_Subsection, MCE_Edit_Type, ICD_Code_Type, {cols} FROM mce GROUP BY ALL"
     q["fd_check"] = _with("mce") + """SELECT 'section->type' AS key_kind, CMS_Fiscal_Year,
   concat_ws('|', cast(MCE_Section as string), MCE_Subsection) AS key,
   cast(count(DISTINCT concat_ws('|', MCE_Edit_Type, ICD_Code_Type)) as integer) AS n_distinct
@@ -309,7 +310,7 @@ WHERE p.Code_Desc_Long <> d.Code_Desc_Long"""
   FROM dx WINDOW w AS (PARTITION BY ICD_Version, Diagnosis_Code ORDER BY CMS_Fiscal_Year))
 WHERE Prev_Desc IS NOT NULL AND Prev_Desc <> Code_Desc_Long"""
     q["range_expand"] = _with("dx") + f"""SELECT r.Range_Lo, r.Range_Hi, d.CMS_Fiscal_Year, d.Diagnosis_Code
-FROM (SELECT {C.RANGE_LO} AS Range_Lo, {C.RANGE_HI} AS Range_Hi FROM part WHERE p_size <= 3) r
+FROM (SELECT {C.RANGE_LO} AS Range_Lo, {C.RANGE_HI} AS Range_Hi FROM part) r
 JOIN dx d ON d.ICD_Version = 10 AND d.Diagnosis_Code BETWEEN r.Range_Lo AND r.Range_Hi"""
     delta = """SELECT coalesce(o.ICD_Version, n.ICD_Version) AS ICD_Version, coalesce(o.From_FY, n.From_FY) AS From_FY,
   coalesce(o.To_FY, n.To_FY) AS To_FY, coalesce(o.Diagnosis_Code, n.Diagnosis_Code) AS Diagnosis_Code,
@@ -363,4 +364,4 @@ FROM pcode p JOIN hdr h ON p.claim_id = h.claim_id WHERE {ext}"""
     return q
 
 
-ORACLE_SQL: dict[str, str] = build()
+ORACLE_SQL: dict[str, str] = {k: T.duck_sql(v) for k, v in build().items()}

@@ -40,24 +40,83 @@ def _s(x: str) -> str:
     return f"cast({x} as string)"
 
 
-def _zpad(num: str, min_len: str) -> str:
-    """Zero-pad a non-negative integer to at least ``min_len`` digits."""
-    return f"lpad({_s(num)}, cast(greatest(length({_s(num)}), {min_len}) as integer), '0')"
-
-
 def _letter(num: str) -> str:
     return f"chr(cast(65 + {num} % 26 as integer))"
 
 
+# --- codes: injective in the part key up to a stated capacity, loud beyond it ---
+DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+RAISE = "__raise__"  # raise_error in Spark, error in DuckDB
+
+
+def base36(num: str, width: int) -> str:
+    """``num`` in base 36, ``width`` digits."""
+    def digit(k: int) -> str:
+        return f"substring('{DIGITS}', cast(({num} % {36 ** (k + 1)} - {num} % {36 ** k}) / {36 ** k} as integer) + 1, 1)"
+
+    return "(" + " || ".join(digit(k) for k in reversed(range(width))) + ")"
+
+
+def base36_short(num: str, width: int, least: str) -> str:
+    """``num`` in base 36 with ``least`` to ``width`` digits: zeros lead only
+    up to ``least`` digits, so different numbers never share a text."""
+    own = " ".join(f"when {num} >= {36 ** k} then {k + 1}" for k in reversed(range(1, width)))
+    return f"substring({base36(num, width)}, cast({width + 1} - greatest(case {own} else 1 end, {least}) as integer))"
+
+
+def within(num: str, capacity: int, what: str, expr: str) -> str:
+    return f"case when {num} >= {capacity} then {RAISE}('{what}: no code for part ' || {_s(num)}) else {expr} end"
+
+
+def tens(p: str) -> str:
+    return f"cast(({p} - {p} % 10) / 10 as bigint)"
+
+
+def letters(p: str) -> str:
+    return f"cast(({p} - {p} % 26) / 26 as bigint)"
+
+
+DX9_PARTS = 10 * 36**4
+PX9_PARTS = 36**5
+DX10_PARTS = 26 * 36**6
+PX10_PARTS = 26 * 36**5
+
+
+def dx9(p: str, r10: str, q10: str) -> str:
+    """ICD-9 diagnosis code of a part: E, V or a digit, then 2 to 4 characters."""
+    return within(p, DX9_PARTS, "ICD-9 diagnosis", (
+        f"(case when {r10} = 0 then 'E' || {base36_short(q10, 4, f'3 + {q10} % 2')}"
+        f" when {r10} = 1 then 'V' || {base36_short(q10, 4, f'2 + {q10} % 3')}"
+        f" else {_s(r10)} || {base36_short(q10, 4, f'2 + {q10} % 3')} end)"))
+
+
+def px9(p: str) -> str:
+    return within(p, PX9_PARTS, "ICD-9 procedure", base36_short(p, 5, f"3 + {p} % 2"))
+
+
+def dx10(p: str, q26: str) -> str:
+    return within(p, DX10_PARTS, "ICD-10 diagnosis", f"{_letter(p)} || {base36(q26, 6)}")
+
+
+def px10(p: str, q26: str) -> str:
+    return within(p, PX10_PARTS, "ICD-10 procedure", f"'0' || {_letter(p)} || {base36(q26, 5)}")
+
+
+def spark_sql(expr: str) -> str:
+    return expr.replace(RAISE, "raise_error")
+
+
+def duck_sql(expr: str) -> str:
+    return expr.replace(RAISE, "error")
+
+
 # Stages of derived columns; a stage may use columns of earlier stages.
 STAGES: list[list[tuple[str, str]]] = [
     [
         ("ver", f"case when fy >= {ICD10_FROM} then 10 else 9 end"),
-        ("code10", f"{_letter(P)} || lpad({_s(P)}, 6, '0')"),
-        ("px10", f"'0' || {_letter(P)} || lpad({_s(P)}, 5, '0')"),
         ("r10", f"{P} % 10"),
-        ("q10", f"cast(({P} - {P} % 10) / 10 as bigint)"),
-        ("px9", _zpad(P, f"3 + {P} % 2")),
+        ("q10", tens(P)),
+        ("q26", letters(P)),
         (
             "short",
             f"(case when {P} % 7 = 0 then '\"' || p_name || '\" ' else p_name || ' ' end) || lower(p_type)"
@@ -76,12 +135,9 @@ STAGES: list[list[tuple[str, str]]] = [
         ("exempt", "p_size <= 10"),
     ],
     [
-        (
-            "code9",
-            "case when r10 = 0 then 'E' || " + _zpad("q10", "3 + q10 % 2")
-            + " when r10 = 1 then 'V' || " + _zpad("q10", "2 + q10 % 3")
-            + f" else {_zpad(P, f'3 + {P} % 3')} end",
-        ),
+        ("code9", f"case when ver = 9 then {dx9(P, 'r10', 'q10')} end"),
+        ("code10", f"case when ver = 10 then {dx10(P, 'q26')} end"),
+        ("px_code", f"case when ver = 10 then {px10(P, 'q26')} else {px9(P)} end"),
         ("long", "core || tail"),
         (
             "poa_long",
@@ -90,8 +146,7 @@ STAGES: list[list[tuple[str, str]]] = [
         ),
     ],
     [
-        ("dx_code", "case when ver = 10 then code10 else code9 end"),
-        ("px_code", "case when ver = 10 then px10 else px9 end"),
+        ("dx_code", "coalesce(code10, code9)"),
         ("cwp10", "substring(code10, 1, 3) || '.' || substring(code10, 4)"),
     ],
 ]
@@ -132,96 +187,51 @@ def mce_stages(dialect: str) -> list[list[tuple[str, str]]]:
     ]
 
 
-# File names of the adapter's releases, as SQL over ``fy``.
-FILE_NAMES = {
-    ("dx", 9): "'DX_FY' || cast(fy as string) || ' Sheet1.txt'",
-    ("dx", 10): "'icd10cm_order_' || cast(fy as string) || '.txt'",
-    ("proc", 9): "'SG_FY' || cast(fy as string) || ' Sheet1.txt'",
-    ("proc", 10): "'icd10pcs_order_' || cast(fy as string) || '.txt'",
-    ("poa", 9): "'POA_Exempt_FY' || cast(fy as string) || '.txt'",
-    ("poa", 10): "'POAexemptcodes' || cast(fy as string) || '.txt'",
-    ("mce", None): f"'MCE_Simple_Code_Edits_v' || cast(fy - {MCE_VERSION_OFFSET} as string) || '.txt'",
+# File names of the adapter's releases, one pattern for SQL and Python.
+FILE_PATTERNS = {
+    ("dx", 9): "dx9_{}.txt", ("dx", 10): "dx10_{}.txt",
+    ("proc", 9): "px9_{}.txt", ("proc", 10): "px10_{}.txt",
+    ("poa", 9): "poa9_{}.txt", ("poa", 10): "poa10_{}.txt",
+    ("mce", None): "mce_{}.txt",
 }
+FILE_NAMES = {k: "'" + v.replace("{}", "' || cast(fy as string) || '") + "'" for k, v in FILE_PATTERNS.items()}
 
 
 def _py_file_name(kind: str, version: int | None, fy: int) -> str:
     if kind == "poa" and version == 9 and fy == POA_SHARED[1]:
         fy = POA_SHARED[0]
-    return {
-        ("dx", 9): f"DX_FY{fy} Sheet1.txt",
-        ("dx", 10): f"icd10cm_order_{fy}.txt",
-        ("proc", 9): f"SG_FY{fy} Sheet1.txt",
-        ("proc", 10): f"icd10pcs_order_{fy}.txt",
-        ("poa", 9): f"POA_Exempt_FY{fy}.txt",
-        ("poa", 10): f"POAexemptcodes{fy}.txt",
-    }[(kind, version)]
+    return FILE_PATTERNS[(kind, version)].format(fy)
 
 
 def version_of(fy: int) -> int:
     return 10 if fy >= ICD10_FROM else 9
 
 
-_MANIFESTS: dict = {}
-
-
 def adapter_manifest(spark: SparkSession, kind: str) -> DataFrame:
     """Release manifest of the adapter calendar (one row per fiscal year;
-    bounded by the calendar, so it is safe to broadcast).  Built once per
-    session."""
-    key = (id(spark), kind)
-    if key not in _MANIFESTS:
-        if kind == "mce":
-            m = mce_manifest(spark, [(f"{fy - MCE_VERSION_OFFSET}", version_of(fy), fy) for fy in FISCAL_YEARS])
-        else:
-            m = manifest(spark, [(version_of(fy), fy, _py_file_name(kind, version_of(fy), fy)) for fy in FISCAL_YEARS])
-        _MANIFESTS[key] = m
-    return _MANIFESTS[key]
+    bounded by the calendar, so it is safe to broadcast)."""
+    if kind == "mce":
+        m = mce_manifest(spark, [(f"{fy - MCE_VERSION_OFFSET}", version_of(fy), fy) for fy in FISCAL_YEARS])
+        return m.withColumn(FILE_NAME, F.expr(FILE_NAMES[("mce", None)].replace("fy", "CMS_Fiscal_Year")))
+    return manifest(spark, [(version_of(fy), fy, _py_file_name(kind, version_of(fy), fy)) for fy in FISCAL_YEARS])
 
 
 # ---------------------------------------------------------------- Spark side --
-_TABLES: dict = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table of the driver's data set (file listing done once per session)."""
-    key = (id(spark), sf_dir, name)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return _TABLES[key]
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread an input stored as fewer splits than the session has cores (a
-    small file with one row group) round-robin over the cores, before work
-    that multiplies its rows or runs heavy per-row expressions; otherwise a
-    single task would do it all.  Inputs with enough splits are unchanged."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    """Parquet table of the driver's data set."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _stage(df: DataFrame, stage: list[tuple[str, str]]) -> DataFrame:
     # one call per stage: expressions are parsed JVM-side in a batch
-    return df.selectExpr("*", *[f"{e} AS {n}" for n, e in stage])
-
-
-_RELEASES: dict = {}
+    return df.selectExpr("*", *[f"{spark_sql(e)} AS {n}" for n, e in stage])
 
 
 def part_releases(spark: SparkSession, sf_dir: str, mce: bool = False) -> DataFrame:
     """One row per (part, fiscal year it is released in) with derived codes
     and texts.  ``mce=True`` gives the MCE membership instead (parts up to
-    size 32, one extra year after deletion).  The plan is built once per
-    session and data set."""
-    key = (id(spark), sf_dir, mce)
-    if key not in _RELEASES:
-        _RELEASES[key] = _part_releases(spark, sf_dir, mce)
-    return _RELEASES[key]
-
-
-def _part_releases(spark: SparkSession, sf_dir: str, mce: bool) -> DataFrame:
-    part = spread(read_table(spark, sf_dir, "part").select(P, "p_name", "p_type", "p_size"))
+    size 32, one extra year after deletion)."""
+    part = read_table(spark, sf_dir, "part").select(P, "p_name", "p_type", "p_size")
     if mce:
         part = part.filter(F.expr(MCE_MEMBER))
     last = MCE_LAST_FY if mce else LAST_FY
@@ -249,7 +259,7 @@ LINE_EXPRS = {
     ),
     ("poa", 9): "(case when {p} % 4 = 0 then lower(code9) else code9 end) || " + TAB + " || ' ' || poa_long || ' '",
     ("poa", 10): (
-        "cast({p} as string) || " + TAB + " || (case when {p} % 4 = 0 then lower(cwp10) else cwp10 end) || "
+        "lpad(cast({p} % 100000 as string), 5, '0') || " + TAB + " || (case when {p} % 4 = 0 then lower(cwp10) else cwp10 end) || "
         + TAB + " || '\"' || poa_long || '\"'"
     ),
     ("mce", None): (
@@ -282,7 +292,7 @@ def release_lines(spark: SparkSession, sf_dir: str, kind: str, version: int | No
 
 # --------------------------------------------------------------- DuckDB side --
 def duck_stage(prev_sql: str, stage: list[tuple[str, str]]) -> str:
-    cols = ", ".join(f"{e} AS {n}" for n, e in stage)
+    cols = ", ".join(f"{duck_sql(e)} AS {n}" for n, e in stage)
     return f"SELECT *, {cols} FROM ({prev_sql})"
 
 

@@ -7,8 +7,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from icdforge.operators import analytics
-from icdforge.operators.joins import expand_ranges
+from icdforge.operators import analytics, joins
+from icdforge.operators.joins import expand_ranges, range_problems
 
 
 def test_range_join_matches_brute_force(spark):
@@ -25,16 +25,49 @@ def test_range_join_matches_brute_force(spark):
     got = sorted(tuple(r) for r in expand_ranges(cdf, rdf, "Diagnosis_Code").select("Range_Lo", "Range_Hi", "Diagnosis_Code").collect())
     want = sorted((lo, hi, c) for lo, hi in ranges for c in codes if lo <= c <= hi)
     assert got == want
-    bad_codes = spark.createDataFrame([("a1",)], "Diagnosis_Code STRING")
-    with pytest.raises(Exception):
-        expand_ranges(bad_codes, rdf, "Diagnosis_Code").collect()
+    odd = spark.createDataFrame([("a01",), ("A-1",), ("",), (None,), ("A0123456",)], "Diagnosis_Code STRING")
+    mixed = spark.createDataFrame([("a00", "B99"), ("?", "B"), ("Z9", "A0"), (None, "B")], "Range_Lo STRING, Range_Hi STRING")
+    got = [tuple(r) for r in expand_ranges(odd, mixed, "Diagnosis_Code").select("Range_Lo", "Range_Hi", "Diagnosis_Code").collect()]
+    assert got == [("a00", "B99", "a01")]
+    left_out = sorted((r.side, r.reason) for r in range_problems(odd, mixed, "Diagnosis_Code").collect())
+    assert left_out == [("code", "not_a_code")] * 4 + [("range", "low_above_high")] + [("range", "not_a_code")] * 2
+
+
+def range_cover(lo: str, hi: str, alphabet: str = joins.CODE_ALPHABET, max_len: int = joins.MAX_CODE_LENGTH) -> list[str]:
+    """Canonical cover of the code range [lo, hi] (byte order) in the trie of
+    codes over ``alphabet`` up to ``max_len`` characters.
+
+    Returns entries ``P:<prefix>`` (every code starting with the prefix is in
+    the range) and ``E:<code>`` (that exact code is in the range).  Covered
+    subtrees are disjoint, so each code in the range matches exactly one
+    entry through one of its prefixes or itself, and no code outside matches.
+    At most about 2 * len(alphabet) * max_len entries per range.
+    """
+    if lo is None or hi is None or lo > hi:
+        return []
+    top = alphabet[-1]
+    out: list[str] = []
+
+    def visit(p: str) -> None:
+        last = p + top * (max_len - len(p))  # largest code in the subtree
+        if last < lo or p > hi:
+            return
+        if p >= lo and last <= hi:
+            out.append("P:" + p)
+            return
+        if lo <= p <= hi and p:
+            out.append("E:" + p)  # the node itself is a code in range
+        if len(p) < max_len:
+            for ch in alphabet:
+                visit(p + ch)
+
+    visit("")
+    return out
 
 
 def test_range_cover_exact():
     import itertools
 
-    from icdforge.operators.joins import range_cover
-
     alpha = "0AB"
     universe = ["".join(t) for n in range(0, 4) for t in itertools.product(alpha, repeat=n)]
     for lo, hi in [("", "BBB"), ("0A", "B0"), ("A", "A"), ("AB0", "B"), ("B", "A"), ("0", "0BB"), ("A0A", "A0B")]:
@@ -73,7 +106,7 @@ def test_delta_unapply_is_inverse(spark, rows):
 def test_cover_expression_matches_reference(spark):
     import random as _r
 
-    from icdforge.operators.joins import range_cover, range_cover_column
+    from icdforge.operators.joins import range_cover_column
 
     rnd = _r.Random(3)
     alpha = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
