@@ -1,7 +1,6 @@
 """Column functions (built-in expressions only)."""
 
 from .text import (
-    chars_outside_ascii,
     cut,
     drop_periods,
     drop_quotes,
@@ -16,7 +15,7 @@ from .text import (
 )
 
 __all__ = [
-    "chars_outside_ascii", "cut", "drop_periods", "drop_quotes", "fiscal_year", "fiscal_year_end",
+    "cut", "drop_periods", "drop_quotes", "fiscal_year", "fiscal_year_end",
     "fiscal_year_start", "icd9_add_period", "icd9_period_category_length", "icd9_period_problem", "sql_trim",
     "undouble_quotes",
 ]

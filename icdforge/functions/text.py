@@ -80,7 +80,3 @@ def icd9_period_problem(code) -> Column:
     code = _c(code)
     cat = icd9_period_category_length(code)
     return F.when(cat.isNotNull() & (F.length(code) < cat), F.lit("shorter_than_category"))
-
-
-def chars_outside_ascii(c) -> Column:
-    return _c(c).rlike("[^\\x00-\\x7F]")

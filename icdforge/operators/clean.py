@@ -138,7 +138,3 @@ def rename_columns(df: DataFrame, mapping: dict[str, str] | None) -> DataFrame:
     if unknown:
         raise ValueError(f"cannot rename unknown columns {sorted(unknown)}")
     return df.withColumnsRenamed(mapping)
-
-
-def table_columns(df: DataFrame, spec: tables.TableSpec) -> DataFrame:
-    return df.select(*spec.names)

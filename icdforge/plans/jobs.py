@@ -2,15 +2,17 @@
 
 One Spark job per load, whatever the number of releases: the manifest picks
 the files, one scan per layout reads all of them in parallel, rows are
-standardised, checked on a checkpointed copy (lineage cut on the shared
-checkpoint folder, so a lost executor never re-reads half a load), then the
-table action runs and the rows are inserted.  Nothing is written when a
-check fails.
+standardised and staged as Parquet by release in the shared checkpoint folder
+(a lost executor never re-reads half a load), checked there, and published by
+the table action (:mod:`icdforge.plans.sinks`).  The staged copy is removed at
+the end.  The table is not touched when a check fails; rejected lines and all
+violations are kept in tables of their own, one slice per load.
 """
 
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -27,13 +29,18 @@ from .pipeline import layout_for, standardize
 
 log = logging.getLogger(__name__)
 
-REJECT_COLUMNS = [FILE_NAME, "CMS_Fiscal_Year", "raw", "reason"]
+REJECT_DDL = f"{FILE_NAME} STRING, CMS_Fiscal_Year INT, raw STRING, reason STRING"
+CHECK_DDL = "check_name STRING, row_key STRING, detail STRING"
 
 
 class LoadCheckError(RuntimeError):
-    def __init__(self, message: str, report: dict):
+    """``report``: violations by check; every one of them is a row of
+    ``check_table`` (``load_id``)."""
+
+    def __init__(self, message: str, report: dict, check_table: str | None = None):
         super().__init__(message)
         self.report = report
+        self.check_table = check_table
 
 
 @dataclass
@@ -49,42 +56,51 @@ def resolve_paths(spark: SparkSession, source_dir: str, names: Iterable[str]) ->
     case-insensitively (release names differ in case between sources).
 
     The folder is listed by Spark itself (``binaryFile`` source with only the
-    path column, so no file content is read); only the listing - one row per
-    file in the folder - reaches the driver."""
+    path column, so no file content is read); only the paths of the manifest's
+    files reach the driver.  Two files whose names differ in case only raise."""
     if source_dir is None:
         raise ValueError("source_dir is required")
-    listing_df = spark.read.format("binaryFile").load(source_dir).select("path")
-    listing: dict[str, str] = {}
-    for (path,) in listing_df.collect():
-        listing.setdefault(path.rsplit("/", 1)[-1].lower(), path)
-    out, missing = {}, []
-    for n in names:
-        p = listing.get(n.lower())
-        if p is None:
-            missing.append(n)
-        else:
-            out[n] = p
+    names = list(names)
+    paths = spark.read.format("binaryFile").load(source_dir).select("path")
+    base = F.lower(F.element_at(F.split("path", "/"), -1))
+    found: dict[str, list[str]] = {}
+    for (path,) in paths.filter(base.isin(sorted({n.lower() for n in names}))).collect():  # a few per release
+        found.setdefault(path.rsplit("/", 1)[-1].lower(), []).append(path)
+    twice = sorted(p for v in found.values() if len(v) > 1 for p in v)
+    if twice:
+        raise ValueError(f"release files whose names differ in case only: {twice}")
+    missing = [n for n in names if n.lower() not in found]
     if missing:
         raise FileNotFoundError(f"release files not found in {source_dir}: {missing}")
-    return out
+    return {n: found[n.lower()][0] for n in names}
 
 
-def _scan(spark: SparkSession, source_dir: str, manifest_df: DataFrame, kind: str, version: int | None) -> DataFrame:
+def _scan(spark: SparkSession, paths: dict[str, str], files: list[str], manifest_df: DataFrame, kind: str, version: int | None) -> DataFrame:
     """Scan the files of one layout and standardise them."""
-    files = [r[FILE_NAME] for r in manifest_df.select(FILE_NAME).distinct().collect()]  # <= #releases
-    paths = resolve_paths(spark, source_dir, files)
-    layout = layout_for(kind, version)
-    lines = read_lines(spark, sorted(set(paths.values())), header=layout.header)
+    lines = read_lines(spark, sorted({paths[n] for n in files}), header=layout_for(kind, version).header)
     # names on disk may differ in case: map them back to the manifest's names
-    name_map = spark.createDataFrame([(n.lower(), n) for n in files], f"_lower STRING, _mname STRING")
+    name_map = spark.createDataFrame([(n.lower(), n) for n in files], "_lower STRING, _mname STRING")
     lines = (
         lines.withColumn("_lower", F.lower(F.col(FILE_NAME)))
-        .join(F.broadcast(name_map), "_lower")
-        .select("value", F.col("_mname").alias(FILE_NAME))
+        .join(F.broadcast(name_map), "_lower", "left")
+        .select("value", F.coalesce("_mname", FILE_NAME).alias(FILE_NAME))
     )
     return standardize(lines, manifest_df, kind, version)
 
 
+def _stage(rows: DataFrame) -> tuple[DataFrame, str]:
+    """Write the standardised rows by release to the shared folder."""
+    spark = rows.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/icdforge-load-{uuid.uuid4().hex}"
+    rows.write.partitionBy("CMS_Fiscal_Year").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path).select(*rows.columns), path
+
+
+def _unstage(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def _release_summary(rows: DataFrame, spec: tables.TableSpec, mce: bool) -> dict[int, dict]:
     """One pass over the staged rows: per release (fiscal year) the counts of
     good rows, rejects, rows with a NULL in a NOT NULL column, rows with text
@@ -115,26 +131,24 @@ def _release_summary(rows: DataFrame, spec: tables.TableSpec, mce: bool) -> dict
     return out
 
 
-def _checks(
-    rows: DataFrame, spec: tables.TableSpec, kept: DataFrame | None, id_cols: list[str], totals: dict
-) -> dict:
-    """Key checks, plus samples of the NULL / length violations counted in
-    the release summary (fetched only when there are any)."""
-    report = {}
-    pk = quality.key_violations(rows, spec.keys).limit(20).collect()
-    if pk:
-        report["duplicate_keys"] = [r.asDict() for r in pk]
+def _violations(rows: DataFrame, spec: tables.TableSpec, kept: DataFrame | None, totals: dict) -> DataFrame:
+    """Every violation of the rows as (check_name, row_key, detail); the NULL
+    and length checks run only if the release summary counted any."""
+
+    def entry(name: str, df: DataFrame, keys: list[str], *detail: str) -> DataFrame:
+        said = F.to_json(F.struct(*detail)) if detail else F.lit(None).cast("string")
+        return df.select(F.lit(name).alias("check_name"), F.to_json(F.struct(*keys)).alias("row_key"), said.alias("detail"))
+
+    keys = list(spec.keys)
+    out = entry("duplicate_keys", quality.key_violations(rows, keys), keys, "n_rows")
     if kept is not None:
-        coll = quality.key_collisions(rows.select(*spec.keys), kept, spec.keys).limit(20).collect()
-        if coll:
-            report["keys_already_in_table"] = [r.asDict() for r in coll]
+        out = out.unionByName(entry("keys_already_in_table", quality.key_collisions(rows, kept, keys), keys))
     if totals.get("nulls"):
-        nulls = quality.null_violations(rows, spec.not_null(), id_cols)
-        report["nulls"] = [r.asDict() for r in nulls.limit(20).collect()]
+        out = out.unionByName(entry("nulls", quality.null_violations(rows, spec.not_null(), keys), keys, "column_name"))
     if totals.get("lengths"):
-        lengths = quality.length_violations(rows, spec.limits(), id_cols)
-        report["lengths"] = [r.asDict() for r in lengths.limit(20).collect()]
-    return report
+        found = quality.length_violations(rows, spec.limits(), keys)
+        out = out.unionByName(entry("lengths", found, keys, "column_name", "max_length", "actual_length"))
+    return out
 
 
 def _load(
@@ -151,74 +165,84 @@ def _load(
     field_names: dict | None,
     reject_table: str | None,
     max_rejects: int,
+    check_table: str | None = None,
+    load_id: str | None = None,
 ) -> LoadResult:
-    action = str(action).upper()
-    if action not in sinks.ACTIONS:
-        raise ValueError(f"unknown table action {action!r}; use one of {sinks.ACTIONS}")
+    target = table or spec.default_name
+    action = sinks.check_action(spark, target, action, schema)
     chosen = releases.select_versions(manifest_df, which)
-    rel_rows = [tuple(r) for r in chosen.select("ICD_Version", "CMS_Fiscal_Year").orderBy("CMS_Fiscal_Year").collect()]
-    if kind == "mce":
-        frames = [_scan(spark, source_dir, chosen, "mce", None)] if rel_rows else []
-    else:
-        frames = [
-            _scan(spark, source_dir, chosen.filter(F.col("ICD_Version") == v), kind, v)
-            for v in sorted({v for v, _ in rel_rows})
-        ]
+    rel_rows = [tuple(r) for r in chosen.select("ICD_Version", "CMS_Fiscal_Year", FILE_NAME).orderBy("CMS_Fiscal_Year").collect()]  # one row per release
+    if not rel_rows:
+        raise ValueError("no releases selected")
+    files = {v: sorted({f for w, _, f in rel_rows if kind == "mce" or w == v}) for v in ([None] if kind == "mce" else sorted({v for v, _, _ in rel_rows}))}
+    paths = resolve_paths(spark, source_dir, sorted({f for _, _, f in rel_rows}))  # the folder is listed once
+    frames = [_scan(spark, paths, names, chosen if v is None else chosen.filter(F.col("ICD_Version") == v), kind, v) for v, names in files.items()]
     code_name = [k for k in spec.keys if k.endswith("Code")][-1]
     if kind == "desc" and code_name != "Diagnosis_Code":
         frames = [f.withColumnRenamed("Diagnosis_Code", code_name) for f in frames]
-    if not frames:
-        raise ValueError("no releases selected")
     rows = frames[0]
     for f in frames[1:]:
         rows = rows.unionByName(f)
 
-    checkpoint_dir(spark)
-    rows = rows.checkpoint(eager=True)  # one read of the files; lineage cut on shared storage
+    load_id = load_id or f"{schema + '.' if schema else ''}{target}-{which}"
+    rejects = reject_table or sinks.qualified(f"{target}_rejects", schema)
+    checks = check_table or sinks.qualified(f"{target}_checks", schema)
+    staged, path = _stage(rows)
+    try:
+        return _check_and_publish(
+            spark, staged, kind=kind, spec=spec, target=target, schema=schema, action=action, field_names=field_names, code_name=code_name,
+            rejects=rejects, checks=checks, load_id=load_id, max_rejects=max_rejects, rel_rows=[r[:2] for r in rel_rows],
+        )
+    finally:
+        _unstage(spark, path)
+
+
+def _check_and_publish(
+    spark: SparkSession, rows: DataFrame, *, kind: str, spec: tables.TableSpec, target: str, schema: str | None, action: str,
+    field_names: dict | None, code_name: str, rejects: str, checks: str, load_id: str, max_rejects: int, rel_rows: list,
+) -> LoadResult:
     summary = _release_summary(rows, spec, mce=(kind == "mce"))
     totals = {k: sum(v[k] for v in summary.values()) for k in ("good", "rejects", "nulls", "lengths")}
     good, bad = split_rejects(rows)
     # rejected lines are recorded whatever the checks say (the error file)
     n_bad = totals["rejects"]
-    if reject_table and n_bad:
-        rej = bad.select(F.col(FILE_NAME), F.col("CMS_Fiscal_Year").cast("int"), F.col(RAW).alias("raw"), F.col(REASON).alias("reason"))
-        rej.write.mode("append").saveAsTable(reject_table)
+    bad = bad.select(F.col(FILE_NAME), F.col("CMS_Fiscal_Year").cast("int"), F.col(RAW).alias("raw"), F.col(REASON).alias("reason"))
+    if n_bad or spark.catalog.tableExists(rejects):
+        sinks.record(spark, bad, rejects, load_id, REJECT_DDL)
+    found = None
     if kind == "mce":
         if sum(v["version_mismatch"] for v in summary.values()):
-            mism = quality.version_mismatches(good)
-            raise LoadCheckError(
-                "ICD version in file rows differs from the release",
-                {"version_mismatch": [r.asDict() for r in mism.limit(20).collect()]},
+            keys = F.to_json(F.struct(*spec.keys))
+            found = quality.version_mismatches(good).select(
+                F.lit("version_mismatch").alias("check_name"), keys.alias("row_key"),
+                F.to_json(F.struct(FILE_NAME, "ICD_Version", "Release_ICD_Version")).alias("detail"),
             )
         good = good.drop("Release_ICD_Version")
     good = good.drop(FILE_NAME)
     out_spec = spec.renamed(field_names or {})
     good = rename_columns(good.select(*spec.names), field_names)
 
-    name = sinks.qualified(table or spec.default_name, schema)
-    exists = sinks.table_exists(spark, table or spec.default_name, schema)
+    name = sinks.qualified(target, schema)
     kept = None
-    if exists and action in ("APPEND", "DELETE_ICD9", "DELETE_ICD10"):
+    if sinks.table_exists(spark, target, schema) and action in ("APPEND", "DELETE_ICD9", "DELETE_ICD10"):
         kept = spark.table(name)
         if action != "APPEND":
             drop_v = 9 if action == "DELETE_ICD9" else 10
             kept = kept.filter(F.col(out_spec.partition_by[0]) != drop_v)
-    id_cols = [c for c in out_spec.keys]
-    report = _checks(good, out_spec, kept, id_cols, totals)
+    violations = _violations(good, out_spec, kept, totals)
+    violations = violations if found is None else violations.unionByName(found)
+    sinks.record(spark, violations, checks, load_id, CHECK_DDL)
+    report = {r["check_name"]: r["count"] for r in spark.table(checks).filter(F.col("Load_Id") == load_id).groupBy("check_name").count().collect()}
     if report:
-        raise LoadCheckError(f"load into {name} failed its checks: {sorted(report)}", report)
-
+        raise LoadCheckError(f"load into {name} failed its checks: {report}; rows in {checks}", report, checks)
     if n_bad > max_rejects:
-        raise LoadCheckError(f"{n_bad} rejected rows (max {max_rejects})", {"rejects": n_bad})
+        raise LoadCheckError(f"{n_bad} rejected rows (max {max_rejects}), kept in {rejects}", {"rejects": n_bad}, rejects)
 
-    name = sinks.prepare_table(spark, table or spec.default_name, out_spec, action, schema)
-    largest = max((v["good"] for v in summary.values()), default=0)
-    sinks.insert(
-        good, spark, name, out_spec, sort_col=(field_names or {}).get(code_name, code_name), largest_release=largest
-    )
-    n_good = totals["good"]
-    log.info("loaded %s rows into %s (%s rejects)", n_good, name, n_bad)
-    return LoadResult(name, n_good, n_bad, rel_rows)
+    ver = {fy: v for v, fy in rel_rows}
+    have = {(ver[fy], fy) for fy, v in summary.items() if v["good"]}
+    sinks.publish(spark, good, target, out_spec, action, schema, sort_col=(field_names or {}).get(code_name, code_name), releases=have)
+    log.info("loaded %s rows into %s (%s rejects)", totals["good"], name, n_bad)
+    return LoadResult(name, totals["good"], n_bad, rel_rows)
 
 
 def load_diagnosis(
@@ -231,6 +255,8 @@ def load_diagnosis(
     field_names: dict | None = None,
     reject_table: str | None = None,
     max_rejects: int = 0,
+    check_table: str | None = None,
+    load_id: str | None = None,
     releases_=releases.DIAGNOSIS_RELEASES,
 ) -> LoadResult:
     """Diagnosis code descriptions (ICD-9 quoted-bar and ICD-10 order files)."""
@@ -238,6 +264,7 @@ def load_diagnosis(
         spark, kind="desc", spec=tables.DIAGNOSIS, manifest_df=releases.manifest(spark, releases_),
         source_dir=source_dir, table=table, schema=schema, action=action, which=which,
         field_names=field_names, reject_table=reject_table, max_rejects=max_rejects,
+        check_table=check_table, load_id=load_id,
     )
 
 
@@ -251,6 +278,8 @@ def load_procedure(
     field_names: dict | None = None,
     reject_table: str | None = None,
     max_rejects: int = 0,
+    check_table: str | None = None,
+    load_id: str | None = None,
     releases_=releases.PROCEDURE_RELEASES,
 ) -> LoadResult:
     """Procedure code descriptions; same layouts and rules as diagnoses."""
@@ -258,6 +287,7 @@ def load_procedure(
         spark, kind="desc", spec=tables.PROCEDURE, manifest_df=releases.manifest(spark, releases_),
         source_dir=source_dir, table=table, schema=schema, action=action, which=which,
         field_names=field_names, reject_table=reject_table, max_rejects=max_rejects,
+        check_table=check_table, load_id=load_id,
     )
 
 
@@ -270,6 +300,8 @@ def load_poa_exempt(
     which: str = "ALL",
     reject_table: str | None = None,
     max_rejects: int = 0,
+    check_table: str | None = None,
+    load_id: str | None = None,
     releases_=releases.POA_EXEMPT_RELEASES,
 ) -> LoadResult:
     """POA-exempt diagnosis lists; ICD-9 codes get their period."""
@@ -277,6 +309,7 @@ def load_poa_exempt(
         spark, kind="poa", spec=tables.POA_EXEMPT, manifest_df=releases.manifest(spark, releases_),
         source_dir=source_dir, table=table, schema=schema, action=action, which=which,
         field_names=None, reject_table=reject_table, max_rejects=max_rejects,
+        check_table=check_table, load_id=load_id,
     )
 
 
@@ -289,6 +322,8 @@ def load_mce_edits(
     which: str = "ALL",
     reject_table: str | None = None,
     max_rejects: int = 0,
+    check_table: str | None = None,
+    load_id: str | None = None,
     releases_=releases.MCE_RELEASES,
 ) -> LoadResult:
     """MCE simple code edits (one layout for both ICD versions)."""
@@ -296,4 +331,5 @@ def load_mce_edits(
         spark, kind="mce", spec=tables.MCE_EDITS, manifest_df=releases.mce_manifest(spark, releases_),
         source_dir=source_dir, table=table, schema=schema, action=action, which=which,
         field_names=None, reject_table=reject_table, max_rejects=max_rejects,
+        check_table=check_table, load_id=load_id,
     )

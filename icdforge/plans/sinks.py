@@ -1,17 +1,29 @@
-"""Dimension-table sinks: table actions and staged, checked writes.
+"""Dimension-table sinks: table actions as staged, checked publishes.
 
 Tables are Parquet datasource tables created by DDL (so ``VARCHAR(n)`` limits
 are enforced on insert) and partitioned by (ICD_Version, CMS_Fiscal_Year):
-each release is one partition, slice deletes are partition drops and reads
-by release prune partitions.
+each release is one partition, slices are partition overwrites and reads by
+release prune partitions.
+
+No action removes rows before the new ones are written: ``DROP_CREATE`` fills a
+table beside the old one and swaps their names, ``TRUNCATE`` and ``DELETE_*``
+overwrite the partitions they replace (Spark writes to a staging folder and
+moves it at job commit) and drop the partitions that have no successor
+afterwards.  A load that fails leaves the table as it was.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.tables import TableSpec
 
+MAX_RECORDS_PER_FILE = 2_000_000
 ACTIONS = ("DROP_CREATE", "TRUNCATE", "DELETE_ICD9", "DELETE_ICD10", "APPEND")
 
 
@@ -30,7 +42,10 @@ def _spark_type(sql_type: str) -> str:
 def create_table_ddl(name: str, spec: TableSpec) -> str:
     cols = ",\n  ".join(f"{quote_ident(c.name)} {_spark_type(c.sql_type)}" for c in spec.columns)
     parts = ", ".join(quote_ident(p) for p in spec.partition_by)
-    return f"CREATE TABLE {name} (\n  {cols}\n) USING parquet PARTITIONED BY ({parts})"
+    return (
+        f"CREATE TABLE {name} (\n  {cols}\n) USING parquet OPTIONS ('maxRecordsPerFile' '{MAX_RECORDS_PER_FILE}')"
+        f" PARTITIONED BY ({parts})"
+    )
 
 
 def table_exists(spark: SparkSession, table: str, schema: str | None = None) -> bool:
@@ -48,89 +63,130 @@ def _partitions(spark: SparkSession, name: str) -> list[dict[str, str]]:
     return out
 
 
-def drop_version_slice(spark: SparkSession, name: str, spec: TableSpec, version: int) -> int:
-    """Drop every partition of one ICD version; returns how many were dropped."""
-    ver_col = spec.partition_by[0]
+def _drop_partitions(spark: SparkSession, name: str, spec: TableSpec, version: int | None, keep: set[tuple[int, ...]]) -> int:
+    """Drop the partitions of one ICD version (all versions for None) that are
+    not in ``keep``; returns how many were dropped."""
     dropped = 0
     for part in _partitions(spark, name):
-        if int(part[ver_col]) == int(version):
-            kv = ", ".join(f"{quote_ident(k)}={int(v)}" for k, v in part.items())
-            spark.sql(f"ALTER TABLE {name} DROP PARTITION ({kv})")
-            dropped += 1
-    left = [p for p in _partitions(spark, name) if int(p[ver_col]) == int(version)]
-    if left:
-        raise RuntimeError(f"partitions of version {version} left in {name}: {left}")
+        values = tuple(int(part[p]) for p in spec.partition_by)
+        if values in keep or (version is not None and values[0] != int(version)):
+            continue
+        kv = ", ".join(f"{quote_ident(p)}={v}" for p, v in zip(spec.partition_by, values))
+        spark.sql(f"ALTER TABLE {name} DROP PARTITION ({kv})")
+        dropped += 1
     return dropped
 
 
-def prepare_table(spark: SparkSession, table: str, spec: TableSpec, action: str, schema: str | None = None) -> str:
-    """Apply a table action before a load; returns the qualified name."""
+@contextmanager
+def _overwrite_partitions_only(spark: SparkSession) -> Iterator[None]:
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def insert(df: DataFrame, spark: SparkSession, name: str, spec: TableSpec, sort_col: str | None = None, overwrite: bool = False) -> None:
+    """Write rows by name: columns are put in the table's order (partition
+    columns last).  Rows are rebalanced by release - AQE merges small releases
+    and splits large ones over several tasks - and sorted by code (min/max
+    skipping on code lookups); the table's ``maxRecordsPerFile`` bounds the
+    files.  ``overwrite`` replaces the releases that the rows hold."""
+    cols = spark.table(name).columns
+    parts = [c for c in spec.partition_by if c in cols]
+    out = df.select(*cols)
+    if parts:
+        out = out.hint("rebalance", *parts).sortWithinPartitions(*parts, *([sort_col] if sort_col else []))
+    if overwrite:
+        with _overwrite_partitions_only(spark):
+            out.write.insertInto(name, overwrite=True)
+    else:
+        out.write.insertInto(name, overwrite=False)
+
+
+def check_action(spark: SparkSession, table: str, action: str, schema: str | None = None) -> str:
+    """The action in capitals; unknown actions, and those that need a table
+    that is not there, raise."""
     action = str(action).upper()
     if action not in ACTIONS:
         raise ValueError(f"unknown table action {action!r}; use one of {ACTIONS}")
+    if action not in ("DROP_CREATE", "APPEND") and not table_exists(spark, table, schema):
+        raise ValueError(f"table {qualified(table, schema)} must exist for action {action}")
+    return action
+
+
+def _swap_in(spark: SparkSession, staged: str, table: str, schema: str | None) -> None:
+    """Give the staged table the name of ``table``; the old one goes last."""
+    name, old = qualified(table, schema), qualified(f"{table}__old_{uuid.uuid4().hex[:8]}", schema)
+    there = table_exists(spark, table, schema)
+    if there:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    except Exception:
+        if there:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        raise
+    if there:
+        spark.sql(f"DROP TABLE {old}")
+
+
+def publish(
+    spark: SparkSession,
+    df: DataFrame,
+    table: str,
+    spec: TableSpec,
+    action: str,
+    schema: str | None = None,
+    sort_col: str | None = None,
+    releases: set[tuple[int, ...]] | None = None,
+) -> str:
+    """Bring checked rows into the table by one of the table actions; returns
+    the qualified name.  ``releases``: (version, fiscal year) of every release
+    that has rows in ``df``, if the caller knows them."""
+    action = check_action(spark, table, action, schema)
     name = qualified(table, schema)
-    exists = table_exists(spark, table, schema)
-    if action == "DROP_CREATE":
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(create_table_ddl(name, spec))
+    if action == "DROP_CREATE" or (action == "APPEND" and not table_exists(spark, table, schema)):
+        staged = qualified(f"{table}__load_{uuid.uuid4().hex[:8]}", schema)
+        spark.sql(create_table_ddl(staged, spec))
+        try:
+            insert(df, spark, staged, spec, sort_col)
+            _swap_in(spark, staged, table, schema)
+        except Exception:
+            spark.sql(f"DROP TABLE IF EXISTS {staged}")
+            raise
+        return name
+    if action == "APPEND":
+        insert(df, spark, name, spec, sort_col)
         return name
-    if not exists:
-        if action == "APPEND":
-            spark.sql(create_table_ddl(name, spec))
-            return name
-        raise ValueError(f"table {name} must exist for action {action}")
-    if action == "TRUNCATE":
-        spark.sql(f"TRUNCATE TABLE {name}")
-    elif action == "DELETE_ICD9":
-        drop_version_slice(spark, name, spec, 9)
-    elif action == "DELETE_ICD10":
-        drop_version_slice(spark, name, spec, 10)
+    if releases is None:
+        releases = {tuple(r) for r in df.select(*spec.partition_by).distinct().collect()}  # one row per release
+    version = {"TRUNCATE": None, "DELETE_ICD9": 9, "DELETE_ICD10": 10}[action]
+    ver_col = spec.partition_by[0]
+    if version is not None and any(r[0] != version for r in releases):
+        insert(df.filter(F.col(ver_col) != version), spark, name, spec, sort_col)
+        df = df.filter(F.col(ver_col) == version)
+    if any(version in (None, r[0]) for r in releases):
+        insert(df, spark, name, spec, sort_col, overwrite=True)
+    _drop_partitions(spark, name, spec, version, releases)
     return name
 
 
-def insert(
-    df: DataFrame,
-    spark: SparkSession,
-    name: str,
-    spec: TableSpec,
-    sort_col: str | None = None,
-    max_rows_per_file: int = 2_000_000,
-    largest_release: int | None = None,
-) -> int | None:
-    """Append rows by name: columns are put in the table's order (partition
-    columns last); rows are clustered by release, sorted by code (min/max
-    skipping on code lookups).  A release larger than ``max_rows_per_file``
-    is spread over several tasks/files by a hash of the code, so one big
-    release never lands in a single task (AQE may still merge buckets of
-    small releases up to its advisory partition size).  ``largest_release`` (rows of the
-    biggest release) saves a counting pass when the caller knows it.
-    Returns the number of rows when it was counted here."""
-    from pyspark.sql import functions as F
-
-    cols = spark.table(name).columns
-    parts = [c for c in spec.partition_by if c in cols]
-    out = df.select(*cols)
-    total = None
-    if parts:
-        if largest_release is None:
-            # one row per release reaches the driver
-            stats = out.groupBy(*parts).count().agg(F.max("count"), F.sum("count")).first()
-            largest, total = int(stats[0] or 0), int(stats[1] or 0)
-        else:
-            largest = int(largest_release)
-        buckets = max(1, -(-int(largest) // max_rows_per_file))
-        keys = [F.col(p) for p in parts]
-        if buckets > 1 and sort_col:
-            keys.append(F.pmod(F.hash(F.col(sort_col)), F.lit(buckets)))
-        order = parts + ([sort_col] if sort_col else [])
-        out = out.repartition(*keys).sortWithinPartitions(*order)
-    out.write.insertInto(name, overwrite=False)
-    return total
+def record(spark: SparkSession, df: DataFrame, name: str, load_id: str, columns: str) -> int:
+    """Keep ``df`` (columns as in the DDL ``columns``) as the slice of one load
+    in a table partitioned by ``Load_Id``; a repeated load replaces its slice.
+    Returns the number of rows."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}, Load_Id STRING) USING parquet PARTITIONED BY (Load_Id)")
+    slice_ = "Load_Id='" + load_id.replace("'", "") + "'"
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({slice_})")
+    names = [c for c in spark.table(name).columns if c != "Load_Id"]
+    df.select(*names, F.lit(load_id.replace("'", "")).alias("Load_Id")).write.insertInto(name)
+    return spark.table(name).filter(slice_).count()
 
 
 def replace_version_slice(existing: DataFrame, new_rows: DataFrame, version: int, version_col: str = "ICD_Version") -> DataFrame:
     """Table contents after a DELETE_ICD<version> load, as a DataFrame:
     the other version's rows plus the newly loaded slice."""
-    from pyspark.sql import functions as F
-
     return existing.filter(F.col(version_col) != int(version)).unionByName(new_rows)

@@ -142,9 +142,11 @@ def test_dependency_violation_and_pivot_zero_fill(spark):
     rep = {(r.key_kind, r.CMS_Fiscal_Year, r.key): r.n_distinct for r in analytics.section_type_dependency(e).collect()}
     assert rep[("section->type", 2019, "4|A")] == 2
     assert rep[("type->section", 2019, "Principal_Questionable_Admit|D")] == 1
-    piv = {(r.MCE_Section, r.MCE_Edit_Type): (r.FY_2019, r.FY_2020) for r in analytics.edit_pivot(e, [2019, 2020]).collect()}
-    assert piv[(8, "Principal_Questionable_Admit")] == (1, 1)  # 8 and 8 A count together
-    assert piv[(4, "Newborn_Only")] == (1, 0)
+    piv = {(r.MCE_Section, r.MCE_Subsection, r.MCE_Edit_Type): (r.FY_2019, r.FY_2020) for r in analytics.edit_pivot(e, [2019, 2020]).collect()}
+    assert piv[(8, "_", "Principal_Questionable_Admit")] == (1, 0) and piv[(8, "A", "Principal_Questionable_Admit")] == (0, 1)
+    with pytest.raises(Exception, match="fiscal year without a column: 2020"):
+        analytics.edit_pivot(e, [2019]).collect()
+    assert piv[(4, "A", "Newborn_Only")] == (1, 0)
 
 
 def test_identity_and_discrepancy_classes(spark):

@@ -87,3 +87,22 @@ def test_unchecked_marker(spark):
     assert claims.apply_edits(ctx, edits).count() == 0
     got = sorted((r.MCE_Edit_Type, r.Edit_Status) for r in claims.apply_edits(ctx, edits, include_unchecked=True).collect())
     assert got == [("Female_Only", "unchecked"), ("Newborn_Only", "unchecked")]
+
+
+def test_hot_code_and_large_tables(spark, monkeypatch):
+    """One diagnosis on half of all lines, by broadcast and by the salted join."""
+    from icdforge.operators import joins
+
+    n = 4000
+    rows = [(i // 4, i % 4, "D", "HOT" if i % 2 else f"C{i % 50}", 2019, 10, 30, "M", 24) for i in range(n)]
+    codes = spark.createDataFrame(rows, "claim_id long, seq int, ICD_Code_Type string, ICD_Code string, CMS_Fiscal_Year int, ICD_Version int, age int, sex string, los_hours int")
+    edits = spark.createDataFrame([(2019, 10, "D", "HOT", "Female_Only"), (2019, 10, "D", "C2", "Principal_Unacceptable")], "CMS_Fiscal_Year int, ICD_Version int, ICD_Code_Type string, ICD_Code string, MCE_Edit_Type string")
+    out = []
+    for limit in (joins.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+        fired = claims.apply_edits(codes, edits)
+        invalid = claims.invalid_codes(codes, edits)
+        out.append((sorted((r.claim_id, r.ICD_Code, r.MCE_Edit_Type) for r in fired.collect()), invalid.count()))
+        assert ("_salt" in fired._jdf.queryExecution().toString()) is (limit == 0)
+    want = sorted((c, code, "Female_Only") for c, s, _, code, *_ in rows if code == "HOT") + [(c, code, "Principal_Unacceptable") for c, s, _, code, *_ in rows if code == "C2" and s == 0]
+    assert out[0] == out[1] == (sorted(want), sum(r[3] not in ("HOT", "C2") for r in rows))

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-import __spark_entry__ as E
+from icdforge.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
@@ -21,7 +21,7 @@ def plans(spark):
         pytest.skip("driver test data not present")
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # the static plan
     try:
-        yield {n: _plan(q(spark, SF)) for n, q in E.queries().items()}
+        yield {n: _plan(q(spark, SF)) for n, q in catalog.QUERIES.items()}
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
@@ -40,10 +40,30 @@ def test_reject_filter_stays_above_the_parse(plans):
     p = plans["dx_load_icd9"]
     lines = p.splitlines()
     gen = next(i for i, l in enumerate(lines) if "Generate inline" in l)
-    filt = next(i for i, l in enumerate(lines) if "isnull(_reject_reason" in l)
+    filt = next(i for i, l in enumerate(lines) if "isnull(coalesce(_reject_reason" in l)
     assert filt < gen  # printed top-down: the filter is an ancestor of the boundary
 
 
 def test_version_choices_share_one_scan(plans):
     p = plans["release_filter"]
     assert p.count("FileScan parquet") == 1 and p.count("ReusedExchange") == 3
+
+
+def test_claim_plans_aggregate_by_hash_and_deal_no_rows_round_robin(plans):
+    for n in ("claim_edits", "invalid_code", "dup_pdx", "external_pdx", "release_delta"):
+        assert "SortAggregate" not in plans[n], n
+    assert not [n for n, p in plans.items() if "RoundRobinPartitioning" in p]
+
+
+def test_each_delta_reads_the_parts_once_per_layout(plans):
+    assert plans["release_delta"].count("FileScan parquet") <= 2
+    assert plans["delta_unapply"].count("FileScan parquet") <= 4
+
+
+def test_range_keys_are_bounded_by_the_prefix_lengths_in_use(spark):
+    from icdforge.operators.joins import expand_ranges
+
+    codes = spark.createDataFrame([("A0000", "x")], "code string, y string")
+    ranges = spark.createDataFrame([("A00", "A0ZZZZZ"), ("B000000", "B00000Z")], "Range_Lo string, Range_Hi string")
+    p = _plan(expand_ranges(codes, ranges, "code"))
+    assert "P:" in p and p.count("substring(upper(code") <= 4  # A0-level prefixes and one six-character prefix at most
