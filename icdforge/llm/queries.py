@@ -56,4 +56,24 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_nn_descent, op3_robust_outliers, op4_simhash, op5_language_id, op6_mixing, op7_url_filter, op8_interleaved_shards, op9_toxicity, op10_warc)}
-ORACLE_SQL: dict[str, str] = {}
+
+def _base32(hex_: str) -> str:
+    """Base32 of 40 hex digits: every five digits (20 bits) are four characters."""
+    def group(i: int) -> str:
+        n = f"cast('0x' || substr({hex_}, {5 * i + 1}, 5) AS BIGINT)"
+        return " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(({n} >> {s}) & 31 AS INTEGER) + 1, 1)" for s in (15, 10, 5, 0))
+
+    return " || ".join(group(i) for i in range(8))
+
+
+#: the operators whose results SQL can state; the others are held against
+#: brute-force versions, round trips and held-out accuracy in tests/llm
+ORACLE_SQL: dict[str, str] = {
+    "op10_warc": f"""WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS d FROM pages),
+r AS (SELECT *, row_number() OVER w AS k, first_value(page_id) OVER w AS first_id FROM p
+      WINDOW w AS (PARTITION BY d ORDER BY page_id NULLS LAST))
+SELECT page_id, cast(strlen(payload) AS BIGINT) AS payload_bytes, {_base32('d')} AS payload_digest,
+  CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN k > 1 THEN first_id END AS refers_to
+FROM r""",
+}
