@@ -35,6 +35,9 @@ class MixSpec:
     max_epochs: int = 3
     shards: int = 16
     blocks_per_shard: int = 256
+    #: a source may miss its target by this share, or by less than a document that fits
+    tolerance: float = 0.002
+    fill_rounds: int = 8
     seed: int = 7
 
 
@@ -79,6 +82,25 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
+def _fill_gaps(laid: DataFrame, gaps: dict[str, int], targets: dict[str, float], spec: MixSpec) -> DataFrame:
+    """(skey, start, extra) of documents beyond the quota's last whole one that
+    bring their source nearer to its target: the largest that fits, again and
+    again, until the gap is within ``tolerance`` or nothing fits.  One row per
+    source and round reaches the driver; large sources need no round."""
+    spark = laid.sparkSession
+    chosen: list[tuple[str, int, bool]] = []
+    for _ in range(spec.fill_rounds):
+        wide = [(k, g) for k, g in gaps.items() if g > spec.tolerance * targets[k]]
+        if not wide:
+            break
+        fits = laid.filter("not whole and size > 0").join(F.broadcast(small_frame(spark, wide, "skey string, gap long")), "skey").filter("size <= gap")
+        fits = fits.join(F.broadcast(small_frame(spark, chosen, "skey string, start long, extra boolean")), ["skey", "start"], "left_anti")
+        best = {r["skey"]: r["x"] for r in fits.groupBy("skey").agg(F.max(F.struct("size", "start")).alias("x")).collect()}
+        gaps = {k: g - best[k]["size"] for k, g in wide if k in best}
+        chosen += [(k, x["start"], True) for k, x in best.items()]
+    return small_frame(spark, chosen, "skey string, start long, extra boolean")
+
+
 def mix_plan(docs: DataFrame, spec: MixSpec = MixSpec(), row_id: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(plan, blocks).  plan: one row per document with doc_id, source, size,
     source_size, target, copies and ``places`` (array of copy and block); with
@@ -116,14 +138,13 @@ def mix_plan(docs: DataFrame, spec: MixSpec = MixSpec(), row_id: str | None = No
     bits = bucket_bits(sum(r["n"] for r in per))
     laid = running_total(base.withColumn("bucket", hash_bucket("h", bits)), ["skey"], "bucket", ["h", "doc_id"], F.col("size"), "start")
     laid = laid.join(sources, "skey")
-    # the last pass takes whole documents that end inside the quota, then the largest one that still fits the gap
+    # the last pass takes whole documents that end inside the quota
     whole = (F.col("size") > 0) & (F.col("start") + F.col("size") <= F.col("rest"))
     laid = materialize(laid.withColumn("whole", whole), "mix-layout")
     short = laid.groupBy("skey").agg((F.max("rest") - F.sum(F.when(F.col("whole"), F.col("size")).otherwise(0))).alias("gap")).collect()  # one row per source
-    gap = small_frame(spark, [(r["skey"], int(r["gap"])) for r in short], "skey string, gap long")
-    fits = laid.filter("not whole and size > 0").join(F.broadcast(gap), "skey").filter("size <= gap")
-    extra = fits.groupBy("skey").agg(F.max(F.struct("size", "start")).alias("x")).select("skey", F.col("x.start").alias("start"), F.lit(True).alias("extra"))
-    marked = laid.join(extra, ["skey", "start"], "left").withColumn("extra", F.coalesce("extra", F.lit(False)) & (F.col("size") > 0) & ~F.col("whole"))
+    gaps = {r["skey"]: int(r["gap"]) for r in short}
+    extra = _fill_gaps(laid, gaps, {r[0]: r[2] for r in rows}, spec)
+    marked = laid.join(F.broadcast(extra), ["skey", "start"], "left").withColumn("extra", F.coalesce("extra", F.lit(False)) & (F.col("size") > 0) & ~F.col("whole"))
     marked = marked.withColumn("copies", F.when(F.col("size") > 0, F.col("passes") + (F.col("whole") | F.col("extra")).cast("int")).otherwise(0))
     copies = F.transform(
         F.when(F.col("copies") > 0, F.sequence(F.lit(0), F.col("copies") - 1)).otherwise(F.array().cast("array<int>")),
