@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bucket_bits, hash_bucket, materialize, n_words, running_total, small_frame, text_of, value_key
@@ -101,16 +101,19 @@ def _fill_gaps(laid: DataFrame, gaps: dict[str, int], targets: dict[str, float],
     return small_frame(spark, chosen, "skey string, start long, extra boolean")
 
 
-def mix_plan(docs: DataFrame, spec: MixSpec = MixSpec(), row_id: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(plan, blocks).  plan: one row per document with doc_id, source, size,
-    source_size, target, copies and ``places`` (array of copy and block); with
-    ``row_id`` that column is carried along as ``rid``.  blocks: the shard of
-    every drawn block (skey, block, shard)."""
+def row_hash(columns: Sequence[str], spec: MixSpec) -> Column:
+    """The seeded hash that orders rows; rows that are alike in ``columns`` share it."""
+    return F.xxhash64(F.lit(spec.seed), *columns)
+
+
+def mix_plan(docs: DataFrame, spec: MixSpec = MixSpec(), identity: Sequence[str] = ("doc_id", "text")) -> tuple[DataFrame, DataFrame]:
+    """(plan, blocks).  plan: one row per document with doc_id, h (its row hash
+    over ``identity``), source, size, source_size, target, copies and ``places``
+    (array of copy and block).  blocks: the shard of every drawn block (skey,
+    block, shard)."""
     spark = docs.sparkSession
-    carried = [F.col(row_id).alias("rid")] if row_id else []
     base = docs.select(
-        *carried, "doc_id", "source", value_key("source").alias("skey"), n_words(text_of("text")).alias("size"),
-        F.xxhash64(F.lit(spec.seed), F.col("doc_id"), text_of("text")).alias("h"),
+        "doc_id", "source", value_key("source").alias("skey"), n_words(text_of("text")).alias("size"), row_hash(identity, spec).alias("h")
     )
     base = materialize(base, "mix-sizes")
     per = base.groupBy("source", "skey").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()  # one row per source
@@ -150,7 +153,7 @@ def mix_plan(docs: DataFrame, spec: MixSpec = MixSpec(), row_id: str | None = No
         F.when(F.col("copies") > 0, F.sequence(F.lit(0), F.col("copies") - 1)).otherwise(F.array().cast("array<int>")),
         lambda k: F.struct(k.alias("copy"), F.least((k * F.col("source_size") + F.col("start")).cast("long") / F.lit(block), F.col("quota") - 1).cast("long").alias("block")),
     )
-    keep = [*(["rid"] if row_id else []), "doc_id", "source", "skey", "size", "source_size", "target", "copies"]
+    keep = ["doc_id", "source", "skey", "size", "source_size", "target", "copies"]
     return marked.select(*keep, "h", copies.alias("places")), blocks
 
 
@@ -170,7 +173,13 @@ def local_shuffle(rows: DataFrame, shard: str = "shard", key: str = "shuffle_key
 def mix_documents(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
     """The mixed documents: every column of ``docs``, one row per taken copy,
     shard after shard in shuffled order."""
-    rowed = materialize(docs.withColumn("__rid", F.monotonically_increasing_id()), "mix-docs")
-    plan, blocks = mix_plan(rowed, spec, row_id="__rid")
-    taken = mix_rows(plan, blocks).select(F.col("rid").alias("__rid"), F.col("shard").alias("__shard"), F.col("shuffle_key").alias("__key"))
-    return local_shuffle(rowed.join(taken, "__rid"), "__shard", "__key").select(*docs.columns)
+    columns = docs.columns
+    told = [c for c, kind in docs.dtypes if "map<" not in kind]  # maps have no hash
+    plan, blocks = mix_plan(docs, spec, identity=told)
+    plan = materialize(plan, "mix-plan")
+    taken = mix_rows(plan, blocks).select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), F.col("shard").alias("__shard"), F.col("shuffle_key").alias("__key"))
+    rows = docs.withColumn("__row", row_hash(told, spec))
+    if not plan.groupBy("doc_id", "h").count().filter("count > 1").isEmpty():
+        rows = rows.dropDuplicates(["doc_id", "__row"])  # rows alike in every column: each has its own copies in the plan
+    mixed = rows.join(taken, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__h")))
+    return local_shuffle(mixed, "__shard", "__key").select(*columns)

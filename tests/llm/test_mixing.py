@@ -62,6 +62,9 @@ def test_mixed_documents_keep_columns(docs_small, no_docs):
     d = docs_small.withColumns({"shard": F.lit("x"), "size": F.lit(1)})
     out = mixing.mix_documents(d)
     assert out.columns == d.columns
-    plan, _ = mixing.mix_plan(docs_small)
+    plan, _ = mixing.mix_plan(d, identity=d.columns)
     assert out.groupBy("doc_id").count().exceptAll(plan.filter("copies > 0").select("doc_id", F.col("copies").cast("long"))).count() == 0
     assert mixing.mix_documents(no_docs).collect() == []
+    twice = docs_small.limit(30).union(docs_small.limit(30)).union(docs_small.limit(30).withColumn("lang", F.lit(None).cast("string")))
+    plan, _ = mixing.mix_plan(twice, identity=twice.columns)
+    assert mixing.mix_documents(twice).count() == plan.agg(F.sum("copies")).first()[0]

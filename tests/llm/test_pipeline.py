@@ -51,7 +51,7 @@ def test_stages(request, spark, tmp_path, frame):
         low[comp[f]] = min(low.get(comp[f], d), d)
     assert sorted(r["doc_id"] for r in unique.collect()) == sorted(low.values())
 
-    plan, _ = mixing.mix_plan(unique)
+    plan, _ = mixing.mix_plan(unique, identity=unique.columns)
     assert Counter(r["doc_id"] for r in mixed.collect()) == Counter({r["doc_id"]: r["copies"] for r in plan.collect() if r["copies"]})
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
