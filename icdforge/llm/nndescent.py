@@ -8,7 +8,8 @@ lists, until few lists change.  Comparisons in this phase use half-precision
 copies of the vectors; nothing is decided by them.
 
 Lists have ``k`` entries; a list whose last entry is still a link is saturated
-and is enlarged: nodes join the group of their smallest neighbour, saturated
+and is enlarged: nodes join the group of their smallest neighbour, or of
+a neighbour's neighbour that is near enough and smaller still, saturated
 groups are compared with the groups two steps away that are near enough to hold
 a link, and groups are compared in full, block against block, in double
 precision.  Blocks give counts and a spanning forest of their links, never
@@ -48,6 +49,7 @@ class DescentSpec:
     orders: int = 10
     run: int = 64
     rounds: int = 3
+    lead_rounds: int = 2
     #: share of list entries that must change for another round
     change: float = 0.02
     #: candidates a node may gain around one neighbour
@@ -241,6 +243,14 @@ def exact_links(nodes: DataFrame, graph: DataFrame, dim: int, spec: DescentSpec)
     strong = graph.select("node", F.explode("list").alias("e")).filter(F.col("e.sim") >= near).select("node", F.col("e.other").alias("other"))
     strong = strong.union(strong.select("other", "node"))
     lead = materialize(strong.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("lead")), "descent-leads")
+    vectors = nodes.select("node", "dim", "vec")
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    for _ in range(spec.lead_rounds):  # a neighbour's leader that is near enough and smaller: dense groups end up with few leaders
+        offer = strong.join(lead.withColumnRenamed("node", "other"), "other").select("node", F.col("lead").alias("offer")).distinct()
+        offer = offer.join(lead, "node").filter("offer < lead").select("node", "offer")
+        known = offer.join(vectors, "node").join(vectors.select(F.col("node").alias("offer"), F.col("dim").alias("odim"), F.col("vec").alias("ovec")), "offer")
+        taken = known.filter((F.col("dim") == F.col("odim")) & (dot("vec", "ovec") >= near)).groupBy("node").agg(F.min("offer").alias("m"))
+        lead = materialize(lead.join(taken, "node", "left").select("node", F.coalesce("m", "lead").alias("lead")), "descent-leads")
     full = graph.filter((F.size("list") >= spec.k) & (F.element_at("list", -1)["sim"] >= near)).select("node")
     saturated = lead.join(full, "node", "left_semi").select("lead").distinct()
     a, b = lead.select("node", F.col("lead").alias("a")), lead.select(F.col("node").alias("other"), F.col("lead").alias("b"))
@@ -251,8 +261,7 @@ def exact_links(nodes: DataFrame, graph: DataFrame, dim: int, spec: DescentSpec)
     step = pairs.join(saturated.withColumnRenamed("lead", "a"), "a", "left_semi")
     two = step.join(pairs.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").select("a", F.col("c").alias("b")).distinct()
     va, vb = nodes.select(F.col("node").alias("a"), F.col("vec").alias("va")), nodes.select(F.col("node").alias("b"), F.col("vec").alias("vb"))
-    dot = F.aggregate(F.zip_with("va", "vb", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    two = two.join(va, "a").join(vb, "b").filter(dot >= reach).select("a", "b")
+    two = two.join(va, "a").join(vb, "b").filter(dot("va", "vb") >= reach).select("a", "b")
     pairs = pairs.union(two).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     count = lead.groupBy("lead").agg(F.ceil(F.count("*") / spec.block).cast("int").alias("blocks"))
