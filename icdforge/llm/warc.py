@@ -137,13 +137,16 @@ def read_archive(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 def with_record_types(pages: DataFrame, spec: WarcSpec = WarcSpec()) -> DataFrame:
     """page_id, url, html, rid, kind and the first page of equal payloads
-    (``first_id``, ``first_rid``).  ``pages`` must be a stored table: row
-    numbers come from its scan."""
+    (``first_id``, ``first_rid``).  The first page is told by its page_id;
+    only where that page's row is repeated does its number in the scan decide,
+    so ``pages`` must be a stored table then."""
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html"), F.monotonically_increasing_id().alias("rid")).withColumn("digest", F.sha1(F.col("html").cast("binary")))
     order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "rid")
-    first = rows.groupBy("digest").agg(F.min(order).alias("first"))
-    alone = (F.octet_length("html") < spec.min_bytes) | (F.col("rid") == F.col("first.rid"))
+    each = rows.groupBy("digest", "page_id").agg(F.min("rid").alias("rid"), F.count("*").alias("n"))
+    first = each.groupBy("digest").agg(F.min(order).alias("first"), F.min_by("n", order).alias("n_first"))
+    leads = F.when(F.col("n_first") == 1, F.col("page_id").eqNullSafe(F.col("first.page_id"))).otherwise(F.col("rid") == F.col("first.rid"))
+    alone = (F.octet_length("html") < spec.min_bytes) | leads
     return rows.join(first, "digest").select("page_id", "url", "html", "rid", F.when(alone, "response").otherwise("revisit").alias("kind"), F.col("first.page_id").alias("first_id"), F.col("first.rid").alias("first_rid"))
 
 
