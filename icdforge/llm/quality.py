@@ -144,7 +144,7 @@ def fit(rows: DataFrame, spec: RobustSpec = RobustSpec()) -> tuple[DataFrame, Da
 
     for k in range(spec.steps):
         far = _distance(fitted.join(params, "gkey")).withColumn("cell", F.floor(F.log2(F.col("d2") + 1e-6) * 64))
-        near = _grid_quantiles(far.select("gkey", "cell"), ["gkey"], {"most": spec.h})
+        near = materialize(_grid_quantiles(far.select("gkey", "cell"), ["gkey"], {"most": spec.h}), f"robust-near{k}")
         inside = far.join(near, "gkey").filter("cell <= most")
         moments = inside.groupBy("gkey").agg(
             F.count("*").alias("n"), *(F.avg(f"x{i}").alias(f"m{i}") for i in range(P)),
