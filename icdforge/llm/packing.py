@@ -43,7 +43,7 @@ class PackSpec:
     window: int = 2048
     tokenizer: str = public_tokenizers.path("byte_bpe_50k.json")
     end_id: int = 1
-    cache_words: int = 300_000
+    cache_words: int = 200_000
 
 
 # ---------------------------------------------------------------- tokens
@@ -253,6 +253,7 @@ def tokenise(docs: DataFrame, spec: PackSpec = PackSpec()) -> DataFrame:
                     if tail:
                         seen[tail] += 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), schema)], schema=schema)
+        code.words.clear()  # workers live on and serve other stages
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
     return rows.mapInArrow(run, "doc_id long, tokens long, part int, tail_length int, rank long, first_full long, full_crcs array<bigint>, tail binary")
