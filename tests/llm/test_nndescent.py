@@ -80,3 +80,41 @@ def test_recall_is_audited(spark, weak):
     rows = [(i, [float(x) for x in np.float32(v)]) for i, v in enumerate(vecs)]
     got, want = run(spark, rows, **weak), brute(rows)
     assert sum(r[1] for r in got.elements()) >= .9 * sum(r[1] for r in want.elements())
+
+
+def grouped(rng, others):
+    """A group of 300 near copies beside 700 vectors, of which ``others`` have a near copy each."""
+    base = rng.normal(size=(701, 16))
+    vecs = [*base[1:], *(base[0] + .02 * rng.normal(size=(300, 16))), *(base[1:1 + others] + .03 * rng.normal(size=(others, 16)))]
+    return [(i, [float(x) for x in np.float32(v)]) for i, v in enumerate(vecs)]
+
+
+def test_lost_pairs_beside_a_large_group_are_noticed(spark, monkeypatch):
+    links = nndescent.exact_links
+
+    def lossy(*args):
+        found = nndescent.materialize(links(*args), "test-links")
+        large = found.groupBy("node").agg({"links": "sum"}).filter("`sum(links)` > 100").select("node")
+        return found.join(large, "node", "left_semi")
+
+    monkeypatch.setattr(nndescent, "exact_links", lossy)
+    with pytest.raises(RuntimeError, match="recall"):
+        run(spark, grouped(np.random.default_rng(4), 60))
+
+
+def test_no_link_seen_is_not_full_recall(spark, monkeypatch):
+    """Few links and a small draw: the search is repeated and the missing measure told."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in np.float32(v)]) for i, v in enumerate(rng.normal(size=(400, 32)))]
+    monkeypatch.setattr(nndescent, "AUDIT_NODES", 10)
+    monkeypatch.setattr(nndescent, "AUDIT_MOST", 40, raising=False)
+    with pytest.warns(UserWarning, match="not measured"):
+        assert run(spark, rows, orders=1, k=3) == brute(rows)
+
+
+def test_orders_grow_with_the_code():
+    spec = nndescent.DescentSpec()
+    few, many = (nndescent.order_count(n, spec) for n in (1_000, 10_000_000))
+    same = 1 - np.arccos(.95) / np.pi
+    assert few < many and many * same ** 17 >= spec.orders
+    assert spec.rounds is None
