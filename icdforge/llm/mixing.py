@@ -37,7 +37,6 @@ class MixSpec:
     blocks_per_shard: int = 256
     #: a source may miss its target by this share, or by less than a document that fits
     tolerance: float = 0.002
-    fill_rounds: int = 8
     seed: int = 7
 
 
@@ -82,23 +81,44 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
+FILLS = "skey string, gap long, fills array<struct<low:long,high:long,most:long>>"
+
+
 def _fill_gaps(laid: DataFrame, gaps: dict[str, int], targets: dict[str, float], spec: MixSpec) -> DataFrame:
-    """(skey, start, extra) of documents beyond the quota's last whole one that
-    bring their source nearer to its target: the largest that fits, again and
-    again, until the gap is within ``tolerance`` or nothing fits.  One row per
-    source and round reaches the driver; large sources need no round."""
+    """(skey, gap, fills) of sources that take documents beyond the quota's last
+    whole one: those with a start in [low, high] and a size up to ``most``.
+    Each round takes the documents that fit up to the first that overflows the
+    gap, in the layout's order, or the largest that fits where the gap is under
+    ``FEW`` times its size; again and again, until the gap is within
+    ``tolerance`` or nothing fits.  What overflowed no longer fits, so rounds
+    are few.  One row per source and round reaches the driver."""
     spark = laid.sparkSession
-    chosen: list[tuple[str, int, bool]] = []
-    for _ in range(spec.fill_rounds):
-        wide = [(k, g) for k, g in gaps.items() if g > spec.tolerance * targets[k]]
+    left, fills = dict(gaps), {}
+    while True:
+        wide = [(k, g, fills.get(k, [])) for k, g in left.items() if g > spec.tolerance * targets[k]]
         if not wide:
             break
-        fits = laid.filter("not whole and size > 0").join(F.broadcast(small_frame(spark, wide, "skey string, gap long")), "skey").filter("size <= gap")
-        fits = fits.join(F.broadcast(small_frame(spark, chosen, "skey string, start long, extra boolean")), ["skey", "start"], "left_anti")
-        best = {r["skey"]: r["x"] for r in fits.groupBy("skey").agg(F.max(F.struct("size", "start")).alias("x")).collect()}
-        gaps = {k: g - best[k]["size"] for k, g in wide if k in best}
-        chosen += [(k, x["start"], True) for k, x in best.items()]
-    return small_frame(spark, chosen, "skey string, start long, extra boolean")
+        fits = laid.filter("not whole and size > 0").select("skey", "bucket", "start", "size").join(F.broadcast(small_frame(spark, wide, FILLS)), "skey")
+        fits = running_total(fits.filter((F.col("size") <= F.col("gap")) & ~_filled()).drop("fills"), ["skey"], "bucket", ["start"], F.col("size"), "ahead")
+        fit = F.col("ahead") + F.col("size") <= F.col("gap")
+        best = fits.groupBy("skey").agg(F.max(F.struct("size", "start")).alias("x"), F.sum(F.when(fit, F.col("size"))).alias("words"), F.max(F.when(fit, F.col("start"))).alias("high")).collect()
+        now, left = left, {}
+        for r in best:
+            k, g = r["skey"], now[r["skey"]]
+            one = g < FEW * r["x"]["size"]
+            fills.setdefault(k, []).append((r["x"]["start"], r["x"]["start"], g) if one else (0, r["high"], g))
+            left[k] = g - (r["x"]["size"] if one else r["words"])
+    return small_frame(spark, [(k, gaps[k], v) for k, v in fills.items()], FILLS)
+
+
+#: a gap of fewer documents of the largest size that fits is filled one by one
+FEW = 8
+
+
+def _filled() -> Column:
+    """Whether a row that is not whole is in one of its source's fills."""
+    inside = F.exists("fills", lambda f: (F.col("start") >= f["low"]) & (F.col("start") <= f["high"]) & (F.col("size") <= f["most"]))
+    return F.coalesce(inside, F.lit(False))
 
 
 def row_hash(columns: Sequence[str], spec: MixSpec) -> Column:
@@ -147,11 +167,14 @@ def mix_plan(docs: DataFrame, spec: MixSpec = MixSpec(), identity: Sequence[str]
     short = laid.groupBy("skey").agg((F.max("rest") - F.sum(F.when(F.col("whole"), F.col("size")).otherwise(0))).alias("gap")).collect()  # one row per source
     gaps = {r["skey"]: int(r["gap"]) for r in short}
     extra = _fill_gaps(laid, gaps, {r[0]: r[2] for r in rows}, spec)
-    marked = laid.join(F.broadcast(extra), ["skey", "start"], "left").withColumn("extra", F.coalesce("extra", F.lit(False)) & (F.col("size") > 0) & ~F.col("whole"))
+    marked = laid.join(F.broadcast(extra), "skey", "left").withColumn("extra", ~F.col("whole") & (F.col("size") > 0) & _filled())
     marked = marked.withColumn("copies", F.when(F.col("size") > 0, F.col("passes") + (F.col("whole") | F.col("extra")).cast("int")).otherwise(0))
+    # documents that fill a gap are spread over its words
+    into = F.col("rest") - F.col("gap") + F.pmod(F.xxhash64(F.lit(spec.seed), "skey", "start"), "gap")
+    last = F.when(F.col("extra"), into).otherwise(F.col("start"))
     copies = F.transform(
         F.when(F.col("copies") > 0, F.sequence(F.lit(0), F.col("copies") - 1)).otherwise(F.array().cast("array<int>")),
-        lambda k: F.struct(k.alias("copy"), F.least((k * F.col("source_size") + F.col("start")).cast("long") / F.lit(block), F.col("quota") - 1).cast("long").alias("block")),
+        lambda k: F.struct(k.alias("copy"), F.least((k * F.col("source_size") + F.when(k == F.col("passes"), last).otherwise(F.col("start"))).cast("long") / F.lit(block), F.col("quota") - 1).cast("long").alias("block")),
     )
     keep = ["doc_id", "source", "skey", "size", "source_size", "target", "copies"]
     return marked.select(*keep, "h", copies.alias("places")), blocks

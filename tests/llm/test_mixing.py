@@ -68,3 +68,23 @@ def test_mixed_documents_keep_columns(docs_small, no_docs):
     twice = docs_small.limit(30).union(docs_small.limit(30)).union(docs_small.limit(30).withColumn("lang", F.lit(None).cast("string")))
     plan, _ = mixing.mix_plan(twice, identity=twice.columns)
     assert mixing.mix_documents(twice).count() == plan.agg(F.sum("copies")).first()[0]
+
+
+@pytest.mark.parametrize("seed", [3, 9])
+def test_a_very_long_document_at_the_quota_leaves_no_gap(spark, seed):
+    """The document that overflows the quota is longer than eight others: the rest is filled by as many as fit."""
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(["w"] * int(n)), "b" if i < 2000 else "a") for i, n in enumerate(rng.integers(20, 200, 2600))]
+    docs = spark.createDataFrame([*rows, (9999, "w " * 60000, "b")], "doc_id long, text string, source string")
+    plan, blocks = mixing.mix_plan(docs, mixing.MixSpec(seed=seed))
+    got = [r for r in plan.collect() if r["source"] == "b"]
+    assert [r["copies"] for r in got if r["size"] == 60000] == [0]
+    gap = got[0]["target"] - sum(r["copies"] * r["size"] for r in got)
+    assert 0 <= gap <= .002 * got[0]["target"] + 1 or gap < min(r["size"] for r in got if not r["copies"])
+    # what fills the gap is spread over its blocks, not put into one
+    block = -(-sum(len(t.split()) for _, t, _ in [*rows, (0, "w " * 60000, "")]) // (16 * 256))
+    per = {}
+    for r in got:
+        for p in r["places"]:
+            per[p["block"]] = per.get(p["block"], 0) + r["size"]
+    assert max(per.values()) <= 2 * block + 4 * 200 + 200
