@@ -102,3 +102,26 @@ def test_plan_has_no_python(docs_small):
 def test_extra_columns_pass_through(spark, docs_small):
     d = docs_small.withColumns({"kept": F.lit(1), "n_words": F.lit("x"), "distance": F.lit(0)})
     assert quality.quality_documents(d).columns == d.columns
+
+
+def ordinary(rng, n=200):
+    return ["".join(rng.choice(list("abcdefgh"), int(rng.integers(4, 10)))) for _ in range(int(rng.integers(n * .8, n * 1.2)))]
+
+
+def test_each_statistic_can_reject_by_itself(spark):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(ordinary(rng)) for _ in range(300)]
+    block = ordinary(rng, 100)[:48]
+    planted = {
+        "n_words": " ".join(ordinary(rng, 20_000)),
+        "word_chars": " ".join(w * 4 for w in ordinary(rng)),
+        "n_symbols": " ".join(w + "#" for w in ordinary(rng)),
+        "n_dup_lines": "\n".join(f"same\n{w}" for w in ordinary(rng)),
+        "n_repeat_words": " ".join(block + ordinary(rng, 100)[:70] + block + ordinary(rng, 100)[:34]),
+    }
+    rows = [(i, t, "en", "s") for i, t in enumerate([*texts, *planted.values()])]
+    got = {r["doc_id"]: r for r in quality.robust_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(got[i]["kept"] for i in range(300))
+    for i, name in enumerate(planted):
+        r = got[300 + i]
+        assert not r["base_failed"] and not r["kept"], (name, r)
