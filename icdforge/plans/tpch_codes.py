@@ -45,23 +45,14 @@ def _letter(num: str) -> str:
 
 
 # --- codes: injective in the part key up to a stated capacity, loud beyond it ---
-DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 RAISE = "__raise__"  # raise_error in Spark, error in DuckDB
+BASE36 = "__base36__"  # a number's digits in base 36, of each engine's own
 
 
-def base36(num: str, width: int) -> str:
-    """``num`` in base 36, ``width`` digits."""
-    def digit(k: int) -> str:
-        return f"substring('{DIGITS}', cast(({num} % {36 ** (k + 1)} - {num} % {36 ** k}) / {36 ** k} as integer) + 1, 1)"
-
-    return "(" + " || ".join(digit(k) for k in reversed(range(width))) + ")"
-
-
-def base36_short(num: str, width: int, least: str) -> str:
-    """``num`` in base 36 with ``least`` to ``width`` digits: zeros lead only
-    up to ``least`` digits, so different numbers never share a text."""
-    own = " ".join(f"when {num} >= {36 ** k} then {k + 1}" for k in reversed(range(1, width)))
-    return f"substring({base36(num, width)}, cast({width + 1} - greatest(case {own} else 1 end, {least}) as integer))"
+def base36(num: str, width: str | int) -> str:
+    """``num`` in base 36, with leading zeros up to ``width`` digits."""
+    own = f"{BASE36}({num})"
+    return f"lpad({own}, cast(greatest(length({own}), {width}) as integer), '0')"
 
 
 def within(num: str, capacity: int, what: str, expr: str) -> str:
@@ -85,13 +76,13 @@ PX10_PARTS = 26 * 36**5
 def dx9(p: str, r10: str, q10: str) -> str:
     """ICD-9 diagnosis code of a part: E, V or a digit, then 2 to 4 characters."""
     return within(p, DX9_PARTS, "ICD-9 diagnosis", (
-        f"(case when {r10} = 0 then 'E' || {base36_short(q10, 4, f'3 + {q10} % 2')}"
-        f" when {r10} = 1 then 'V' || {base36_short(q10, 4, f'2 + {q10} % 3')}"
-        f" else {_s(r10)} || {base36_short(q10, 4, f'2 + {q10} % 3')} end)"))
+        f"(case when {r10} = 0 then 'E' || {base36(q10, f'3 + {q10} % 2')}"
+        f" when {r10} = 1 then 'V' || {base36(q10, f'2 + {q10} % 3')}"
+        f" else {_s(r10)} || {base36(q10, f'2 + {q10} % 3')} end)"))
 
 
 def px9(p: str) -> str:
-    return within(p, PX9_PARTS, "ICD-9 procedure", base36_short(p, 5, f"3 + {p} % 2"))
+    return within(p, PX9_PARTS, "ICD-9 procedure", base36(p, f"3 + {p} % 2"))
 
 
 def dx10(p: str, q26: str) -> str:
@@ -102,18 +93,30 @@ def px10(p: str, q26: str) -> str:
     return within(p, PX10_PARTS, "ICD-10 procedure", f"'0' || {_letter(p)} || {base36(q26, 5)}")
 
 
+def _called(expr: str, left: str, right: str) -> str:
+    """``BASE36(x)`` (x without brackets of its own but pairs) as left x right."""
+    while BASE36 in expr:
+        at = expr.index(BASE36)
+        start = at + len(BASE36) + 1
+        end, depth = start, 1
+        while depth:
+            depth += {"(": 1, ")": -1}.get(expr[end], 0)
+            end += 1
+        expr = expr[:at] + left + expr[start:end - 1] + right + expr[end:]
+    return expr
+
+
 def spark_sql(expr: str) -> str:
-    return expr.replace(RAISE, "raise_error")
+    return _called(expr.replace(RAISE, "raise_error"), "conv(cast(", " as string), 10, 36)")
 
 
 def duck_sql(expr: str) -> str:
-    return expr.replace(RAISE, "error")
+    return _called(expr.replace(RAISE, "error"), "to_base(cast(", " as bigint), 36)")
 
 
-# Stages of derived columns; a stage may use columns of earlier stages.
-STAGES: list[list[tuple[str, str]]] = [
+# Columns of a part, whatever the year: codes and texts are made once a part.
+PART_STAGES: list[list[tuple[str, str]]] = [
     [
-        ("ver", f"case when fy >= {ICD10_FROM} then 10 else 9 end"),
         ("r10", f"{P} % 10"),
         ("q10", tens(P)),
         ("q26", letters(P)),
@@ -123,26 +126,34 @@ STAGES: list[list[tuple[str, str]]] = [
             f" || (case when {P} % 9 = 0 then ' ' || repeat('x', cast({P} % 30 as integer)) else '' end)",
         ),
         (
-            "core",
+            "core0",
             f"upper(substring(p_name, 1, 1)) || substring(p_name, 2) || ' of ' || lower(p_type)"
             f" || ' size ' || {_s('p_size')}"
-            f" || (case when {P} % 7 = 0 then ', \"quoted\"' else '' end)"
-            f" || (case when fy >= 1996 + {P} % 7 then ' (revised ' || {_s(f'1996 + {P} % 7')} || ')' else '' end)",
+            f" || (case when {P} % 7 = 0 then ', \"quoted\"' else '' end)",
         ),
         ("tail", f"case when {P} % 13 = 0 then ' ' || repeat(p_name || ' ', cast({P} % 20 as integer)) else '' end"),
         ("pad", f"case when {P} % 5 = 0 then ' ' else '' end"),
         ("hipaa", f"case when {P} % 10 = 5 then '0' else '1' end"),
         ("exempt", "p_size <= 10"),
     ],
+    [("dxc9", dx9(P, "r10", "q10")), ("dxc10", dx10(P, "q26")), ("pxc9", px9(P)), ("pxc10", px10(P, "q26"))],
+]
+
+# Columns of a part in a year; a stage may use columns of earlier stages.
+STAGES: list[list[tuple[str, str]]] = [
     [
-        ("code9", f"case when ver = 9 then {dx9(P, 'r10', 'q10')} end"),
-        ("code10", f"case when ver = 10 then {dx10(P, 'q26')} end"),
-        ("px_code", f"case when ver = 10 then {px10(P, 'q26')} else {px9(P)} end"),
+        ("ver", f"case when fy >= {ICD10_FROM} then 10 else 9 end"),
+        ("core", f"core0 || (case when fy >= 1996 + {P} % 7 then ' (revised ' || {_s(f'1996 + {P} % 7')} || ')' else '' end)"),
+    ],
+    [
+        ("code9", "case when ver = 9 then dxc9 end"),
+        ("code10", "case when ver = 10 then dxc10 end"),
+        ("px_code", "case when ver = 10 then pxc10 else pxc9 end"),
         ("long", "core || tail"),
         (
             "poa_long",
             f"(case {P} % 6 when 1 then replace(core, ' ', '  ') when 2 then upper(core)"
-            " when 3 then core || ' NOS' else core end) || tail",
+            " when 3 then core || ' NOS' when 4 then replace(core, ' size ', ' sise ') else core end) || tail",
         ),
     ],
     [
@@ -235,7 +246,10 @@ def part_releases(spark: SparkSession, sf_dir: str, mce: bool = False) -> DataFr
     if mce:
         part = part.filter(F.expr(MCE_MEMBER))
     last = MCE_LAST_FY if mce else LAST_FY
-    df = part.selectExpr("*", f"explode(sequence({FIRST_FY}, {last})) AS fy")
+    df = part
+    for st in PART_STAGES:
+        df = _stage(df, st)
+    df = df.selectExpr("*", f"explode(sequence({FIRST_FY}, {last})) AS fy")
     for st in STAGES:
         df = _stage(df, st)
     if mce:
@@ -299,10 +313,10 @@ def duck_stage(prev_sql: str, stage: list[tuple[str, str]]) -> str:
 def duck_part_releases(mce: bool = False) -> str:
     last = MCE_LAST_FY if mce else LAST_FY
     where = f" WHERE {MCE_MEMBER}" if mce else ""
-    sql = (
-        f"SELECT * FROM (SELECT {P}, p_name, p_type, p_size, unnest(generate_series({FIRST_FY}, {last})) AS fy"
-        f" FROM part{where})"
-    )
+    sql = f"SELECT {P}, p_name, p_type, p_size FROM part{where}"
+    for st in PART_STAGES:
+        sql = duck_stage(sql, st)
+    sql = f"SELECT *, unnest(generate_series({FIRST_FY}, {last})) AS fy FROM ({sql})"
     for st in STAGES:
         sql = duck_stage(sql, st)
     if mce:
