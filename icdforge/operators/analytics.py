@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import quality
+from .wording import is_spelling
 
 FY = "CMS_Fiscal_Year"
 VER = "ICD_Version"
@@ -126,8 +127,9 @@ def _squeeze_blanks(c):
 
 def description_discrepancies(poa: DataFrame, dx: DataFrame) -> DataFrame:
     """Long descriptions that differ between the POA list and the diagnosis
-    table for the same code and release, classed as spacing / case / wording,
-    with their edit distance (B9)."""
+    table for the same code and release, classed as spacing / case / spelling
+    (their words align one to one in spelling variants) / wording, with their
+    edit distance (B9)."""
     keys = [FY, VER, "Diagnosis_Code"]
     a = poa.select(*keys, F.col("Code_Desc_Long").alias("POA_Desc"))
     b = dx.select(*keys, F.col("Code_Desc_Long").alias("Dx_Desc"))
@@ -136,6 +138,7 @@ def description_discrepancies(poa: DataFrame, dx: DataFrame) -> DataFrame:
     kind = (
         F.when(sa == sb, F.lit("spacing"))
         .when(F.upper(sa) == F.upper(sb), F.lit("case"))
+        .when(is_spelling(F.upper(sa), F.upper(sb)), F.lit("spelling"))
         .otherwise(F.lit("wording"))
     )
     return j.withColumn("Difference", kind).withColumn(

@@ -69,6 +69,12 @@ def desc_icd10(rows: DataFrame, code_name: str = "Diagnosis_Code") -> DataFrame:
     )
 
 
+def icd10_headers(rows: DataFrame, code_name: str = "Diagnosis_Code") -> DataFrame:
+    """The headings of the ICD-10 order file: codes that :func:`desc_icd10`
+    leaves out because they are not valid for billing (release columns, code)."""
+    return rows.filter(F.col("Code_Is_HIPAA_Valid") == "0").select(*_release_cols(), cut(sql_trim("ICD_Code"), 7).alias(code_name), *_keep(rows))
+
+
 def _with_reason(df: DataFrame, extra: F.Column) -> DataFrame:
     if REASON in df.columns:
         return df.withColumn(REASON, F.coalesce(F.col(REASON), extra))

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Code alphabet in byte order and the longest code: ICD-9/10 codes are at
@@ -43,53 +43,6 @@ def lookup_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str
     return dealt.join(repeated, on=[*keys, "_salt"], how=how).drop("_salt")
 
 
-def range_cover_column(lo: str, hi: str, alphabet: str = CODE_ALPHABET, max_len: int = MAX_CODE_LENGTH) -> Column:
-    """Canonical cover of the code range [lo, hi] (byte order) in the trie of
-    codes over ``alphabet`` up to ``max_len`` characters, as a built-in
-    expression over columns ``lo``, ``hi``.
-
-    Entries are ``P:<prefix>`` (every code starting with the prefix is in the
-    range) and ``E:<code>`` (that exact code is).  Covered subtrees are
-    disjoint, so each code in the range matches exactly one entry through one
-    of its prefixes or itself, and no code outside matches.  At most about
-    2 * len(alphabet) * max_len entries per range.
-
-    Only nodes on the paths of ``lo`` and ``hi`` can straddle a bound, so the
-    candidates are those path nodes and their children; a candidate is a
-    ``P:`` entry when its subtree lies inside the range and no ancestor's
-    does, a path node is an ``E:`` entry when it is itself in the range but
-    its subtree is not.  Evaluated once per range row.
-    """
-    top = alphabet[-1]
-    chars = ",".join(alphabet)
-    L = int(max_len)
-
-    def covered(x: str) -> str:
-        return f"({x} >= {lo} AND concat({x}, repeat('{top}', {L} - length({x}))) <= {hi})"
-
-    def ancestor_covered(x: str) -> str:
-        return f"(length({x}) > 0 AND exists(sequence(0, length({x}) - 1), i -> {covered(f'substring({x}, 1, i)')}))"
-
-    path = (
-        f"filter(array_distinct(flatten(transform(sequence(0, {L}), d -> array("
-        f"case when d <= length({lo}) then substring({lo}, 1, d) end, "
-        f"case when d <= length({hi}) then substring({hi}, 1, d) end)))), x -> x is not null)"
-    )
-    children = (
-        f"flatten(transform(filter({path}, b -> length(b) < {L}), "
-        f"b -> transform(split('{chars}', ','), ch -> concat(b, ch))))"
-    )
-    prefixes = (
-        f"transform(filter(array_distinct(concat({path}, {children})), "
-        f"x -> {covered('x')} AND NOT {ancestor_covered('x')}), x -> concat('P:', x))"
-    )
-    exact = (
-        f"transform(filter({path}, x -> length(x) > 0 AND x >= {lo} AND x <= {hi} AND NOT {covered('x')}"
-        f" AND NOT {ancestor_covered('x')}), x -> concat('E:', x))"
-    )
-    return F.expr(f"case when {lo} <= {hi} then concat({prefixes}, {exact}) else array() end")
-
-
 def _bad_code(code: Column, alphabet: str, max_len: int) -> Column:
     outside = F.translate(code, alphabet, "") != ""
     return F.coalesce(outside | (F.length(code) > max_len) | (code == ""), F.lit(True))
@@ -108,6 +61,31 @@ def range_problems(codes: DataFrame, ranges: DataFrame, code_col: str, lo_col: s
     return c.unionByName(r.filter(F.col("reason").isNotNull()))
 
 
+#: distinct codes in a block of the sweep order, the unit in which ranges meet codes
+BLOCK = 256
+#: leading characters whose codes one task puts in order: at most 36 ** 3 codes follow four
+GROUP = 4
+
+
+def _sweep(points: DataFrame) -> DataFrame:
+    """``points``: distinct (v, k), k 0 for a low bound, 1 for a code, 2 for a
+    high bound.  Adds ``r``: the codes before the point, in the order (v, k).
+
+    The order is cut by the first ``GROUP`` characters and again by the first
+    two, so no window holds more than the code space behind such a prefix: at
+    most three points for each of 36 ** 3 codes, 36 ** 2 prefixes in the next,
+    36 ** 2 in the last."""
+    is_code = (F.col("k") == 1).cast("long")
+    p = points.select("v", "k", F.substring("v", 1, GROUP).alias("g"), F.substring("v", 1, 2).alias("h"))
+    before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    groups = p.groupBy("h", "g").agg(F.sum(is_code).alias("n"))
+    tops = groups.groupBy("h").agg(F.sum("n").alias("n")).select("h", F.coalesce(F.sum("n").over(before(F.lit(0)).orderBy("h")), F.lit(0)).alias("top"))
+    groups = groups.select("h", "g", F.coalesce(F.sum("n").over(before("h").orderBy("g")), F.lit(0)).alias("base"))
+    within = F.coalesce(F.sum(is_code).over(before("g").orderBy("v", "k")), F.lit(0))
+    ranked = p.withColumn("i", within).join(groups, ["h", "g"]).join(F.broadcast(tops), "h")  # at most 36 ** 2 tops
+    return ranked.select("v", "k", (F.col("top") + F.col("base") + F.col("i")).alias("r"))
+
+
 def expand_ranges(
     codes: DataFrame,
     ranges: DataFrame,
@@ -117,27 +95,28 @@ def expand_ranges(
     alphabet: str = CODE_ALPHABET,
     max_len: int = MAX_CODE_LENGTH,
 ) -> DataFrame:
-    """Range join ``lo <= code <= hi`` (byte order, after upper-casing) as an
-    exact equi-join.
-
-    Each range becomes its trie cover (:func:`range_cover_column`, built-in
-    higher-order functions evaluated once per range), each code one key per
-    prefix length that the covers use (at most ``max_len`` numbers, from a
-    small aggregate of the ranges) and its own key where exact entries exist;
-    the equi-join on the key returns exactly the matching (code, range) pairs.
-    No key is the empty prefix, so no key holds every code.  What cannot be
-    compared is left out and reported by :func:`range_problems`.
+    """Range join ``lo <= code <= hi`` (byte order, after upper-casing) as a
+    sweep over the sorted codes and bounds.
+
+    Distinct codes and bounds are put in one order and numbered by the codes
+    before them; a range then holds the codes of a run of numbers.  The numbers
+    are cut into blocks of ``BLOCK`` codes: a code lies in one block, a range in
+    every block its run touches, and both meet by an equality join on the block,
+    with the numbers compared there.  A narrow range is one or two rows, a range
+    over all codes is dealt over all blocks, and no key holds more than ``BLOCK``
+    different codes; where very many ranges share a block, AQE's skew join
+    splits them.  Nothing is evaluated while the query is built.  What cannot
+    be compared is left out and reported by :func:`range_problems`.
     """
-    good = ~_bad_code(F.upper(lo_col), alphabet, max_len) & ~_bad_code(F.upper(hi_col), alphabet, max_len)
-    upper = ranges.filter(good).withColumns({"_lo": F.upper(lo_col), "_hi": F.upper(hi_col)})
-    r = upper.withColumn("_key", F.explode(range_cover_column("_lo", "_hi", alphabet, max_len))).drop("_lo", "_hi")
-    used = [(k[0], n) for k, n in r.select(F.substring("_key", 1, 1).alias("k"), (F.length("_key") - 2).alias("n")).distinct().collect()]  # at most max_len + 1 prefix lengths and exact lengths
-    code = F.upper(code_col)
-    keys = [F.when(F.length(code) >= n, F.concat(F.lit("P:"), F.substring(code, 1, n))) for k, n in sorted(used) if k == "P"]
-    exact = [n for k, n in used if k == "E"]
-    if exact:
-        keys.append(F.when(F.length(code).isin(exact), F.concat(F.lit("E:"), code)))
-    if not keys:
-        keys = [F.lit(None).cast("string")]
-    c = codes.filter(~_bad_code(code, alphabet, max_len)).withColumn("_key", F.explode(F.array_compact(F.array(*keys))))
-    return c.join(r, on="_key", how="inner").drop("_key")
+    bad = lambda c: _bad_code(F.upper(c), alphabet, max_len)
+    c = codes.filter(~bad(code_col)).withColumn("_v", F.upper(code_col))
+    r = ranges.filter(~bad(lo_col) & ~bad(hi_col)).withColumns({"_lo": F.upper(lo_col), "_hi": F.upper(hi_col)}).filter("_lo <= _hi")
+    points = c.select(F.col("_v").alias("v"), F.lit(1).alias("k")).distinct().union(
+        r.select(F.explode(F.array(F.struct(F.col("_lo").alias("v"), F.lit(0).alias("k")), F.struct(F.col("_hi").alias("v"), F.lit(2).alias("k")))).alias("p")).select("p.*").distinct())
+    order = _sweep(points)
+    numbered = lambda name, k, to: order.filter(F.col("k") == k).select(F.col("v").alias(name), F.col("r").alias(to))
+    c = c.join(numbered("_v", 1, "_r"), "_v").withColumn("_block", F.floor(F.col("_r") / BLOCK)).drop("_v")
+    r = r.join(numbered("_lo", 0, "_from"), "_lo").join(numbered("_hi", 2, "_to"), "_hi").filter("_from < _to").drop("_lo", "_hi")
+    r = r.withColumn("_block", F.explode(F.sequence(F.floor(F.col("_from") / BLOCK), F.floor((F.col("_to") - 1) / BLOCK))))
+    met = c.join(r, "_block").filter("_r >= _from AND _r < _to")
+    return met.drop("_block", "_r", "_from", "_to")

@@ -15,14 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import fiscal_year, icd9_add_period
-from ..operators import analytics, claims, quality, releases, tables
+from ..operators import analytics, claims, history, quality, releases, tables
 from ..operators.clean import rename_columns
 from ..operators.joins import expand_ranges
 from ..sources import layouts
 from ..sources.lines import FILE_NAME
 from ..sources.parse import REASON, materialize, parse, split_rejects
 from . import tpch_codes as T
-from .pipeline import standardize
+from .pipeline import icd10_headers, standardize
 from .sinks import replace_version_slice
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -407,6 +407,45 @@ def q_release_identity(spark, sf):
     ).select("ICD_Version", "From_FY", "To_FY", "n_only_old", "n_only_new", "Is_Identical")
 
 
+def q_delta_chain(spark, sf):
+    """Every earlier release from the newest one and the chain of deltas."""
+    dx, pairs = dx_union(spark, sf), _pairs(spark)
+    newest = pairs.groupBy("ICD_Version").agg(F.max("To_FY").alias("CMS_Fiscal_Year"))
+    delta = analytics.release_delta(dx, pairs, "Diagnosis_Code")
+    return history.rebuild_releases(dx.join(F.broadcast(newest), ["ICD_Version", "CMS_Fiscal_Year"]), delta, pairs, "Diagnosis_Code")
+
+
+def q_delta_compose(spark, sf):
+    """The deltas of consecutive releases as one delta from first to last."""
+    return history.compose_deltas(analytics.release_delta(dx_union(spark, sf), _pairs(spark), "Diagnosis_Code"), "Diagnosis_Code")
+
+
+def q_identity_by_fingerprint(spark, sf):
+    poa, cols = poa_union(spark, sf), ["Diagnosis_Code", "Diagnosis_Code_With_Period", "Code_Desc_Long"]
+    return history.identical_releases(history.release_fingerprints(poa, cols), _pairs(spark, "poa"), poa, cols)
+
+
+def q_code_spans(spark, sf):
+    return history.code_spans(code_tables(spark, sf), T.adapter_manifest(spark, "dx"), ["ICD_Code_Type", "ICD_Code"])
+
+
+def header_codes(spark, sf):
+    """Headings of the ICD-10 diagnosis and procedure files."""
+    out = None
+    for kind, letter in (("dx", "D"), ("proc", "P")):
+        h = icd10_headers(T.release_lines(spark, sf, "desc", 10, kind), T.adapter_manifest(spark, kind), "ICD_Code")
+        h = h.select("ICD_Version", "CMS_Fiscal_Year", F.lit(letter).alias("ICD_Code_Type"), "ICD_Code")
+        out = h if out is None else out.unionByName(h)
+    return out
+
+
+def q_invalid_reason(spark, sf):
+    keys = ["ICD_Code_Type", "ICD_Code"]
+    spans = history.code_spans(code_tables(spark, sf), T.adapter_manifest(spark, "dx"), keys)
+    found = history.invalid_reasons(claim_codes(spark, sf), spans, keys, header_codes(spark, sf), ["claim_id"], code_rows(spark, sf))
+    return found.select("claim_id", "CMS_Fiscal_Year", "ICD_Version", *keys, "Reason")
+
+
 def q_length_profile(spark, sf):
     dx = quality.length_profile(dx_union(spark, sf), ["ICD_Version"], ["Code_Desc_Short", "Code_Desc_Long"])
     px = quality.length_profile(px_union(spark, sf), ["ICD_Version"], ["Code_Desc_Short", "Code_Desc_Long"])
@@ -471,14 +510,21 @@ def claim_principal(spark, sf):
     return li.groupBy(F.col("l_orderkey").alias("claim_id")).agg(F.min(seq).alias("Principal_Seq"))
 
 
+def code_rows(spark, sf):
+    """A bound on the rows of a derived code table: a part lives in at most
+    all fiscal years, with two codes.  Parts are counted from the file's
+    metadata, no table is derived for it."""
+    return 2 * len(T.FISCAL_YEARS) * T.read_table(spark, sf, "part").count()
+
+
 def q_claim_edits(spark, sf):
-    return claims.apply_edits(claim_codes(spark, sf), mce_rows(spark, sf), principal=claim_principal(spark, sf)).select(
+    return claims.apply_edits(claim_codes(spark, sf), mce_rows(spark, sf), principal=claim_principal(spark, sf), edit_rows=code_rows(spark, sf)).select(
         "claim_id", "CMS_Fiscal_Year", "ICD_Code_Type", "ICD_Code", "Is_Principal", "MCE_Edit_Type"
     )
 
 
 def q_invalid_code(spark, sf):
-    return claims.invalid_codes(claim_codes(spark, sf), code_tables(spark, sf)).select(
+    return claims.invalid_codes(claim_codes(spark, sf), code_tables(spark, sf), code_rows(spark, sf)).select(
         "claim_id", "CMS_Fiscal_Year", "ICD_Version", "ICD_Code_Type", "ICD_Code"
     )
 
@@ -532,6 +578,11 @@ QUERIES: dict[str, Query] = {
     "delta_unapply": q_delta_unapply,
     "release_identity": q_release_identity,
     "length_profile": q_length_profile,
+    "delta_chain": q_delta_chain,
+    "delta_compose": q_delta_compose,
+    "identity_by_fingerprint": q_identity_by_fingerprint,
+    "code_spans": q_code_spans,
+    "invalid_reason": q_invalid_reason,
     "claim_edits": q_claim_edits,
     "invalid_code": q_invalid_code,
     "dup_pdx": q_dup_pdx,

@@ -7,6 +7,10 @@ standardised and staged as Parquet by release in the shared checkpoint folder
 the table action (:mod:`icdforge.plans.sinks`).  The staged copy is removed at
 the end.  The table is not touched when a check fails; rejected lines and all
 violations are kept in tables of their own, one slice per load.
+
+With ``store_dir`` the rows go to a versioned store instead of a catalog table
+(:mod:`icdforge.plans.snapshots`): the same actions and checks, published as one
+commit on top of the snapshot that the checks have read.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +30,7 @@ from ..sources.lines import FILE_NAME, read_lines
 from ..sources.parse import RAW, REASON, split_rejects
 from . import sinks
 from .pipeline import layout_for, standardize
+from .snapshots import SnapshotStore
 
 log = logging.getLogger(__name__)
 
@@ -167,9 +172,12 @@ def _load(
     max_rejects: int,
     check_table: str | None = None,
     load_id: str | None = None,
+    store_dir: str | None = None,
 ) -> LoadResult:
     target = table or spec.default_name
-    action = sinks.check_action(spark, target, action, schema)
+    store = SnapshotStore(spark, store_dir) if store_dir else None
+    base = store.current() if store else None
+    action = store.check_action(action, base) if store else sinks.check_action(spark, target, action, schema)
     chosen = releases.select_versions(manifest_df, which)
     rel_rows = [tuple(r) for r in chosen.select("ICD_Version", "CMS_Fiscal_Year", FILE_NAME).orderBy("CMS_Fiscal_Year").collect()]  # one row per release
     if not rel_rows:
@@ -192,6 +200,7 @@ def _load(
         return _check_and_publish(
             spark, staged, kind=kind, spec=spec, target=target, schema=schema, action=action, field_names=field_names, code_name=code_name,
             rejects=rejects, checks=checks, load_id=load_id, max_rejects=max_rejects, rel_rows=[r[:2] for r in rel_rows],
+            store=store, base=base,
         )
     finally:
         _unstage(spark, path)
@@ -200,6 +209,7 @@ def _load(
 def _check_and_publish(
     spark: SparkSession, rows: DataFrame, *, kind: str, spec: tables.TableSpec, target: str, schema: str | None, action: str,
     field_names: dict | None, code_name: str, rejects: str, checks: str, load_id: str, max_rejects: int, rel_rows: list,
+    store: SnapshotStore | None = None, base=None,
 ) -> LoadResult:
     summary = _release_summary(rows, spec, mce=(kind == "mce"))
     totals = {k: sum(v[k] for v in summary.values()) for k in ("good", "rejects", "nulls", "lengths")}
@@ -222,17 +232,21 @@ def _check_and_publish(
     out_spec = spec.renamed(field_names or {})
     good = rename_columns(good.select(*spec.names), field_names)
 
-    name = sinks.qualified(target, schema)
+    name = store.root if store else sinks.qualified(target, schema)
     kept = None
-    if sinks.table_exists(spark, target, schema) and action in ("APPEND", "DELETE_ICD9", "DELETE_ICD10"):
+    if store:
+        stay = store.kept(action, base)
+        kept = store.rows_of(replace(base, releases=stay)) if stay else None
+    elif sinks.table_exists(spark, target, schema) and action in ("APPEND", "DELETE_ICD9", "DELETE_ICD10"):
         kept = spark.table(name)
         if action != "APPEND":
             drop_v = 9 if action == "DELETE_ICD9" else 10
             kept = kept.filter(F.col(out_spec.partition_by[0]) != drop_v)
     violations = _violations(good, out_spec, kept, totals)
     violations = violations if found is None else violations.unionByName(found)
-    sinks.record(spark, violations, checks, load_id, CHECK_DDL)
-    report = {r["check_name"]: r["count"] for r in spark.table(checks).filter(F.col("Load_Id") == load_id).groupBy("check_name").count().collect()}
+    report = {}
+    if sinks.record(spark, violations, checks, load_id, CHECK_DDL):
+        report = {r["check_name"]: r["count"] for r in spark.table(checks).filter(F.col("Load_Id") == load_id).groupBy("check_name").count().collect()}
     if report:
         raise LoadCheckError(f"load into {name} failed its checks: {report}; rows in {checks}", report, checks)
     if n_bad > max_rejects:
@@ -240,7 +254,11 @@ def _check_and_publish(
 
     ver = {fy: v for v, fy in rel_rows}
     have = {(ver[fy], fy) for fy, v in summary.items() if v["good"]}
-    sinks.publish(spark, good, target, out_spec, action, schema, sort_col=(field_names or {}).get(code_name, code_name), releases=have)
+    sort_col = (field_names or {}).get(code_name, code_name)
+    if store:
+        store.publish(good, out_spec, action, base, load_id, sort_col)
+    else:
+        sinks.publish(spark, good, target, out_spec, action, schema, sort_col=sort_col, releases=have)
     log.info("loaded %s rows into %s (%s rejects)", totals["good"], name, n_bad)
     return LoadResult(name, totals["good"], n_bad, rel_rows)
 
@@ -257,6 +275,7 @@ def load_diagnosis(
     max_rejects: int = 0,
     check_table: str | None = None,
     load_id: str | None = None,
+    store_dir: str | None = None,
     releases_=releases.DIAGNOSIS_RELEASES,
 ) -> LoadResult:
     """Diagnosis code descriptions (ICD-9 quoted-bar and ICD-10 order files)."""
@@ -264,7 +283,7 @@ def load_diagnosis(
         spark, kind="desc", spec=tables.DIAGNOSIS, manifest_df=releases.manifest(spark, releases_),
         source_dir=source_dir, table=table, schema=schema, action=action, which=which,
         field_names=field_names, reject_table=reject_table, max_rejects=max_rejects,
-        check_table=check_table, load_id=load_id,
+        check_table=check_table, load_id=load_id, store_dir=store_dir,
     )
 
 
@@ -280,6 +299,7 @@ def load_procedure(
     max_rejects: int = 0,
     check_table: str | None = None,
     load_id: str | None = None,
+    store_dir: str | None = None,
     releases_=releases.PROCEDURE_RELEASES,
 ) -> LoadResult:
     """Procedure code descriptions; same layouts and rules as diagnoses."""
@@ -287,7 +307,7 @@ def load_procedure(
         spark, kind="desc", spec=tables.PROCEDURE, manifest_df=releases.manifest(spark, releases_),
         source_dir=source_dir, table=table, schema=schema, action=action, which=which,
         field_names=field_names, reject_table=reject_table, max_rejects=max_rejects,
-        check_table=check_table, load_id=load_id,
+        check_table=check_table, load_id=load_id, store_dir=store_dir,
     )
 
 
@@ -302,6 +322,7 @@ def load_poa_exempt(
     max_rejects: int = 0,
     check_table: str | None = None,
     load_id: str | None = None,
+    store_dir: str | None = None,
     releases_=releases.POA_EXEMPT_RELEASES,
 ) -> LoadResult:
     """POA-exempt diagnosis lists; ICD-9 codes get their period."""
@@ -309,7 +330,7 @@ def load_poa_exempt(
         spark, kind="poa", spec=tables.POA_EXEMPT, manifest_df=releases.manifest(spark, releases_),
         source_dir=source_dir, table=table, schema=schema, action=action, which=which,
         field_names=None, reject_table=reject_table, max_rejects=max_rejects,
-        check_table=check_table, load_id=load_id,
+        check_table=check_table, load_id=load_id, store_dir=store_dir,
     )
 
 
@@ -324,6 +345,7 @@ def load_mce_edits(
     max_rejects: int = 0,
     check_table: str | None = None,
     load_id: str | None = None,
+    store_dir: str | None = None,
     releases_=releases.MCE_RELEASES,
 ) -> LoadResult:
     """MCE simple code edits (one layout for both ICD versions)."""
@@ -331,5 +353,5 @@ def load_mce_edits(
         spark, kind="mce", spec=tables.MCE_EDITS, manifest_df=releases.mce_manifest(spark, releases_),
         source_dir=source_dir, table=table, schema=schema, action=action, which=which,
         field_names=None, reject_table=reject_table, max_rejects=max_rejects,
-        check_table=check_table, load_id=load_id,
+        check_table=check_table, load_id=load_id, store_dir=store_dir,
     )

@@ -8,6 +8,7 @@ reference rules, lines are never parsed.
 
 from __future__ import annotations
 
+from ..operators.wording import EDIT
 from . import catalog as C
 from . import tpch_codes as T
 
@@ -295,14 +296,34 @@ FROM mce GROUP BY 1, 2, 3"""
 FROM mce m WHERE NOT EXISTS (SELECT 1 FROM codes c WHERE c.CMS_Fiscal_Year = m.CMS_Fiscal_Year
   AND c.ICD_Version = m.ICD_Version AND c.ICD_Code_Type = m.ICD_Code_Type AND c.ICD_Code = m.ICD_Code)"""
     sq = "trim(regexp_replace({x}, ' +', ' ', 'g'))"
-    q["desc_discrepancy"] = _with("dx", "poa") + f"""SELECT p.CMS_Fiscal_Year, p.ICD_Version, p.Diagnosis_Code,
+    # alignment of words by dynamic programming: one recursion step per word of a, each a whole row over the words of b
+    same = "p.CMS_Fiscal_Year = d.CMS_Fiscal_Year AND p.ICD_Version = d.ICD_Version AND p.Diagnosis_Code = d.Diagnosis_Code"
+    x = "string_split(a, ' ')[i + 1]"
+    y = "string_split(b, ' ')[j]"
+    near = f"(translate({x} || {y}, '0123456789', '') = {x} || {y} AND levenshtein({x}, {y}) * 4 <= greatest(length({x}), length({y})))"
+    pair = f"CASE WHEN {x} = {y} THEN 0 WHEN {near} THEN levenshtein({x}, {y}) * {EDIT} ELSE levenshtein({x}, {y}) * {EDIT} + 1 END"
+    alone = f"(length({x}) * {EDIT} + 1)"
+    align = f"""RECURSIVE al0 AS (SELECT DISTINCT upper({sq.format(x='p.Code_Desc_Long')}) AS a, upper({sq.format(x='d.Code_Desc_Long')}) AS b
+  FROM poa p JOIN dx d ON {same}),
+st AS (SELECT a, b, len(string_split(b, ' ')) AS m,
+    list_transform(range(0, len(string_split(b, ' ')) + 1), lambda j: coalesce(list_sum(list_transform(string_split(b, ' ')[1:j], lambda w: length(w) * {EDIT} + 1)), 0)) AS skip
+  FROM al0 WHERE a <> b),
+dp AS (SELECT a, b, 0::BIGINT AS i, m, skip, skip AS cells FROM st
+  UNION ALL
+  SELECT a, b, i + 1, m, skip, list_transform(range(1, m + 2), lambda k: list_min(list_transform(range(1, k + 1), lambda t: cand[t] + skip[k] - skip[t])))
+  FROM (SELECT *, list_transform(range(0, m + 1), lambda j: CASE WHEN j = 0 THEN cells[1] + {alone} ELSE least(cells[j + 1] + {alone}, cells[j] + {pair}) END) AS cand
+    FROM dp WHERE i < len(string_split(a, ' ')))),
+al AS (SELECT a, b, cells[m + 1]::BIGINT AS cost FROM dp WHERE i = len(string_split(a, ' ')))"""
+    base = _with("dx", "poa")
+    q["desc_discrepancy"] = base.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + ",\n" + align.replace("RECURSIVE ", "", 1) + "\n" + f"""SELECT p.CMS_Fiscal_Year, p.ICD_Version, p.Diagnosis_Code,
   p.Code_Desc_Long AS POA_Desc, d.Code_Desc_Long AS Dx_Desc,
   CASE WHEN {sq.format(x='p.Code_Desc_Long')} = {sq.format(x='d.Code_Desc_Long')} THEN 'spacing'
        WHEN upper({sq.format(x='p.Code_Desc_Long')}) = upper({sq.format(x='d.Code_Desc_Long')}) THEN 'case'
-       ELSE 'wording' END AS Difference,
+       WHEN al.cost % {EDIT} = 0 THEN 'spelling' ELSE 'wording' END AS Difference,
   cast(levenshtein(p.Code_Desc_Long, d.Code_Desc_Long) as integer) AS Edit_Distance
 FROM poa p JOIN dx d ON p.CMS_Fiscal_Year = d.CMS_Fiscal_Year AND p.ICD_Version = d.ICD_Version
   AND p.Diagnosis_Code = d.Diagnosis_Code
+LEFT JOIN al ON al.a = upper({sq.format(x='p.Code_Desc_Long')}) AND al.b = upper({sq.format(x='d.Code_Desc_Long')})
 WHERE p.Code_Desc_Long <> d.Code_Desc_Long"""
     q["desc_changes"] = _with("dx") + """SELECT * FROM (
   SELECT ICD_Version, Diagnosis_Code, CMS_Fiscal_Year, Code_Desc_Long,
@@ -340,6 +361,31 @@ SELECT p.ICD_Version, p.From_FY, p.To_FY, cast(coalesce(s.a, 0) as integer) AS n
   cast(coalesce(s.b, 0) as integer) AS n_only_new,
   CASE WHEN coalesce(s.a, 0) = 0 AND coalesce(s.b, 0) = 0 THEN 'Y' ELSE 'N' END AS Is_Identical
 FROM pairs p LEFT JOIN s ON p.ICD_Version = s.ICD_Version AND p.From_FY = s.From_FY AND p.To_FY = s.To_FY"""
+    q["delta_chain"] = q["delta_unapply"]
+    ends = "SELECT ICD_Version, min(From_FY) AS From_FY, max(To_FY) AS To_FY FROM pairs GROUP BY ICD_Version"
+    q["delta_compose"] = _with("dx", "pairs").rstrip() + f", ends AS ({ends})\nSELECT * FROM ({delta.replace('JOIN pairs p', 'JOIN ends p')}) WHERE Change IS NOT NULL"
+    q["identity_by_fingerprint"] = q["release_identity"][:q["release_identity"].rindex("SELECT p.ICD_Version")] + """SELECT p.ICD_Version, p.From_FY, p.To_FY,
+  (SELECT count(*) FROM poa x WHERE x.ICD_Version = p.ICD_Version AND x.CMS_Fiscal_Year = p.From_FY) AS n_old,
+  (SELECT count(*) FROM poa x WHERE x.ICD_Version = p.ICD_Version AND x.CMS_Fiscal_Year = p.To_FY) AS n_new,
+  CASE WHEN coalesce(s.a, 0) = 0 AND coalesce(s.b, 0) = 0 THEN 'Y' ELSE 'N' END AS Is_Identical
+FROM pairs p LEFT JOIN s ON p.ICD_Version = s.ICD_Version AND p.From_FY = s.From_FY AND p.To_FY = s.To_FY"""
+    spans = f"""SELECT ICD_Version, ICD_Code_Type, ICD_Code, min(CMS_Fiscal_Year) AS From_FY, max(CMS_Fiscal_Year) AS To_FY, cast(count(*) as integer) AS n_releases
+FROM (SELECT *, CMS_Fiscal_Year - row_number() OVER (PARTITION BY ICD_Version, ICD_Code_Type, ICD_Code ORDER BY CMS_Fiscal_Year) AS island
+  FROM (SELECT DISTINCT CMS_Fiscal_Year, ICD_Version, ICD_Code_Type, ICD_Code FROM codes))
+GROUP BY ICD_Version, ICD_Code_Type, ICD_Code, island"""
+    q["code_spans"] = _with("codes") + f"""SELECT *, make_date(cast(From_FY - 1 as integer), 10, 1) AS Valid_From, make_date(cast(To_FY as integer), 9, 30) AS Valid_To FROM ({spans})"""
+    q["invalid_reason"] = _with("ctx", "codes").rstrip() + f""",
+sp AS ({spans}),
+lim AS (SELECT ICD_Version, ICD_Code_Type, ICD_Code, min(From_FY) AS f, max(To_FY) AS t FROM sp GROUP BY ALL),
+heads AS (SELECT DISTINCT fy AS CMS_Fiscal_Year, 'D' AS ICD_Code_Type, substring(trim(dx_code), 1, 7) AS ICD_Code FROM pr WHERE ver = 10 AND hipaa = '0'
+  UNION SELECT fy, 'P', substring(trim(px_code), 1, 7) FROM pr WHERE ver = 10 AND hipaa = '0')
+SELECT c.claim_id, c.CMS_Fiscal_Year, c.ICD_Version, c.ICD_Code_Type, c.ICD_Code,
+  CASE WHEN h.ICD_Code IS NOT NULL THEN 'header_code' WHEN l.f IS NULL THEN 'never_valid'
+    WHEN c.CMS_Fiscal_Year < l.f THEN 'not_yet' WHEN c.CMS_Fiscal_Year > l.t THEN 'no_longer' ELSE 'suspended' END AS Reason
+FROM ctx c LEFT JOIN lim l USING (ICD_Version, ICD_Code_Type, ICD_Code)
+LEFT JOIN heads h ON c.ICD_Version = 10 AND h.CMS_Fiscal_Year = c.CMS_Fiscal_Year AND h.ICD_Code_Type = c.ICD_Code_Type AND h.ICD_Code = c.ICD_Code
+WHERE NOT EXISTS (SELECT 1 FROM sp WHERE sp.ICD_Version = c.ICD_Version AND sp.ICD_Code_Type = c.ICD_Code_Type AND sp.ICD_Code = c.ICD_Code
+  AND c.CMS_Fiscal_Year BETWEEN sp.From_FY AND sp.To_FY)"""
     q["length_profile"] = _with("dx", "px") + """SELECT ICD_Version, cast(max(length(Code_Desc_Short)) as integer) AS Max_Code_Desc_Short,
   cast(max(length(Code_Desc_Long)) as integer) AS Max_Code_Desc_Long, 'DIM_ICD_Diagnosis' AS Table_Name
 FROM dx GROUP BY ICD_Version

@@ -37,3 +37,8 @@ def standardize(lines: DataFrame, manifest_df: DataFrame, kind: str, version: in
     parsed = parse(lines, layout)
     attached = attach_release(parsed, manifest_df)
     return clean_fn(attached, **clean_kw)
+
+
+def icd10_headers(lines: DataFrame, manifest_df: DataFrame, code_name: str = "Diagnosis_Code") -> DataFrame:
+    """Heading codes of ICD-10 order lines by release."""
+    return clean.icd10_headers(attach_release(parse(lines, layout_for("desc", 10)), manifest_df), code_name)

@@ -165,25 +165,32 @@ def publish(
         releases = {tuple(r) for r in df.select(*spec.partition_by).distinct().collect()}  # one row per release
     version = {"TRUNCATE": None, "DELETE_ICD9": 9, "DELETE_ICD10": 10}[action]
     ver_col = spec.partition_by[0]
+    # the slice first: overwriting can be repeated, so a retry after a failure finds no rows of its own
+    if any(version in (None, r[0]) for r in releases):
+        own = df if version is None else df.filter(F.col(ver_col) == version)
+        insert(own, spark, name, spec, sort_col, overwrite=True)
     if version is not None and any(r[0] != version for r in releases):
         insert(df.filter(F.col(ver_col) != version), spark, name, spec, sort_col)
-        df = df.filter(F.col(ver_col) == version)
-    if any(version in (None, r[0]) for r in releases):
-        insert(df, spark, name, spec, sort_col, overwrite=True)
     _drop_partitions(spark, name, spec, version, releases)
     return name
 
 
 def record(spark: SparkSession, df: DataFrame, name: str, load_id: str, columns: str) -> int:
     """Keep ``df`` (columns as in the DDL ``columns``) as the slice of one load
-    in a table partitioned by ``Load_Id``; a repeated load replaces its slice.
-    Returns the number of rows."""
+    in a table partitioned by ``Load_Id``; a repeated load replaces its slice in
+    one overwrite, so a failed write leaves the old slice.  Ids are any
+    non-empty text and told apart as they are.  Returns the number of rows."""
+    if not load_id:
+        raise ValueError("a load needs a non-empty load_id")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}, Load_Id STRING) USING parquet PARTITIONED BY (Load_Id)")
-    slice_ = "Load_Id='" + load_id.replace("'", "") + "'"
-    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({slice_})")
+    if df.isEmpty():  # an overwrite without rows replaces no slice
+        literal = load_id.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (Load_Id='{literal}')")
+        return 0
     names = [c for c in spark.table(name).columns if c != "Load_Id"]
-    df.select(*names, F.lit(load_id.replace("'", "")).alias("Load_Id")).write.insertInto(name)
-    return spark.table(name).filter(slice_).count()
+    with _overwrite_partitions_only(spark):
+        df.select(*names, F.lit(load_id).alias("Load_Id")).write.insertInto(name, overwrite=True)
+    return spark.table(name).filter(F.col("Load_Id") == load_id).count()
 
 
 def replace_version_slice(existing: DataFrame, new_rows: DataFrame, version: int, version_col: str = "ICD_Version") -> DataFrame:

@@ -33,53 +33,6 @@ def test_range_join_matches_brute_force(spark):
     assert left_out == [("code", "not_a_code")] * 4 + [("range", "low_above_high")] + [("range", "not_a_code")] * 2
 
 
-def range_cover(lo: str, hi: str, alphabet: str = joins.CODE_ALPHABET, max_len: int = joins.MAX_CODE_LENGTH) -> list[str]:
-    """Canonical cover of the code range [lo, hi] (byte order) in the trie of
-    codes over ``alphabet`` up to ``max_len`` characters.
-
-    Returns entries ``P:<prefix>`` (every code starting with the prefix is in
-    the range) and ``E:<code>`` (that exact code is in the range).  Covered
-    subtrees are disjoint, so each code in the range matches exactly one
-    entry through one of its prefixes or itself, and no code outside matches.
-    At most about 2 * len(alphabet) * max_len entries per range.
-    """
-    if lo is None or hi is None or lo > hi:
-        return []
-    top = alphabet[-1]
-    out: list[str] = []
-
-    def visit(p: str) -> None:
-        last = p + top * (max_len - len(p))  # largest code in the subtree
-        if last < lo or p > hi:
-            return
-        if p >= lo and last <= hi:
-            out.append("P:" + p)
-            return
-        if lo <= p <= hi and p:
-            out.append("E:" + p)  # the node itself is a code in range
-        if len(p) < max_len:
-            for ch in alphabet:
-                visit(p + ch)
-
-    visit("")
-    return out
-
-
-def test_range_cover_exact():
-    import itertools
-
-    alpha = "0AB"
-    universe = ["".join(t) for n in range(0, 4) for t in itertools.product(alpha, repeat=n)]
-    for lo, hi in [("", "BBB"), ("0A", "B0"), ("A", "A"), ("AB0", "B"), ("B", "A"), ("0", "0BB"), ("A0A", "A0B")]:
-        cov = range_cover(lo, hi, alpha, 3)
-        matched = [u for u in universe if ("E:" + u) in cov or any(("P:" + u[:i]) in cov for i in range(len(u) + 1))]
-        assert sorted(matched) == sorted(u for u in universe if lo <= u <= hi), (lo, hi)
-        # disjoint: no code matches twice
-        for u in matched:
-            hits = (("E:" + u) in cov) + sum(("P:" + u[:i]) in cov for i in range(len(u) + 1))
-            assert hits == 1, (lo, hi, u)
-
-
 dims = st.dictionaries(
     st.tuples(st.sampled_from([2001, 2002, 2003]), st.sampled_from(["A01", "A02", "B10", "C20", "D30"])),
     st.sampled_from(["x", "y", "z"]),
@@ -103,22 +56,41 @@ def test_delta_unapply_is_inverse(spark, rows):
     assert rebuilt == actual
 
 
-def test_cover_expression_matches_reference(spark):
+def test_range_expansion_equals_brute_force(spark, monkeypatch):
     import random as _r
 
-    from icdforge.operators.joins import range_cover_column
+    from icdforge.operators import joins
 
+    monkeypatch.setattr(joins, "BLOCK", 4)
     rnd = _r.Random(3)
     alpha = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    pairs = [("", "ZZZZZZZ"), ("A", "A"), ("V1", "V2"), ("B", "A"), ("E800", "E8099")]
-    for _ in range(60):
-        a = "".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 7)))
-        b = "".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 7)))
-        pairs.append((min(a, b), max(a, b)))
-    df = spark.createDataFrame(pairs, "lo STRING, hi STRING")
-    got = {(r.lo, r.hi): sorted(r.cov) for r in df.select("lo", "hi", range_cover_column("lo", "hi").alias("cov")).collect()}
-    for lo, hi in pairs:
-        assert got[(lo, hi)] == sorted(range_cover(lo, hi)), (lo, hi)
+    word = lambda: "".join(rnd.choice(alpha[:3] + alpha[10:13]) for _ in range(rnd.randint(1, 5)))
+    codes = [word() for _ in range(150)] + ["A", "A", "a1", "", None, "A-1", "ABCDEFGH", "ZZZZZZZ", "0"]
+    ranges = [(min(a, b), max(a, b)) for a, b in ((word(), word()) for _ in range(60))]
+    ranges += [("0", "ZZZZZZZ"), ("A", "A"), ("A", "A"), ("B", "A"), ("a", "b"), (None, "A"), ("A", None), ("", "Z"), ("A.1", "B"), ("ZZZ", "ZZZZ")]
+    c = spark.createDataFrame([(k, v) for k, v in enumerate(codes)], "id INT, code STRING")
+    r = spark.createDataFrame([(k, *v) for k, v in enumerate(ranges)], "rid INT, Range_Lo STRING, Range_Hi STRING")
+    got = sorted((x.id, x.rid) for x in joins.expand_ranges(c, r, "code").select("id", "rid").collect())
+    fits = lambda v: bool(v) and len(v) <= 7 and all(ch in alpha for ch in v.upper())
+    want = sorted((k, n) for k, v in enumerate(codes) for n, (lo, hi) in enumerate(ranges) if fits(v) and fits(lo) and fits(hi) and lo.upper() <= v.upper() <= hi.upper())
+    assert got == want and len(want) > 500
+    assert joins.expand_ranges(c.limit(0), r, "code").count() == 0 and joins.expand_ranges(c, r.limit(0), "code").count() == 0
+
+
+def test_a_range_over_all_codes_is_dealt_over_blocks(spark):
+    from icdforge.operators import joins
+
+    c = spark.range(5_000).selectExpr("lpad(conv(cast(id as string), 10, 36), 5, 'A') AS code")
+    r = spark.createDataFrame([("0", "ZZZZZZZ")], "Range_Lo STRING, Range_Hi STRING")
+    jobs = spark.sparkContext.statusTracker()
+    before = set(jobs.getJobIdsForGroup())
+    spark.sparkContext.setJobGroup("build", "no job while the query is built")
+    df = joins.expand_ranges(c, r, "code")
+    assert not jobs.getJobIdsForGroup("build") and before is not None
+    spark.sparkContext.setJobGroup("run", "run")
+    assert df.count() == 5_000
+    plan = df._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def _edits(spark, rows):
@@ -172,3 +144,17 @@ def test_identity_and_discrepancy_classes(spark):
     )
     got = {r.CMS_Fiscal_Year: (r.Difference, r.Edit_Distance) for r in analytics.description_discrepancies(poa, dx).collect()}
     assert got == {2014: ("spacing", 1), 2013: ("case", 2), 2012: ("wording", 3)}
+
+
+def test_spelling_variants_are_a_class_of_their_own(spark):
+    pairs = [
+        ("Fracture of the tibia", "Fractur of the tibia", "spelling"), ("Tumour of oesophagus", "Tumor of esophagus", "spelling"), ("Anaemia  of pregnancy", "anemia of pregnancy", "spelling"),
+        ("Fever stage 2", "Fever stage 3", "wording"), ("Pain in arm", "Pain in leg", "wording"), ("Fever", "Fever of unknown origin", "wording"),
+        ("Disorder of eye", "Disorders of the eye", "wording"), ("left hand", "hand left", "wording"), ("x y", "x  y", "spacing"), ("x y", "X y", "case"),
+        ("Complication unspecified", "Complications unspecifed", "spelling"), ("Burn of to", "Burn of of", "wording"),
+    ]
+    rows = [(2014, 9, f"A{k}", f"A{k}", a) for k, (a, _, _) in enumerate(pairs)]
+    poa = spark.createDataFrame(rows, "CMS_Fiscal_Year INT, ICD_Version INT, Diagnosis_Code STRING, Diagnosis_Code_With_Period STRING, Code_Desc_Long STRING")
+    dx = spark.createDataFrame([(2014, 9, f"A{k}", b) for k, (_, b, _) in enumerate(pairs)], "CMS_Fiscal_Year INT, ICD_Version INT, Diagnosis_Code STRING, Code_Desc_Long STRING")
+    got = {r.Diagnosis_Code: r.Difference for r in analytics.description_discrepancies(poa, dx).collect()}
+    assert got == {f"A{k}": kind for k, (_, _, kind) in enumerate(pairs)}
