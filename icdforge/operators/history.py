@@ -128,16 +128,21 @@ def code_spans(codes: DataFrame, manifest_df: DataFrame, keys: Sequence[str]) ->
     From_FY, To_FY, Valid_From, Valid_To, n_releases.
 
     Releases are numbered in the manifest (broadcast, one row per release), so
-    a missing release of the calendar is no gap; a code's rows, one a release,
-    are islands of equal (release number - rank).  Repeated rows of a release
-    count once."""
+    a missing release of the calendar is no gap.  One exchange brings a code's
+    releases together, at most one entry a release; a run begins where the entry
+    before has another number than the one before, and ends likewise.  Repeated
+    rows of a release count once."""
     order = Window.partitionBy(VER).orderBy(FY)
-    cal = manifest_df.select(VER, FY, "Effective_Date", "End_Date").distinct().withColumn("_no", F.row_number().over(order))
+    cal = manifest_df.select(VER, FY, "Effective_Date", "End_Date").distinct().withColumn("no", F.row_number().over(order))
     own = [VER, *keys]
-    rank = Window.partitionBy(*own).orderBy("_no")
-    rows = codes.select(*own, FY).distinct().join(F.broadcast(cal), [VER, FY]).withColumn("_island", F.col("_no") - F.row_number().over(rank))
-    return rows.groupBy(*own, "_island").agg(
-        F.min(FY).alias("From_FY"), F.max(FY).alias("To_FY"), F.min("Effective_Date").alias("Valid_From"), F.max("End_Date").alias("Valid_To"), F.count("*").cast("int").alias("n_releases")).drop("_island")
+    rows = codes.select(*own, FY).join(F.broadcast(cal), [VER, FY])
+    per = rows.groupBy(*own).agg(F.sort_array(F.collect_set(F.struct("no", FY, "Effective_Date", "End_Date"))).alias("_r"))
+    first = F.expr("filter(_r, (x, i) -> i = 0 or x.no - _r[i - 1].no > 1)")
+    last = F.expr("filter(_r, (x, i) -> i = size(_r) - 1 or _r[i + 1].no - x.no > 1)")
+    runs = per.select(*own, F.explode(F.arrays_zip(first.alias("a"), last.alias("z"))).alias("_run"))
+    return runs.select(
+        *own, F.col(f"_run.a.{FY}").alias("From_FY"), F.col(f"_run.z.{FY}").alias("To_FY"), F.col("_run.a.Effective_Date").alias("Valid_From"), F.col("_run.z.End_Date").alias("Valid_To"),
+        (F.col("_run.z.no") - F.col("_run.a.no") + 1).cast("int").alias("n_releases"))
 
 
 def invalid_reasons(used: DataFrame, spans: DataFrame, keys: Sequence[str], headers: DataFrame | None = None, salt: Sequence[str] = (), span_rows: int | None = None) -> DataFrame:

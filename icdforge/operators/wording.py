@@ -38,5 +38,13 @@ def alignment_cost(a: Column, b: Column) -> Column:
 
 
 def is_spelling(a: Column, b: Column) -> Column:
-    """Whether ``a`` and ``b`` differ in spelling variants of words only."""
-    return alignment_cost(a, b) % EDIT == 0
+    """Whether ``a`` and ``b`` differ in spelling variants of words only.
+
+    Such an alignment pairs every word, so texts with different numbers of words
+    are not aligned; equal words at both ends pair with each other in a cheapest
+    alignment, so only what lies between the first and the last difference is."""
+    left, right = F.split(a, " "), F.split(b, " ")
+    differ = F.filter(F.sequence(F.lit(1), F.size(left)), lambda i: F.element_at(left, i) != F.element_at(right, i))
+    first, last = F.try_element_at(differ, F.lit(1)), F.try_element_at(differ, F.lit(-1))
+    inner = [F.array_join(F.slice(words, first, last - first + 1), " ") for words in (left, right)]
+    return F.when(F.size(left) == F.size(right), F.when(F.size(differ) > 0, alignment_cost(*inner) % EDIT == 0).otherwise(True)).otherwise(False)

@@ -442,7 +442,7 @@ def header_codes(spark, sf):
 def q_invalid_reason(spark, sf):
     keys = ["ICD_Code_Type", "ICD_Code"]
     spans = history.code_spans(code_tables(spark, sf), T.adapter_manifest(spark, "dx"), keys)
-    found = history.invalid_reasons(claim_codes(spark, sf), spans, keys, header_codes(spark, sf), ["claim_id"], code_rows(spark, sf))
+    found = history.invalid_reasons(claim_codes(spark, sf), spans, keys, header_codes(spark, sf), ["claim_id"], 2 * T.release_rows(spark, sf))
     return found.select("claim_id", "CMS_Fiscal_Year", "ICD_Version", *keys, "Reason")
 
 
@@ -510,21 +510,14 @@ def claim_principal(spark, sf):
     return li.groupBy(F.col("l_orderkey").alias("claim_id")).agg(F.min(seq).alias("Principal_Seq"))
 
 
-def code_rows(spark, sf):
-    """A bound on the rows of a derived code table: a part lives in at most
-    all fiscal years, with two codes.  Parts are counted from the file's
-    metadata, no table is derived for it."""
-    return 2 * len(T.FISCAL_YEARS) * T.read_table(spark, sf, "part").count()
-
-
 def q_claim_edits(spark, sf):
-    return claims.apply_edits(claim_codes(spark, sf), mce_rows(spark, sf), principal=claim_principal(spark, sf), edit_rows=code_rows(spark, sf)).select(
+    return claims.apply_edits(claim_codes(spark, sf), mce_rows(spark, sf), principal=claim_principal(spark, sf), edit_rows=T.release_rows(spark, sf, mce=True)).select(
         "claim_id", "CMS_Fiscal_Year", "ICD_Code_Type", "ICD_Code", "Is_Principal", "MCE_Edit_Type"
     )
 
 
 def q_invalid_code(spark, sf):
-    return claims.invalid_codes(claim_codes(spark, sf), code_tables(spark, sf), code_rows(spark, sf)).select(
+    return claims.invalid_codes(claim_codes(spark, sf), code_tables(spark, sf), 2 * T.release_rows(spark, sf)).select(
         "claim_id", "CMS_Fiscal_Year", "ICD_Version", "ICD_Code_Type", "ICD_Code"
     )
 

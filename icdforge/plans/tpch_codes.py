@@ -258,6 +258,16 @@ def part_releases(spark: SparkSession, sf_dir: str, mce: bool = False) -> DataFr
     return df
 
 
+def release_rows(spark: SparkSession, sf_dir: str, mce: bool = False) -> int:
+    """How many rows :func:`part_releases` has, from the parts' life spans
+    alone (no code or text is derived for it)."""
+    part = read_table(spark, sf_dir, "part")
+    if mce:
+        part = part.filter(F.expr(MCE_MEMBER))
+    years = f"{MCE_LAST_FY if mce else LAST_FY} - ({FIRST_FY}) + 1"
+    return int(part.selectExpr(f"coalesce(sum({years}), 0) AS n").first()["n"])
+
+
 TAB = "chr(9)"
 
 LINE_EXPRS = {
