@@ -22,6 +22,7 @@ read.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -56,17 +57,24 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Encoder:
-    """Ids of a byte-level BPE file.  Texts are cut before single blanks
+    """Ids of a byte-level BPE file, added tokens in a text included.  Texts are cut before single blanks
     between other characters, where no token crosses, and the pieces' ids are
     remembered: the same ids as encoding the text as a whole."""
 
     def __init__(self, spec: PackSpec):
         with open(spec.tokenizer, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
+            described = json.load(f)
+        vocabulary = described["model"]["vocab"]
+        added = {t["content"]: t["id"] for t in described.get("added_tokens", ())}
+        if any(t.get(k) for t in described.get("added_tokens", ()) for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"{spec.tokenizer}: added tokens that take in their surroundings are not supported")
         byte = byte_alphabet()
         ranks = {bytes(byte[c] for c in token): i for token, i in vocabulary.items() if all(c in byte for c in token)}
         self.plain = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.code = "H" if max(ranks.values()) < 1 << 16 else "I"
+        self.code = "H" if max([*ranks.values(), *added.values()]) < 1 << 16 else "I"
+        #: tokens that stand in a text as such, the longest first, and their ids
+        self.added = {content: array(self.code, [i]).tobytes() for content, i in added.items()}
+        self.parts = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
         self.limit = spec.cache_words
         self.end = array(self.code, [spec.end_id]).tobytes()
         encoder = self
@@ -84,11 +92,18 @@ class Encoder:
         """The document's ids with the end token, as machine integers."""
         if len(self.words) >= self.limit:
             self.words.clear()
+        if any(t in text for t in self.added):
+            parts = self.parts.split(text)
+            return b"".join([*(self.added[x] if k % 2 else self.between(x) for k, x in enumerate(parts)), self.end])
+        return self.between(text) + self.end
+
+    def between(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
         if "  " in text:  # blanks in a row belong to one piece
-            return array(self.code, self.plain.encode_ordinary(text)).tobytes() + self.end
+            return array(self.code, self.plain.encode_ordinary(text)).tobytes()
         first, *rest = text.split(" ")
         head = array(self.code, self.plain.encode_ordinary(first)).tobytes()
-        return b"".join([head, *map(self.words.__getitem__, rest), self.end])
+        return b"".join([head, *map(self.words.__getitem__, rest)])
 
     def ids(self, packed: bytes) -> np.ndarray:
         return np.frombuffer(packed, np.uint16 if self.code == "H" else np.uint32)

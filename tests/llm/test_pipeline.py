@@ -55,7 +55,6 @@ def test_stages(request, spark, tmp_path, frame):
     assert Counter(r["doc_id"] for r in mixed.collect()) == Counter({r["doc_id"]: r["copies"] for r in plan.collect() if r["copies"]})
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     tokens = {r["doc_id"]: (len(t.encode(r["text"] or "", add_special_tokens=False).ids) + 1, n) for r, n in Counter(mixed.collect()).items()}
     placed = Counter()
     for r in packed.collect():
@@ -66,7 +65,7 @@ def test_stages(request, spark, tmp_path, frame):
 
 def test_run_is_registered_and_returns_the_last_stage(spark):
     q = __spark_entry__.queries()
-    assert [n for n in q if n.startswith("op")] == sorted((n for n in q if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0])) and len([n for n in q if n.startswith("op")]) == 10
+    assert [n for n in q if n.startswith("op")] == sorted((n for n in q if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0])) and len([n for n in q if n.startswith("op")]) == 13
     out = q["pipeline"](spark, SF)
     assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(out.columns) and out.count() > 0
 
