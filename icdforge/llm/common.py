@@ -3,11 +3,12 @@ running totals and connected components."""
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -62,6 +63,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keeping_names(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For operators that return the columns of their documents: input columns
+    that begin like an operator's own (two underscores) are renamed on the way
+    in and get their names back on the way out."""
+
+    @functools.wraps(operator)
+    def run(docs: DataFrame, *args, **kw) -> DataFrame:
+        taken, hidden = set(docs.columns), {}
+        for c in docs.columns:
+            if c.startswith("__"):
+                name = f"input{c}"
+                while name in taken:
+                    name += "_"
+                taken.add(name)
+                hidden[c] = name
+        out = operator(docs.withColumnsRenamed(hidden), *args, **kw)
+        return out.withColumnsRenamed({v: k for k, v in hidden.items()})
+
+    return run
+
+
 def small_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A table from a list whose length the caller has bounded."""
     return spark.createDataFrame(list(rows), schema)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, ship, text_of
+from .common import keeping_names, materialize, ship, text_of
 from .texts import byte_slices, spans
 
 UNKNOWN = "und"
@@ -232,6 +232,7 @@ def identify(docs: DataFrame, spec: EcocSpec = EcocSpec()) -> DataFrame:
     return p.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"), F.col("p.ambiguous").alias("ambiguous"))
 
 
+@keeping_names
 def language_documents(docs: DataFrame, spec: EcocSpec = EcocSpec()) -> DataFrame:
     """The documents with a recognised, unambiguous language."""
     model = train(docs, ~held_out(F.col("doc_id")), spec)

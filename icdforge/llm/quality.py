@@ -13,9 +13,9 @@ grid (exactly mergeable, so reruns agree and a hot group is combined before
 its shuffle); only one row per group ever moves on.  Each scatter matrix gets a
 fixed ridge, so statistics that are constant in a group stay harmless.
 
-Groups with fewer than ``min_rows`` fitted rows are pooled: first the small
-sources of a language, then all that remain; a pool that is still smaller gives
-no verdict and its documents are kept.
+A source with fewer than ``min_rows`` fitted rows is judged by the estimate over
+all rows of its language, and where these are too few by the one over all rows of
+the table; only a table of fewer rows gives no verdict and keeps them.
 
 Defined results: null or empty text has zero words and fails the base rule;
 null language or source is a value of its own; repeated rows are separate rows;
@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANKS, WORD, materialize, text_of, value_key
+from .common import BLANKS, WORD, keeping_names, materialize, text_of, value_key
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: ridge (a standard deviation) of each transformed statistic, see ``_vector``;
@@ -121,19 +121,28 @@ def _grid_quantiles(cells: DataFrame, keys: list[str], at: dict[str, float]) ->
 
 
 def group_keys(rows: DataFrame, spec: RobustSpec) -> DataFrame:
-    """(lkey, skey) -> gkey: language and source, or the pool they fall to."""
-    n = rows.filter(~F.col("failed")).groupBy("lkey", "skey").agg(F.count("*").alias("n"))
-    n = n.withColumn("own", F.col("n") >= spec.min_rows)
-    left = F.sum(F.when(F.col("own"), 0).otherwise(F.col("n"))).over(Window.partitionBy("lkey"))
-    gkey = F.when(F.col("own"), F.concat_ws("/", F.lit("s"), F.length("lkey"), "lkey", "skey")).when(F.col("left") >= spec.min_rows, F.concat_ws("/", F.lit("l"), "lkey")).otherwise(F.lit("rest"))
-    return n.withColumn("left", left).select("lkey", "skey", gkey.alias("gkey"))
+    """(lkey, skey) -> gkey, the group that judges its rows: the source's own,
+    else all of the language, else all of the table (null if even that has too
+    few rows), and ``feeds``, the groups that its rows are fitted in."""
+    n = materialize(rows.filter(~F.col("failed")).groupBy("lkey", "skey").agg(F.count("*").alias("n")), "robust-counts")
+    whole = n.agg(F.sum("n").alias("n")).first()["n"] or 0
+    langs = n.groupBy("lkey").agg(F.sum("n").alias("all"), F.min("n").alias("least"))
+    n = n.join(langs, "lkey")
+    source = F.concat_ws("/", F.lit("s"), F.length("lkey"), "lkey", "skey")
+    lang, table = F.concat_ws("/", F.lit("l"), "lkey"), F.lit("t")
+    last = table if whole >= spec.min_rows else F.lit(None).cast("string")
+    own, wide = F.col("n") >= spec.min_rows, F.col("all") >= spec.min_rows
+    gkey = F.when(own, source).when(wide, lang).otherwise(last)
+    lacking = not n.filter(~wide).isEmpty()  # some language needs the table's estimate
+    feeds = F.array_compact(F.array(F.when(own, source), F.when(wide & (F.col("least") < spec.min_rows), lang), last if lacking else F.lit(None).cast("string")))
+    return n.select("lkey", "skey", gkey.alias("gkey"), feeds.alias("feeds"))
 
 
 def fit(rows: DataFrame, spec: RobustSpec = RobustSpec()) -> tuple[DataFrame, DataFrame]:
     """(groups, params) from ``rows``: lkey, skey, failed, x0..x4.  One row per
     language and source, and per group: centre m<i> and factor l<i><j>."""
     groups = materialize(group_keys(rows, spec), "robust-groups")
-    fitted = materialize(rows.filter(~F.col("failed")).join(groups, ["lkey", "skey"]).select("gkey", *(f"x{i}" for i in range(P))), "robust-vectors")
+    fitted = materialize(rows.filter(~F.col("failed")).join(groups, ["lkey", "skey"]).select(F.explode("feeds").alias("gkey"), *(f"x{i}" for i in range(P))), "robust-vectors")
 
     # start: medians and quartile spreads, no correlation
     step = 0.01
@@ -167,9 +176,8 @@ def judge(docs: DataFrame, spec: RobustSpec = RobustSpec(), prefix: str = "") ->
     x = {f"x{i}": v for i, v in enumerate(_vector(p))}
     rows = keyed.select(F.col("__l").alias("lkey"), F.col("__s").alias("skey"), F.col(f"{p}base_failed").alias("failed"), *(v.alias(k) for k, v in x.items()))
     groups, params = fit(rows, spec)
-    size = rows.filter(~F.col("failed")).join(groups, ["lkey", "skey"]).groupBy("gkey").agg(F.count("*").alias("n"))
-    # one row per language and source: its group's estimate, if the group is large enough
-    table = groups.join(size.filter(F.col("n") >= spec.min_rows), "gkey").join(params, "gkey")
+    # one row per language and source: its group's estimate
+    table = groups.join(params, "gkey")
     table = table.select(F.col("lkey").alias("__l"), F.col("skey").alias("__s"), *(F.col(f"m{i}").alias(f"__m{i}") for i in range(P)), *(F.col(f"l{i}{j}").alias(f"__l{i}{j}") for i, j in LOWER))
     out = keyed.join(materialize(table, "robust-table"), ["__l", "__s"], "left")
     y: list[str] = []
@@ -190,6 +198,7 @@ def robust_rules(docs: DataFrame, spec: RobustSpec = RobustSpec()) -> DataFrame:
     return judge(materialize(narrow, "quality-stats"), spec).drop("lang", "source")
 
 
+@keeping_names
 def quality_documents(docs: DataFrame, spec: RobustSpec = RobustSpec()) -> DataFrame:
     """The documents that are kept, with the columns of ``docs``."""
     table = materialize(statistics(docs, "__q_"), "quality-docs")

@@ -125,3 +125,20 @@ def test_each_statistic_can_reject_by_itself(spark):
     for i, name in enumerate(planted):
         r = got[300 + i]
         assert not r["base_failed"] and not r["kept"], (name, r)
+
+
+def test_small_sources_are_judged_by_their_language_and_the_table(spark):
+    """The same junk text goes from a source of 300, of 20, and of a language of its own."""
+    rng = np.random.default_rng(1)
+    prose = lambda k: " ".join("".join(rng.choice(list("abcdefghij"), int(rng.integers(2, 9)))) for _ in range(k))
+    junk = " ".join("".join(rng.choice(list("#$%&|<>*"), 5)) for _ in range(60)) + " " + prose(80)
+    rows = [(i, prose(int(rng.integers(80, 200))), "en", "big") for i in range(300)]
+    rows += [(1000 + i, prose(int(rng.integers(80, 200))), "en", "small") for i in range(20)]
+    rows += [(2000 + i, prose(int(rng.integers(80, 200))), "xx", "other") for i in range(5)]
+    planted = [(5000, junk, "en", "big"), (5001, junk, "en", "small"), (5002, junk, "xx", "other"), (5003, junk, None, None)]
+    got = {r["doc_id"]: r for r in quality.robust_rules(spark.createDataFrame(rows + planted, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(got[i]["distance"] > 36 and not got[i]["kept"] for i, *_ in planted)
+    assert np.mean([got[i]["kept"] for i, *_ in rows]) > .95
+    # a table of too few rows has no verdict
+    few = quality.robust_rules(spark.createDataFrame(rows[:20], "doc_id long, text string, lang string, source string")).collect()
+    assert all(r["distance"] is None and r["kept"] for r in few)
