@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_bits, hash_bucket, materialize, n_words, running_total, small_frame, text_of, value_key
+from .common import bucket_bits, hash_bucket, keeping_names, materialize, n_words, running_total, small_frame, text_of, value_key
 
 
 @dataclass(frozen=True)
@@ -127,7 +127,7 @@ def row_hash(columns: Sequence[str], spec: MixSpec) -> Column:
 
 
 def mix_plan(docs: DataFrame, spec: MixSpec = MixSpec(), identity: Sequence[str] = ("doc_id", "text")) -> tuple[DataFrame, DataFrame]:
-    """(plan, blocks).  plan: one row per document with doc_id, h (its row hash
+    """(plan, blocks).  plan: one row per document with rid (its number), doc_id, h (its row hash
     over ``identity``), source, size, source_size, target, copies and ``places``
     (array of copy and block).  blocks: the shard of every drawn block (skey,
     block, shard)."""
@@ -135,7 +135,7 @@ def mix_plan(docs: DataFrame, spec: MixSpec = MixSpec(), identity: Sequence[str]
     base = docs.select(
         "doc_id", "source", value_key("source").alias("skey"), n_words(text_of("text")).alias("size"), row_hash(identity, spec).alias("h")
     )
-    base = materialize(base, "mix-sizes")
+    base = materialize(base.withColumn("rid", F.monotonically_increasing_id()), "mix-sizes")
     per = base.groupBy("source", "skey").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()  # one row per source
     sizes = {r["source"]: int(r["size"] or 0) for r in per}
     targets = source_targets(sizes, spec)
@@ -176,7 +176,7 @@ def mix_plan(docs: DataFrame, spec: MixSpec = MixSpec(), identity: Sequence[str]
         F.when(F.col("copies") > 0, F.sequence(F.lit(0), F.col("copies") - 1)).otherwise(F.array().cast("array<int>")),
         lambda k: F.struct(k.alias("copy"), F.least((k * F.col("source_size") + F.when(k == F.col("passes"), last).otherwise(F.col("start"))).cast("long") / F.lit(block), F.col("quota") - 1).cast("long").alias("block")),
     )
-    keep = ["doc_id", "source", "skey", "size", "source_size", "target", "copies"]
+    keep = ["rid", "doc_id", "source", "skey", "size", "source_size", "target", "copies"]
     return marked.select(*keep, "h", copies.alias("places")), blocks
 
 
@@ -187,12 +187,33 @@ def mix_rows(plan: DataFrame, blocks: DataFrame) -> DataFrame:
     return taken.join(blocks, ["skey", "block"]).withColumn("shuffle_key", F.xxhash64("h", "copy", "shard"))
 
 
+def mixture(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
+    """What the drawn blocks hold of each document: doc_id, size, source_size,
+    target, taken (words) and, one entry a copy, ``shards`` and ``positions``,
+    its place in the shard's local shuffle.  Every copy comes through the block
+    that the tree has dealt to a shard and is ranked there by its shuffle key."""
+    plan, blocks = mix_plan(docs, spec)
+    plan = materialize(plan, "mix-plan")
+    rows = mix_rows(plan, blocks).select("rid", "size", "shard", "shuffle_key", "copy")
+    bits = bucket_bits(spec.max_epochs * plan.count() // spec.shards)
+    # signed keys in ascending order: the bucket follows that order
+    order = F.shiftrightunsigned(F.col("shuffle_key").bitwiseXOR(F.lit(-(1 << 63))), 64 - bits)
+    ranked = running_total(rows.withColumn("bucket", order), ["shard"], "bucket", ["shuffle_key", "rid", "copy"], F.lit(1), "position")
+    drawn = ranked.groupBy("rid").agg(F.sum("size").alias("words"), F.sort_array(F.collect_list(F.struct("shard", "position"))).alias("at"))  # at most ``max_epochs`` entries
+    out = plan.join(drawn, "rid", "left")
+    none = F.array().cast("array<bigint>")
+    return out.select(
+        "doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce(F.col("at.shard").cast("array<bigint>"), none).alias("shards"), F.coalesce(F.col("at.position").cast("array<bigint>"), none).alias("positions"))
+
+
 def local_shuffle(rows: DataFrame, shard: str = "shard", key: str = "shuffle_key") -> DataFrame:
     """The rows range-partitioned by shard and, inside it, in the order of
     their shuffle key: a shard of any size is spread over several tasks."""
     return rows.repartitionByRange(shard, key).sortWithinPartitions(shard, key)
 
 
+@keeping_names
 def mix_documents(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
     """The mixed documents: every column of ``docs``, one row per taken copy,
     shard after shard in shuffled order."""

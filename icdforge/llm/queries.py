@@ -34,8 +34,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan, _ = mixing.mix_plan(_read(spark, sf_dir, "documents"))
-    return plan.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", (F.size("places") * F.col("size")).cast("long").alias("taken"))
+    return mixing.mixture(_read(spark, sf_dir, "documents"))
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

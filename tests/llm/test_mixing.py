@@ -88,3 +88,39 @@ def test_a_very_long_document_at_the_quota_leaves_no_gap(spark, seed):
         for p in r["places"]:
             per[p["block"]] = per.get(p["block"], 0) + r["size"]
     assert max(per.values()) <= 2 * block + 4 * 200 + 200
+
+
+@pytest.mark.parametrize("frame", ["docs_small", "awkward", "no_docs"])
+def test_taken_words_come_from_the_drawn_blocks(request, frame):
+    """Shards' blocks equal a replay of the tree and the permutations; every taken word lies in one of them."""
+    docs, spec = request.getfixturevalue(frame), mixing.MixSpec()
+    plan, blocks = mixing.mix_plan(docs, spec)
+    plan, dealt = plan.collect(), blocks.collect()
+    quotas = {}
+    for r in dealt:
+        quotas[r["skey"]] = quotas.get(r["skey"], 0) + 1
+    keys = sorted({r["skey"] for r in plan})
+    counts = mixing.split_quotas(np.array([quotas.get(k, 0) for k in keys], np.int64), spec.shards, spec.seed) if keys else None
+    replay = {}
+    for i, k in enumerate(keys):
+        perm = np.random.default_rng([spec.seed, 1, i]).permutation(quotas.get(k, 0))
+        replay.update({(k, int(b)): int(s) for b, s in zip(perm, np.repeat(np.arange(spec.shards), counts[:, i]))})
+    assert {(r["skey"], r["block"]): r["shard"] for r in dealt} == replay
+    want = sorted(((r["doc_id"], r["size"], len(r["places"]) * r["size"], sorted(replay[r["skey"], p["block"]] for p in r["places"])) for r in plan), key=str)
+    got = mixing.mixture(docs, spec).collect()
+    assert sorted(((r["doc_id"], r["size"], r["taken"], list(r["shards"])) for r in got), key=str) == want
+    places = sorted((s, p) for r in got for s, p in zip(r["shards"], r["positions"]))
+    for s in {s for s, _ in places}:
+        own = [p for t, p in places if t == s]
+        assert own == list(range(len(own)))
+
+
+def test_clashing_names_are_kept(spark, docs_small):
+    from icdforge.llm import langid, quality, simhash
+
+    names = ["__p", "__row", "__id", "__h", "__key", "__shard", "__words", "__lines", "__wins", "__sorted", "__twice", "__l", "__s", "__digest", "__q_kept", "__m0", "__y0", "input__p"]
+    d = docs_small.limit(80).withColumns({n: F.lit(n) for n in names})
+    for operator in (langid.language_documents, quality.quality_documents, simhash.deduplicate, mixing.mix_documents):
+        out = operator(d)
+        assert out.columns == d.columns
+        assert {tuple(r) for r in out.select(*names).distinct().collect()} <= {tuple(names)}
