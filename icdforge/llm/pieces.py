@@ -28,7 +28,9 @@ from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
+from operator import add
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
@@ -41,13 +43,16 @@ from .texts import byte_slices, spans
 
 #: the mark that models of this library put where a word begins (fixed value)
 MARK = "▁"
+#: symbols up to which the agenda is a list in text order, and the cost there of a pair that is no piece
+LIST_AGENDA = 40
+NEVER = float("inf")
 
 
 @dataclass(frozen=True)
 class PieceSpec:
     model: str = public_tokenizers.path("piece_bpe_32k.model")
-    #: words of at most ``word_chars`` characters whose ids a worker remembers
-    cache_words: int = 200_000
+    #: words of at most ``word_chars`` characters whose ids a worker remembers (some 200 bytes each)
+    cache_words: int = 600_000
     word_chars: int = 24
     #: bytes of texts that are encoded and checked together
     run_bytes: int = 1 << 20
@@ -83,57 +88,81 @@ class Pieces:
         pieces = self
 
         class Words(dict):
+            """Ids by word; what the last generation knew is taken over when it is met again."""
+
+            earlier: dict = {}
+
             def __missing__(self, word: str) -> bytes:
-                ids = array("i", pieces.merge(word)).tobytes()
-                if len(word) <= spec.word_chars and len(self) < spec.cache_words:
+                ids = self.earlier.get(word)
+                if ids is None:
+                    ids = array("i", pieces.merge(word)).tobytes()
+                if len(word) <= spec.word_chars:
+                    if len(self) >= spec.cache_words // 2:
+                        self.earlier = dict(self)
+                        self.clear()
                     self[word] = ids
                 return ids
 
         self.words = Words()
+        self.silent = [i for i, p in enumerate(model.pieces) if p.type == kind.CONTROL]
+        #: what each id contributes to a decoded text, one behind the other
+        shares = [bytes([self.is_byte[i]]) if i in self.is_byte else self.unknown_text.encode() if i == self.unknown else t.replace(MARK, " ").encode() for i, t in enumerate(self.shown)]
+        self.share_size = np.array([len(b) for b in shares], np.int64)
+        self.share_at = np.concatenate([[0], np.cumsum(self.share_size)[:-1]])
+        self.shares = np.frombuffer(b"".join(shares), np.uint8)
 
     def merge(self, word: str) -> list[int]:
         """Ids of a stretch of text that no merge leaves."""
         cost, symbols = self.cost, list(word)
+        if len(symbols) <= LIST_AGENDA:
+            agenda = [cost.get(p, NEVER) for p in map(add, symbols, symbols[1:])]
+            while agenda and (best := min(agenda)) < NEVER:
+                i = agenda.index(best)  # the leftmost
+                symbols[i:i + 2] = [symbols[i] + symbols[i + 1]]
+                del agenda[i]
+                if i < len(agenda):
+                    agenda[i] = cost.get(symbols[i] + symbols[i + 1], NEVER)
+                if i:
+                    agenda[i - 1] = cost.get(symbols[i - 1] + symbols[i], NEVER)
+        else:
+            symbols = self.merge_long(symbols)
+        out, known = [], self.id
+        for s in symbols:
+            if s in known:
+                out.append(known[s])
+            else:
+                out.extend(map(self.byte.__getitem__, s.encode()))
+        return out
+
+    def merge_long(self, symbols: list[str]) -> list[str]:
+        """The same with a heap for the agenda and links between symbols."""
+        cost = self.cost
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        agenda = []
-        for i in range(n - 1):
-            pair = symbols[i] + symbols[i + 1]
-            if pair in cost:
-                agenda.append((cost[pair], i, i + 1, pair))
+        agenda = [(cost[p], i, p) for i, p in enumerate(map(add, symbols, symbols[1:])) if p in cost]
         heapify(agenda)
         while agenda:
-            _, i, j, pair = heappop(agenda)
-            # stale: one of the two symbols has been merged since
-            if after[i] != j or symbols[i] + symbols[j] != pair:
+            _, i, pair = heappop(agenda)
+            j = after[i]
+            # stale: the symbols here have been merged otherwise since
+            if j >= n or not symbols[i] or symbols[i] + symbols[j] != pair:
                 continue
             symbols[i], symbols[j] = pair, ""
             k = after[i] = after[j]
-            after[j] = -1
             if k < n:
                 before[k] = i
                 wider = pair + symbols[k]
                 if wider in cost:
-                    heappush(agenda, (cost[wider], i, k, wider))
+                    heappush(agenda, (cost[wider], i, wider))
             h = before[i]
             if h >= 0:
                 wider = symbols[h] + pair
                 if wider in cost:
-                    heappush(agenda, (cost[wider], h, i, wider))
-        out, known, i = [], self.id, 0
-        while i < n:
-            s = symbols[i]
-            if s in known:
-                out.append(known[s])
-            else:
-                out.extend(map(self.byte.__getitem__, s.encode()))
-            i = after[i]
-        return out
+                    heappush(agenda, (cost[wider], h, wider))
+        return [s for s in symbols if s]
 
     def encode(self, text: str) -> array:
         """Ids of ``text`` and the end id."""
-        if len(self.words) >= self.spec.cache_words:
-            self.words.clear()
         out = array("i")
         if text:
             out.frombytes(b"".join(map(self.words.__getitem__, self.parts.findall(MARK + text.replace(" ", MARK)))))
@@ -143,6 +172,22 @@ class Pieces:
     def decode(self, ids: array) -> str:
         """The text of ``ids``: pieces in a row, runs of byte pieces as UTF-8
         (each byte of no character as U+FFFD), without the leading blank."""
+        body = np.frombuffer(ids, np.int32)
+        body = body[:-1] if len(body) and body[-1] == self.end else body
+        if len(body) == 0:
+            return ""
+        if len(body) < 4 or any((body == i).any() for i in self.silent):  # control pieces part runs of bytes
+            return self.decode_runs(ids)
+        size = self.share_size[body]
+        ends = np.cumsum(size)
+        share = self.shares[np.repeat(self.share_at[body] - ends + size, size) + np.arange(ends[-1])]
+        try:
+            text = share.tobytes().decode()
+        except UnicodeDecodeError:
+            return self.decode_runs(ids)
+        return text[1:] if self.shown[body[0]].startswith(MARK) else text
+
+    def decode_runs(self, ids: array) -> str:
         out, pending, first = [], bytearray(), True
         for i in ids:
             if i in self.is_byte:
@@ -180,8 +225,9 @@ def pieces(spec: PieceSpec) -> Pieces:
 
 def check(texts: list[str], ids: list[array], decoded: list[str], own: Pieces) -> None:
     """Hold a batch against the library."""
-    for text, a, b, back, plain in zip(texts, ids, own.library.encode(texts, add_eos=True, num_threads=1), decoded, own.library.decode([i.tolist() for i in ids])):
-        if a.tolist() != b or back != plain:
+    theirs = own.library.encode(texts, add_eos=True, num_threads=1)
+    for text, a, b, back, plain in zip(texts, ids, theirs, decoded, own.library.decode(theirs)):
+        if a != array("i", b) or back != plain:
             raise ValueError(f"ids or decoded text differ from the library's for {text[:80]!r}")
 
 
@@ -207,7 +253,6 @@ def encode(docs: DataFrame, spec: PieceSpec = PieceSpec()) -> DataFrame:
                     ends.append(ends[-1] + len(x))
                 flat = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(x.tobytes() for x in ids))])
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), pa.array(decoded, pa.string())], schema=schema)
-        own.words.clear()  # workers live on and serve other stages
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")

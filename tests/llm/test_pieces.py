@@ -16,15 +16,18 @@ LIBRARY = sentencepiece.SentencePieceProcessor(model_file=SPEC.model)
 @given(st.lists(st.one_of(st.sampled_from(["the", "ing", " ", "  ", "▁", "\n", "\t", "<s>", "</s>", "<0x41>", "é", "日本", "😀", "\x00", " ", "e", "r", "st"]), st.text(max_size=4)), max_size=30).map("".join))
 def test_ids_and_decoded_texts_equal_the_librarys(text):
     own = pieces.pieces(SPEC)
-    ids = own.encode(text).tolist()
-    assert ids == LIBRARY.encode(text, add_eos=True)
-    assert own.decode(ids) == LIBRARY.decode(ids)
+    ids = own.encode(text)
+    assert ids.tolist() == LIBRARY.encode(text, add_eos=True)
+    assert own.decode(ids) == LIBRARY.decode(ids.tolist())
+    symbols = list(pieces.MARK + text.replace(" ", pieces.MARK))  # the heap, whatever the length
+    assert own.merge_long(symbols[:]) == own.merge_long(symbols[:]) and "".join(own.merge_long(symbols[:])) == "".join(symbols)
+    assert [x for s in own.merge_long(symbols) for x in ([own.id[s]] if s in own.id else map(own.byte.get, s.encode()))] == (ids.tolist()[:-1] if text else own.merge(pieces.MARK))
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 31_999) | st.integers(3, 258), max_size=40))
 def test_any_ids_decode_as_in_the_library(ids):
-    assert pieces.pieces(SPEC).decode(ids) == LIBRARY.decode(ids)
+    assert pieces.pieces(SPEC).decode(pieces.array("i", ids)) == LIBRARY.decode(ids)
 
 
 def test_long_words_are_encoded_whole():
