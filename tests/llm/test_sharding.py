@@ -26,6 +26,19 @@ def test_rows_law_and_mixture(request, frame):
     assert order == sorted(order)
 
 
+def test_sources_of_one_row_spread_over_all_shards(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(4_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 1_300, "hot").otherwise(F.col("id").cast("string")).alias("source"), F.lit("t").alias("text"))
+    rows = sharding.interleave(docs, shards=16).collect()
+    single = [r for r in rows if r["source"] != "hot"]
+    cells = Counter(int(r["fraction"] * 16) for r in single)
+    assert len(cells) == 16 and max(cells.values()) < 1.4 * len(single) / 16
+    assert all(0 <= r["fraction"] < 1 for r in rows)
+    per_shard = Counter(r["shard"] for r in rows if r["source"] == "hot")
+    assert max(per_shard.values()) < 1.2 * 1_300 / 16 and min(per_shard.values()) > 0.8 * 1_300 / 16
+
+
 def test_seed_decides(docs_small):
     a, b, c = ({(r["doc_id"], r["shard"], r["slot"]) for r in sharding.interleave(docs_small, seed=s).collect()} for s in (1, 1, 2))
     assert a == b != c
