@@ -6,7 +6,9 @@ The best pair is merged, its neighbours enter the agenda with the new symbol,
 and pairs whose symbols have changed meanwhile are skipped.  Symbols that are no
 piece become byte pieces.  No piece continues behind a word beginning and some
 characters occur in no longer piece, so texts are cut there, without changing
-any merge, and the ids of short words are remembered within bounds.
+any merge, and the ids of short words are remembered within bounds.  Words that
+are not remembered are merged together: the agenda of each is a row of a matrix
+of ranks by score (numpy), words of over 40 symbols keep theirs in a heap.
 
 Every Arrow batch is checked against the sentencepiece library, ids and decoded
 texts; a difference fails the task.
@@ -46,6 +48,10 @@ MARK = "▁"
 #: symbols up to which the agenda is a list in text order, and the cost there of a pair that is no piece
 LIST_AGENDA = 40
 NEVER = float("inf")
+#: words that are merged together, and words of a text looked up together
+ROWS, SLICE = 4_096, 200_000
+#: behind every rank: a pair that is no piece
+NO_PAIR = np.int32(2**31 - 1)
 
 
 @dataclass(frozen=True)
@@ -85,25 +91,10 @@ class Pieces:
         alone = "".join(re.escape(c) for c in map(chr, range(32)) if not any(c in p for p in self.id if len(p) > 1))
         self.parts = re.compile(f"[{alone}]|{MARK}*[^{MARK}{alone}]+|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+")
         self.spec = spec
-        pieces = self
-
-        class Words(dict):
-            """Ids by word; what the last generation knew is taken over when it is met again."""
-
-            earlier: dict = {}
-
-            def __missing__(self, word: str) -> bytes:
-                ids = self.earlier.get(word)
-                if ids is None:
-                    ids = array("i", pieces.merge(word)).tobytes()
-                if len(word) <= spec.word_chars:
-                    if len(self) >= spec.cache_words // 2:
-                        self.earlier = dict(self)
-                        self.clear()
-                    self[word] = ids
-                return ids
-
-        self.words = Words()
+        self._pairs()
+        #: ids by word: of the words met lately, and of those met before them
+        self.lately: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.silent = [i for i, p in enumerate(model.pieces) if p.type == kind.CONTROL]
         #: what each id contributes to a decoded text, one behind the other
         shares = [bytes([self.is_byte[i]]) if i in self.is_byte else self.unknown_text.encode() if i == self.unknown else t.replace(MARK, " ").encode() for i, t in enumerate(self.shown)]
@@ -161,14 +152,142 @@ class Pieces:
                     heappush(agenda, (cost[wider], h, wider))
         return [s for s in symbols if s]
 
-    def encode(self, text: str) -> array:
-        """Ids of ``text`` and the end id."""
-        out = array("i")
-        if text:
-            out.frombytes(b"".join(map(self.words.__getitem__, self.parts.findall(MARK + text.replace(" ", MARK)))))
-        out.append(self.end)
+    def _pairs(self) -> None:
+        """Numbers for symbols (characters and pieces; 0: a character of no
+        piece), ranks of pieces by cost (equal costs, equal ranks), and the
+        table of pairs: sorted keys, rank and merged symbol of each."""
+        symbols = sorted({s for p in self.cost for s in (p, *p)})
+        number = {s: k for k, s in enumerate(symbols, 1)}
+        self.n_symbols = len(symbols) + 1
+        self.of_char = np.zeros(0x110000, np.int32)
+        for s, k in number.items():
+            if len(s) == 1:
+                self.of_char[ord(s)] = k
+        self.id_of = np.array([-1, *(self.id.get(s, -1) for s in symbols)], np.int32)
+        merged = [p for p in self.cost if len(p) > 1]
+        rank = {c: k for k, c in enumerate(sorted({self.cost[p] for p in merged}))}
+        #: the only symbol of a rank; 0 where several have it
+        self.of_rank = np.full(len(rank), -1, np.int32)
+        for p in merged:
+            k = rank[self.cost[p]]
+            self.of_rank[k] = number[p] if self.of_rank[k] < 0 else 0
+        found = {}
+        for p in merged:
+            for i in range(1, len(p)):
+                left, right = number.get(p[:i]), number.get(p[i:])
+                if left and right:
+                    found[left * self.n_symbols + right] = (rank[self.cost[p]], number[p])
+        keys = sorted(found)
+        self.pair_key = np.array([*keys, np.iinfo(np.int64).max], np.int64)
+        self.pair_rank = np.array([*(found[k][0] for k in keys), NO_PAIR], np.int32)
+        self.pair_to = np.array([*(found[k][1] for k in keys), 0], np.int32)
+
+    def _find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Where each pair stands in the table (the last place: nowhere)."""
+        key = left.astype(np.int64) * self.n_symbols + right
+        at = np.searchsorted(self.pair_key, key)
+        return np.where(self.pair_key[at] == key, at, len(self.pair_key) - 1)
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return self.pair_rank[self._find(left, right)]
+
+    def merge_many(self, words: list[str]) -> list[bytes]:
+        """Ids of many words: a word's agenda is a row of a matrix, and each
+        round merges the best (leftmost among equals) pair of every row."""
+        out: list[bytes | None] = [None] * len(words)
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        low = 0
+        for width in (6, 10, 16, LIST_AGENDA):
+            which = np.flatnonzero((size > low) & (size <= width))
+            low = width
+            for k in range(0, len(which), ROWS):
+                rows = which[k:k + ROWS]
+                self._merge_rows([words[i] for i in rows], size[rows], width, rows, out)
+        return [ids if ids is not None else array("i", self.merge(w)).tobytes() for w, ids in zip(words, out)]
+
+    def _merge_rows(self, words: list[str], size: np.ndarray, width: int, rows: np.ndarray, out: list) -> None:
+        """Fill ``out[rows]``; words with a character of no piece, or with a
+        symbol left that has no id, are left to :meth:`merge`."""
+        inside = np.arange(width) < size[:, None]
+        chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        symbols = np.zeros((len(words), width + 1), np.int32)  # one more than a word has: no pair with it
+        symbols[:, :width][inside] = self.of_char[chars]
+        unknown = ((symbols[:, :width] == 0) & inside).any(1)
+        agenda = np.full((len(words), width), NO_PAIR, np.int32)
+        pairs = inside[:, 1:]
+        agenda[:, :-1][pairs] = self._rank(symbols[:, :width - 1][pairs], symbols[:, 1:width][pairs])
+        column = np.arange(width + 1)
+        final = np.zeros_like(symbols)
+        alive = np.arange(len(words))
+        while len(alive):
+            at = agenda.argmin(1)
+            best = agenda[np.arange(len(alive)), at]
+            more = best < NO_PAIR
+            if not more.all():
+                final[alive[~more]] = symbols[~more]
+                alive, symbols, agenda, at, best = alive[more], symbols[more], agenda[more], at[more], best[more]
+                if not len(alive):
+                    break
+            row = np.arange(len(alive))
+            to = self.of_rank[best]
+            several = np.flatnonzero(to == 0)
+            to[several] = self.pair_to[self._find(symbols[several, at[several]], symbols[several, at[several] + 1])]
+            # close the gap behind the merged pair
+            take = np.minimum(column + (column > at[:, None]), width)
+            symbols = symbols[row[:, None], take]
+            symbols[row, at] = to
+            agenda = agenda[row[:, None], np.minimum(take[:, :width], width - 1)]
+            agenda[:, -1] = NO_PAIR
+            agenda[row, at] = self._rank(to, symbols[row, at + 1])
+            left = np.flatnonzero(at)
+            before = at[left] - 1
+            agenda[left, before] = self._rank(symbols[left, before], to[left])
+        ids = self.id_of[final]
+        there = final > 0
+        plain = ~unknown & ~((ids < 0) & there).any(1)
+        ends = np.concatenate([[0], np.cumsum(there.sum(1))]) * 4
+        flat = ids[there].tobytes()
+        for i, ok, a, b in zip(rows.tolist(), plain.tolist(), ends.tolist(), ends[1:].tolist()):
+            if ok:
+                out[i] = flat[a:b]
+
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, remembered ones first; the others in one go."""
+        if len(self.lately) >= self.spec.cache_words // 2:
+            self.lately, self.before = {}, self.lately
+        lately, before = self.lately, self.before
+        own = dict.fromkeys(words)
+        missing = []
+        for w in own:
+            ids = lately.get(w)
+            if ids is None:
+                ids = before.get(w)
+                if ids is None:
+                    missing.append(w)
+                    continue
+                lately[w] = ids
+            own[w] = ids
+        own.update(zip(missing, self.merge_many(missing)))
+        lately.update((w, own[w]) for w in missing if len(w) <= self.spec.word_chars)
+        return list(map(own.__getitem__, words))
+
+    def encode_texts(self, texts: list[str]) -> list[array]:
+        """Ids of each text and the end id."""
+        parts = [self.parts.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        flat = [w for p in parts for w in p]
+        ids = [x for k in range(0, len(flat), SLICE) for x in self.ids_of(flat[k:k + SLICE])]
+        out, at = [], 0
+        for p in parts:
+            own = array("i")
+            own.frombytes(b"".join(ids[at:at + len(p)]))
+            own.append(self.end)
+            out.append(own)
+            at += len(p)
         return out
 
+    def encode(self, text: str) -> array:
+        return self.encode_texts([text])[0]
+
     def decode(self, ids: array) -> str:
         """The text of ``ids``: pieces in a row, runs of byte pieces as UTF-8
         (each byte of no character as U+FFFD), without the leading blank."""
@@ -245,7 +364,7 @@ def encode(docs: DataFrame, spec: PieceSpec = PieceSpec()) -> DataFrame:
                 raw = data[offsets[i]:offsets[j]].tobytes()
                 where = (offsets[i:j + 1] - offsets[i]).tolist()
                 texts = [raw[a:b].decode() for a, b in zip(where, where[1:])]
-                ids = [own.encode(t) for t in texts]
+                ids = own.encode_texts(texts)
                 decoded = [own.decode(x) for x in ids]
                 check(texts, ids, decoded, own)
                 ends = array("i", [0])

@@ -30,6 +30,14 @@ def test_any_ids_decode_as_in_the_library(ids):
     assert pieces.pieces(SPEC).decode(pieces.array("i", ids)) == LIBRARY.decode(ids)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("etaoinshr▁\t\x00é日😀􏿿<"), min_size=1, max_size=45), max_size=40))
+def test_words_merged_together_equal_words_merged_alone(words):
+    own = pieces.pieces(SPEC)
+    assert own.merge_many(words) == [pieces.array("i", own.merge(w)).tobytes() for w in words]
+    assert own.ids_of(words + words) == own.merge_many(words) * 2
+
+
 def test_long_words_are_encoded_whole():
     own = pieces.pieces(SPEC)
     for text in ("ab" * 20_000, "日本" * 5_000, " " * 3_001 + "x", "\n" * 1_000, "é" * 9_999):
