@@ -89,7 +89,7 @@ class Pieces:
         if any(MARK in p.lstrip(MARK) for p in self.id):
             raise ValueError(f"{spec.model}: a piece continues behind a word beginning")
         alone = "".join(re.escape(c) for c in map(chr, range(32)) if not any(c in p for p in self.id if len(p) > 1))
-        self.parts = re.compile(f"[{alone}]|{MARK}*[^{MARK}{alone}]+|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+")
+        self.parts = re.compile(f"{MARK}*[^{MARK}{alone}]+|[{alone}]|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+")
         self.spec = spec
         self._pairs()
         #: ids by word: of the words met lately, and of those met before them
@@ -197,7 +197,7 @@ class Pieces:
         out: list[bytes | None] = [None] * len(words)
         size = np.fromiter(map(len, words), np.int64, len(words))
         low = 0
-        for width in (6, 10, 16, LIST_AGENDA):
+        for width in (6, 8, 11, 16, LIST_AGENDA):
             which = np.flatnonzero((size > low) & (size <= width))
             low = width
             for k in range(0, len(which), ROWS):
@@ -216,7 +216,6 @@ class Pieces:
         agenda = np.full((len(words), width), NO_PAIR, np.int32)
         pairs = inside[:, 1:]
         agenda[:, :-1][pairs] = self._rank(symbols[:, :width - 1][pairs], symbols[:, 1:width][pairs])
-        column = np.arange(width + 1)
         final = np.zeros_like(symbols)
         alive = np.arange(len(words))
         while len(alive):
@@ -224,7 +223,7 @@ class Pieces:
             best = agenda[np.arange(len(alive)), at]
             more = best < NO_PAIR
             if not more.all():
-                final[alive[~more]] = symbols[~more]
+                final[alive[~more], :symbols.shape[1]] = symbols[~more]
                 alive, symbols, agenda, at, best = alive[more], symbols[more], agenda[more], at[more], best[more]
                 if not len(alive):
                     break
@@ -232,12 +231,14 @@ class Pieces:
             to = self.of_rank[best]
             several = np.flatnonzero(to == 0)
             to[several] = self.pair_to[self._find(symbols[several, at[several]], symbols[several, at[several] + 1])]
-            # close the gap behind the merged pair
-            take = np.minimum(column + (column > at[:, None]), width)
-            symbols = symbols[row[:, None], take]
+            # without the pair's second symbol every row is one shorter
             symbols[row, at] = to
-            agenda = agenda[row[:, None], np.minimum(take[:, :width], width - 1)]
-            agenda[:, -1] = NO_PAIR
+            stay = np.ones(symbols.shape, bool)
+            stay[row, at + 1] = False
+            symbols = symbols[stay].reshape(len(row), -1)
+            stay = np.ones(agenda.shape, bool)
+            stay[row, at] = False
+            agenda = agenda[stay].reshape(len(row), -1)
             agenda[row, at] = self._rank(to, symbols[row, at + 1])
             left = np.flatnonzero(at)
             before = at[left] - 1
@@ -255,20 +256,15 @@ class Pieces:
         """Ids of each word, remembered ones first; the others in one go."""
         if len(self.lately) >= self.spec.cache_words // 2:
             self.lately, self.before = {}, self.lately
-        lately, before = self.lately, self.before
-        own = dict.fromkeys(words)
-        missing = []
-        for w in own:
-            ids = lately.get(w)
-            if ids is None:
-                ids = before.get(w)
-                if ids is None:
-                    missing.append(w)
-                    continue
-                lately[w] = ids
-            own[w] = ids
-        own.update(zip(missing, self.merge_many(missing)))
-        lately.update((w, own[w]) for w in missing if len(w) <= self.spec.word_chars)
+        words_met = list(dict.fromkeys(words))
+        own = dict(zip(words_met, map(self.lately.get, words_met)))
+        new = [w for w, ids in own.items() if ids is None]
+        back = list(map(self.before.get, new))
+        unknown = [w for w, ids in zip(new, back) if ids is None]
+        made = iter(self.merge_many(unknown))
+        found = [next(made) if ids is None else ids for ids in back]
+        own.update(zip(new, found))
+        self.lately.update((w, ids) for w, ids in zip(new, found) if len(w) <= self.spec.word_chars)
         return list(map(own.__getitem__, words))
 
     def encode_texts(self, texts: list[str]) -> list[array]:
