@@ -5,7 +5,8 @@ the files, one scan per layout reads all of them in parallel, rows are
 standardised and staged as Parquet by release in the shared checkpoint folder
 (a lost executor never re-reads half a load), checked there, and published by
 the table action (:mod:`icdforge.plans.sinks`).  The staged copy is removed at
-the end.  The table is not touched when a check fails; rejected lines and all
+the end.  A file that is not Windows-1252 text (UTF-8, torn; told from the bytes
+of all its lines) is rejected whole, with its page as the reason.  The table is not touched when a check fails; rejected lines and all
 violations are kept in tables of their own, one slice per load.
 
 With ``store_dir`` the rows go to a versioned store instead of a catalog table
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from ..operators import quality, releases, tables
 from ..operators.clean import rename_columns
 from ..session import checkpoint_dir
+from ..sources.codepage import READABLE, code_pages
 from ..sources.lines import FILE_NAME, read_lines
 from ..sources.parse import RAW, REASON, split_rejects
 from . import sinks
@@ -93,6 +95,22 @@ def _scan(spark: SparkSession, paths: dict[str, str], files: list[str], manifest
     return standardize(lines, manifest_df, kind, version)
 
 
+def _other_pages(spark: SparkSession, paths: dict[str, str]) -> dict[str, str]:
+    """The manifest's files that are not Windows-1252 text, with their page; one
+    narrow pass over the lines of all files, only wrong files reach the driver."""
+    pages = code_pages(spark, sorted(set(paths.values())))
+    wrong = {r[0].lower(): r[1] for r in pages.filter(~F.col("code_page").isin(*READABLE)).select(FILE_NAME, "code_page").collect()}
+    return {name: wrong[name.lower()] for name in paths if name.lower() in wrong}
+
+
+def _reject_files(rows: DataFrame, wrong: dict[str, str]) -> DataFrame:
+    """All rows of wrong files become rejects."""
+    reason = F.lit(None).cast("string")
+    for name, page in wrong.items():
+        reason = F.when(F.col(FILE_NAME) == name, f"code_page:{page}").otherwise(reason)
+    return rows.withColumn(REASON, F.coalesce(reason, F.col(REASON))) if wrong else rows
+
+
 def _stage(rows: DataFrame) -> tuple[DataFrame, str]:
     """Write the standardised rows by release to the shared folder."""
     spark = rows.sparkSession
@@ -195,7 +213,7 @@ def _load(
     load_id = load_id or f"{schema + '.' if schema else ''}{target}-{which}"
     rejects = reject_table or sinks.qualified(f"{target}_rejects", schema)
     checks = check_table or sinks.qualified(f"{target}_checks", schema)
-    staged, path = _stage(rows)
+    staged, path = _stage(_reject_files(rows, _other_pages(spark, paths)))
     try:
         return _check_and_publish(
             spark, staged, kind=kind, spec=spec, target=target, schema=schema, action=action, field_names=field_names, code_name=code_name,

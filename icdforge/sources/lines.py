@@ -45,16 +45,12 @@ def decoded_file_name() -> Column:
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
-def read_lines(spark: SparkSession, paths: Iterable[str], header: bool) -> DataFrame:
-    """One row per line: ``value`` (decoded text) and ``CMS_File_Name``.
-
-    ``header=True`` drops the first line of *each* file.  Blank lines are
-    dropped by the reader.
-    """
+def raw_lines(spark: SparkSession, paths: Iterable[str], header: bool) -> DataFrame:
+    """One row per line, its bytes as ISO-8859-1 characters (``value``)."""
     paths = list(paths)
     if not paths:
         raise ValueError("no input paths")
-    raw = spark.read.csv(
+    return spark.read.csv(
         paths,
         schema="value STRING",
         sep="\u0001\u0002\u0003",
@@ -68,4 +64,13 @@ def read_lines(spark: SparkSession, paths: Iterable[str], header: bool) -> DataF
         nullValue="\u0000",
         mode="PERMISSIVE",
     )
+
+
+def read_lines(spark: SparkSession, paths: Iterable[str], header: bool) -> DataFrame:
+    """One row per line: ``value`` (decoded text) and ``CMS_File_Name``.
+
+    ``header=True`` drops the first line of *each* file.  Blank lines are
+    dropped by the reader.
+    """
+    raw = raw_lines(spark, paths, header)
     return raw.select(latin1_to_cp1252(F.col("value")).alias("value"), decoded_file_name().alias(FILE_NAME))
