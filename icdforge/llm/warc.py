@@ -6,8 +6,8 @@ archive file starts with a skippable frame that holds a Zstandard dictionary
 built from its own records; every record is a frame of its own, so readers can
 seek to any record.
 
-Pages are digested and joined with their digest's first page by Spark; each
-task sorts its pages and writes archives of bounded size, buffering one at a
+Pages are digested, the first page of every digest is found on rows without
+payloads, and each page meets it by its own page_id and digest; each task sorts its pages and writes archives of bounded size, buffering one at a
 time.  Files are written under a temporary name and renamed, and contents
 depend on the rows alone, so a repeated task leaves the same files.  The folder
 lies in the shared checkpoint folder unless the caller gives one, and is
@@ -139,15 +139,20 @@ def with_record_types(pages: DataFrame, spec: WarcSpec = WarcSpec()) -> DataFram
     """page_id, url, html, rid, kind and the first page of equal payloads
     (``first_id``, ``first_rid``).  The first page is told by its page_id;
     only where that page's row is repeated does its number in the scan decide,
-    so ``pages`` must be a stored table then."""
+    so ``pages`` must be a stored table then.
+
+    First pages are found and met on rows without payloads; the payloads travel
+    once, by page and digest, so the copies of a hot page are spread evenly."""
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html"), F.monotonically_increasing_id().alias("rid")).withColumn("digest", F.sha1(F.col("html").cast("binary")))
     order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "rid")
     each = rows.groupBy("digest", "page_id").agg(F.min("rid").alias("rid"), F.count("*").alias("n"))
     first = each.groupBy("digest").agg(F.min(order).alias("first"), F.min_by("n", order).alias("n_first"))
+    types = each.select("digest", "page_id").join(first, "digest").select(F.col("digest").alias("of"), F.col("page_id").alias("page"), "first", "n_first")
+    met = rows.join(types, (F.col("digest") == F.col("of")) & F.col("page_id").eqNullSafe(F.col("page")))
     leads = F.when(F.col("n_first") == 1, F.col("page_id").eqNullSafe(F.col("first.page_id"))).otherwise(F.col("rid") == F.col("first.rid"))
     alone = (F.octet_length("html") < spec.min_bytes) | leads
-    return rows.join(first, "digest").select("page_id", "url", "html", "rid", F.when(alone, "response").otherwise("revisit").alias("kind"), F.col("first.page_id").alias("first_id"), F.col("first.rid").alias("first_rid"))
+    return met.select("page_id", "url", "html", "rid", F.when(alone, "response").otherwise("revisit").alias("kind"), F.col("first.page_id").alias("first_id"), F.col("first.rid").alias("first_rid"))
 
 
 def _put(folder: str, name: str, content: bytes) -> None:
