@@ -6,8 +6,8 @@ Layout of a store's folder::
     _snapshots/0000000007.json                                  one per commit
 
 A snapshot record is small: per release the folders that hold its rows, its row
-count and its fingerprint (:func:`icdforge.operators.history.release_fingerprints`),
-and the table's columns.  Readers follow the record with the highest number, so
+count, its fingerprint (:func:`icdforge.operators.history.release_fingerprints`) and
+the file it was loaded from, and the table's columns.  Readers follow the record with the highest number, so
 they see the table before a load or after it, never between; a reader that has
 begun goes on with its own record's files.
 
@@ -25,7 +25,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +35,8 @@ from ..operators.history import release_fingerprints
 from ..operators.tables import TableSpec
 from . import sinks
 
+#: the table actions, and the replacement of the releases that a load brings
+ACTIONS = (*sinks.ACTIONS, "REFRESH")
 FINGERPRINT = ("Sum_1", "Sum_2", "Sum_3", "Sum_4")
 
 
@@ -45,11 +47,13 @@ class ConcurrentLoad(RuntimeError):
 @dataclass(frozen=True)
 class Release:
     """Rows of a release: the load folders that hold them, their number, the
-    sums of their fingerprint (decimal text)."""
+    sums of their fingerprint (decimal text), and the file they all come from
+    (name, length, time of change, digest; None if unknown or several)."""
 
     folders: list[str]
     rows: int
     fingerprint: list[str]
+    source: dict | None = None
 
     def plus(self, other: "Release") -> "Release":
         sums = [str(int(a) + int(b)) for a, b in zip(self.fingerprint, other.fingerprint)]
@@ -74,7 +78,7 @@ class Snapshot:
         return Snapshot(**{**d, "releases": {k: Release(**r) for k, r in d["releases"].items()}})
 
 
-def _key(version: int, fy: int) -> str:
+def release_key(version: int, fy: int) -> str:
     return f"{int(version)}/{int(fy)}"
 
 
@@ -144,16 +148,20 @@ class SnapshotStore:
     # -- publishing --------------------------------------------------------
     def check_action(self, action: str, base: Snapshot | None) -> str:
         action = str(action).upper()
-        if action not in sinks.ACTIONS:
-            raise ValueError(f"unknown table action {action!r}; use one of {sinks.ACTIONS}")
-        if base is None and action not in ("DROP_CREATE", "APPEND"):
+        if action not in ACTIONS:
+            raise ValueError(f"unknown table action {action!r}; use one of {ACTIONS}")
+        if base is None and action not in ("DROP_CREATE", "APPEND", "REFRESH"):
             raise ValueError(f"{self.root} must hold a table for action {action}")
         return action
 
-    def kept(self, action: str, base: Snapshot | None) -> dict[str, Release]:
-        """The releases of ``base`` that stay under an action."""
+    def kept(self, action: str, base: Snapshot | None, loaded=()) -> dict[str, Release]:
+        """The releases of ``base`` that stay under an action; ``loaded``: the
+        (version, fiscal year, ...) of the releases that a refresh replaces."""
         if base is None or action in ("DROP_CREATE", "TRUNCATE"):
             return {}
+        if action == "REFRESH":
+            replaced = {release_key(*r[:2]) for r in loaded}
+            return {k: r for k, r in base.releases.items() if k not in replaced}
         gone = {"DELETE_ICD9": "9", "DELETE_ICD10": "10"}.get(action)
         return {k: r for k, r in base.releases.items() if k.split("/")[0] != gone}
 
@@ -165,15 +173,19 @@ class SnapshotStore:
         dealt.write.option("maxRecordsPerFile", sinks.MAX_RECORDS_PER_FILE).partitionBy(*parts).parquet(f"{self.root}/{folder}")
         back = self.spark.read.schema(rows.schema).parquet(f"{self.root}/{folder}").withColumnsRenamed(dict(zip(parts, ("ICD_Version", "CMS_Fiscal_Year"))))
         own = release_fingerprints(back, [c for c in back.columns if c not in ("ICD_Version", "CMS_Fiscal_Year")]).collect()  # one row per release
-        return rows.schema, {_key(r["ICD_Version"], r["CMS_Fiscal_Year"]): Release([folder], r["n_rows"], [str(r[c]) for c in FINGERPRINT]) for r in own}
+        return rows.schema, {release_key(r["ICD_Version"], r["CMS_Fiscal_Year"]): Release([folder], r["n_rows"], [str(r[c]) for c in FINGERPRINT]) for r in own}
 
-    def publish(self, df: DataFrame, spec: TableSpec, action: str, base: Snapshot | None = None, load_id: str = "", sort_col: str | None = None) -> Snapshot:
+    def publish(self, df: DataFrame, spec: TableSpec, action: str, base: Snapshot | None = None, load_id: str = "", sort_col: str | None = None,
+                sources: dict[str, dict] | None = None) -> Snapshot:
         """Bring checked rows in by one of the table actions, as one commit on
         top of ``base`` (the snapshot that the checks have read; None for an
-        empty store)."""
+        empty store).  ``sources``: the file of every release that was loaded,
+        by ``release_key``; a refresh replaces these releases and those that
+        have rows."""
         action = self.check_action(action, base)
         schema, new = self._write(df, spec, sort_col)
-        releases = self.kept(action, base)
+        new = {k: replace(r, source=(sources or {}).get(k)) for k, r in new.items()}
+        releases = self.kept(action, base, [k.split("/") for k in {*new, *(sources or ())}])
         if releases and [(f.name, f.dataType) for f in T.StructType.fromJson(base.schema)] != [(f.name, f.dataType) for f in schema]:
             raise ValueError(f"the columns of {self.root} differ from the load's; publish with DROP_CREATE")
         for key, release in new.items():

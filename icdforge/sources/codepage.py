@@ -25,6 +25,10 @@ A Windows-1252 text with a pair like 0xC3 0xA9 on purpose counts as ``utf-8`` or
 ``mixed``; code descriptions have none.  A UTF-8 mark at a file's beginning is
 dropped by the line reader, here and in loads, and does not count.  A file
 without a line has no row.
+
+The same pass gives each file's ``digest``: the number of its lines and three
+sums of line hashes with different seeds, combined map-side like the counts.  It
+tells files by their lines, whatever their order; blank lines do not count.
 """
 
 from __future__ import annotations
@@ -53,6 +57,9 @@ UTF8_SEQUENCE = "|".join((
 UNDEFINED = r"[\x81\x8D\x8F\x90\x9D]"
 REPLACED = r"\xEF\xBF\xBD"
 # -----------------------------------------------------------------------------
+#: seeds of the digest's sums, and the digest of a file without a line
+SEEDS = (11, 12, 13)
+EMPTY = ":".join("0" * (1 + len(SEEDS)))
 HIGH = r"[\x80-\xFF]"
 CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 
@@ -84,9 +91,12 @@ def page_of_counts() -> Column:
 
 
 def code_pages(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """One row per file: name, n_lines, the counts and ``code_page``.  Blank
-    lines are not counted; a header line is a line."""
+    """One row per file: name, n_lines, the counts, ``code_page`` and ``digest``.
+    Blank lines are not counted; a header line is a line."""
     lines = raw_lines(spark, paths, header=False).select(decoded_file_name().alias(FILE_NAME), "value")
-    per_line = lines.select(FILE_NAME, *(c.alias(n) for n, c in line_counts(F.col("value")).items()))
-    sums = [F.sum(c).alias(c) for c in per_line.columns if c != FILE_NAME]
-    return per_line.groupBy(FILE_NAME).agg(F.count("*").alias("n_lines"), *sums).withColumn("code_page", page_of_counts())
+    per_line = lines.select(FILE_NAME, *(c.alias(n) for n, c in line_counts(F.col("value")).items()), *(F.xxhash64(F.lit(s), "value").alias(f"h{s}") for s in SEEDS))
+    counts = [c for c in per_line.columns if c.startswith("n_")]
+    sums = [F.sum(c).alias(c) for c in counts] + [F.sum(F.col(f"h{s}").cast("decimal(20,0)")).cast("string").alias(f"h{s}") for s in SEEDS]
+    per_file = per_line.groupBy(FILE_NAME).agg(F.count("*").alias("n_lines"), *sums)
+    digest = F.concat_ws(":", F.col("n_lines").cast("string"), *(f"h{s}" for s in SEEDS))
+    return per_file.select(FILE_NAME, "n_lines", *counts, page_of_counts().alias("code_page"), digest.alias("digest"))
