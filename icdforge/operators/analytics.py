@@ -41,9 +41,14 @@ EDIT_KEYS = [FY, VER, "ICD_Code_Type", "ICD_Code"]
 
 
 def edit_join(codes: DataFrame, edits: DataFrame, how: str = "left") -> DataFrame:
-    """Attach MCE edits to codes of the same release (B3)."""
-    e = edits.select(*EDIT_KEYS, "MCE_Section", "MCE_Subsection", "MCE_Edit_Type")
-    return codes.join(e, on=EDIT_KEYS, how=how)
+    """Attach MCE edits to codes of the same release (B3).  Two keyed tables
+    meet by their stored keys (case and trailing blanks do not count)."""
+    what = ["MCE_Section", "MCE_Subsection", "MCE_Edit_Type"]
+    stored = [f"{quality.KEY_PREFIX}{k}" for k in ("ICD_Code_Type", "ICD_Code")]
+    if all(c in df.columns for df in (codes, edits) for c in stored):
+        plain = [c for c in codes.columns if c not in stored]
+        return codes.join(edits.select(FY, VER, *stored, *what), on=[FY, VER, *stored], how=how).select(*EDIT_KEYS, *(c for c in plain if c not in EDIT_KEYS), *what)
+    return codes.join(edits.select(*EDIT_KEYS, *what), on=EDIT_KEYS, how=how)
 
 
 def wide_dimension(codes: DataFrame, edits: DataFrame) -> DataFrame:

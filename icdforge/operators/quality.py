@@ -14,11 +14,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: columns of keyed tables (``plans/keyed.py``) that hold a text key as compared
+KEY_PREFIX = "Key_"
+
+
+def is_text(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType.simpleString().startswith(("string", "varchar", "char"))
+
+
 def key_value(df: DataFrame, column: str) -> F.Column:
     """A key column as the tables compare it: text without regard to case and
-    trailing blanks (their collation is case-insensitive)."""
-    text = df.schema[column].dataType.simpleString().startswith(("string", "varchar", "char"))
-    return F.upper(F.rtrim(F.col(column))).alias(column) if text else F.col(column)
+    trailing blanks (their collation is case-insensitive); read from keyed tables."""
+    if f"{KEY_PREFIX}{column}" in df.columns:
+        return F.col(f"{KEY_PREFIX}{column}").alias(column)
+    return F.upper(F.rtrim(F.col(column))).alias(column) if is_text(df, column) else F.col(column)
+
+
+def key_columns(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The columns that hold ``keys`` as compared in a keyed table."""
+    return [f"{KEY_PREFIX}{k}" if f"{KEY_PREFIX}{k}" in df.columns else k for k in keys]
 
 
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:

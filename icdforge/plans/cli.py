@@ -39,6 +39,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--check-table")
     p.add_argument("--load-id", help="slice of the reject and check tables that this load replaces")
     p.add_argument("--max-rejects", type=int, default=0)
+    p.add_argument("--store-dir", help="versioned store to publish into instead of a catalog table (action REFRESH: changed files only)")
     p.add_argument(
         "--field-name", action="append", default=[], metavar="OLD=NEW",
         help="output column name (diagnosis and procedure only), repeatable",
@@ -52,7 +53,7 @@ def main(argv: list[str] | None = None) -> int:
     apply_recommended_conf(spark)
     kw = dict(
         table=a.table, schema=a.schema, action=a.action, which=a.which,
-        reject_table=a.reject_table, max_rejects=a.max_rejects, check_table=a.check_table, load_id=a.load_id,
+        reject_table=a.reject_table, max_rejects=a.max_rejects, check_table=a.check_table, load_id=a.load_id, store_dir=a.store_dir,
     )
     if a.field_name:
         if a.kind not in ("diagnosis", "procedure"):
