@@ -6,9 +6,12 @@ it by Mahalanobis distance are rejected, besides those a base rule rejects.
 
 Statistics cover whole texts and stay in one row: word arrays, window hashes
 and their duplicates are array expressions, nothing is exploded or shuffled.
-The estimate starts from coordinate-wise medians and quartiles and takes
+The estimate takes three deterministic starts around the coordinate-wise medians
+with the quartiles' spreads: no correlation, the correlation of squashed (tanh)
+standardised values, and that of their directions.  Each takes ``start_steps``
 concentration steps: distances under the current estimate, the ``h`` share of
-nearest rows, their mean and covariance.  Quantiles come from counts on a fixed
+nearest rows, their mean and covariance.  The start with the smallest determinant
+goes on until the determinants of all groups stay, at most ``steps`` times.  Quantiles come from counts on a fixed
 grid (exactly mergeable, so reruns agree and a hot group is combined before
 its shuffle); only one row per group ever moves on.  Each scatter matrix gets a
 fixed ridge, so statistics that are constant in a group stay harmless.
@@ -17,6 +20,9 @@ A source with fewer than ``min_rows`` fitted rows is judged by the estimate over
 all rows of its language, and where these are too few by the one over all rows of
 the table; only a table of fewer rows gives no verdict and keeps them.
 
+A dense cluster of alike outliers that makes up about a fifth of a group or more
+may hold the estimate; spread-out outliers are told up to the share 1 - ``h``.
+
 Defined results: null or empty text has zero words and fails the base rule;
 null language or source is a value of its own; repeated rows are separate rows;
 an empty table gives an empty result; other columns are not read.
@@ -44,7 +50,11 @@ class RobustSpec:
     h: float = 0.75
     #: makes that share's covariance consistent for normal data in 5 dimensions
     consistency: float = 1.41
-    steps: int = 3
+    #: concentration steps of each start, and at most of the chosen one
+    start_steps: int = 2
+    steps: int = 12
+    #: change of half the log determinant below which a group has settled
+    settled: float = 1e-3
     min_rows: int = 60
     #: squared distance beyond which a row is rejected (chi-square, 5 degrees, about 1 - 1e-6)
     cutoff: float = 36.0
@@ -91,14 +101,19 @@ P = len(RIDGE)
 LOWER = [(i, j) for i in range(P) for j in range(i + 1)]
 
 
-def _factor(params: DataFrame) -> DataFrame:
-    """Adds the lower Cholesky factor l<i><j> of the ridged matrix c<i><j>."""
+def _factor(params: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys``, the centre m<i> and the lower Cholesky factor l<i><j> of the ridged matrix c<i><j>."""
     for i, j in LOWER:
         v = F.col(f"c{i}{j}")
         for k in range(j):
             v = v - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
         params = params.withColumn(f"l{i}{j}", F.sqrt(F.greatest(v, F.lit(RIDGE[i] ** 2 / 4))) if i == j else v / F.col(f"l{j}{j}"))
-    return params.select("gkey", *(f"m{i}" for i in range(P)), *(f"l{i}{j}" for i, j in LOWER))
+    return params.select(*keys, *(f"m{i}" for i in range(P)), *(f"l{i}{j}" for i, j in LOWER))
+
+
+def _log_det() -> Column:
+    """Half the log of the determinant, from the factor."""
+    return sum((F.log(f"l{i}{i}") for i in range(P)), F.lit(0.0))
 
 
 def _distance(rows: DataFrame) -> DataFrame:
@@ -144,26 +159,55 @@ def fit(rows: DataFrame, spec: RobustSpec = RobustSpec()) -> tuple[DataFrame, Da
     groups = materialize(group_keys(rows, spec), "robust-groups")
     fitted = materialize(rows.filter(~F.col("failed")).join(groups, ["lkey", "skey"]).select(F.explode("feeds").alias("gkey"), *(f"x{i}" for i in range(P))), "robust-vectors")
 
-    # start: medians and quartile spreads, no correlation
+    params = materialize(_starts(fitted), "robust-start")
+    for k in range(spec.start_steps):
+        params = _concentrate(fitted, params, ["gkey", "start"], spec, f"start{k}")
+    ends = F.struct(*(f"m{i}" for i in range(P)), *(f"l{i}{j}" for i, j in LOWER))
+    params = materialize(params.groupBy("gkey").agg(F.min_by(ends, F.struct(_log_det(), "start")).alias("p")).select("gkey", "p.*"), "robust-best")
+    for k in range(spec.steps):
+        nxt = _concentrate(fitted, params, ["gkey"], spec, f"step{k}")
+        was, now = params.select("gkey", _log_det().alias("was")), nxt.select("gkey", _log_det().alias("now"))
+        change = was.join(now, "gkey").agg(F.max(F.abs(F.col("was") - F.col("now")))).first()[0]
+        params = nxt
+        if (change or 0.0) <= spec.settled:
+            break
+    return groups, params
+
+
+def _starts(fitted: DataFrame) -> DataFrame:
+    """(gkey, start, m<i>, l<i><j>): the three starts of every group."""
     step = 0.01
     cells = fitted.select("gkey", F.explode(F.array(*(F.struct(F.lit(i).alias("dim"), F.round(F.col(f"x{i}") / step).cast("long").alias("cell")) for i in range(P)))).alias("e")).select("gkey", "e.dim", "e.cell")
     q = _grid_quantiles(cells, ["gkey", "dim"], {"lo": 0.25, "mid": 0.5, "hi": 0.75})
     wide = q.groupBy("gkey").agg(*(F.max(F.when(F.col("dim") == i, F.col(c))).alias(f"{c}{i}") for i in range(P) for c in ("lo", "mid", "hi")))
-    start = wide.select("gkey", *((F.col(f"mid{i}") * step).alias(f"m{i}") for i in range(P)), *(
-        (F.pow((F.col(f"hi{i}") - F.col(f"lo{i}")) * (step / 1.349), 2) + RIDGE[i] ** 2 if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in LOWER))
-    params = materialize(_factor(start), "robust-start")
-
-    for k in range(spec.steps):
-        far = _distance(fitted.join(params, "gkey")).withColumn("cell", F.floor(F.log2(F.col("d2") + 1e-6) * 64))
-        near = materialize(_grid_quantiles(far.select("gkey", "cell"), ["gkey"], {"most": spec.h}), f"robust-near{k}")
-        inside = far.join(near, "gkey").filter("cell <= most")
-        moments = inside.groupBy("gkey").agg(
-            F.count("*").alias("n"), *(F.avg(f"x{i}").alias(f"m{i}") for i in range(P)),
-            *(F.covar_pop(f"x{i}", f"x{j}").alias(f"v{i}{j}") for i, j in LOWER))
-        nxt = moments.select("gkey", *(f"m{i}" for i in range(P)), *(
-            (F.col(f"v{i}{j}") * spec.consistency + (RIDGE[i] ** 2 if i == j else 0.0)).alias(f"c{i}{j}") for i, j in LOWER))
-        params = materialize(_factor(nxt), f"robust-step{k}")
-    return groups, params
+    spread = lambda i: F.sqrt(F.pow((F.col(f"hi{i}") - F.col(f"lo{i}")) * (step / 1.349), 2) + RIDGE[i] ** 2)
+    middle = materialize(wide.select("gkey", *((F.col(f"mid{i}") * step).alias(f"m{i}") for i in range(P)), *(spread(i).alias(f"s{i}") for i in range(P))), "robust-middle")
+
+    z = fitted.join(middle, "gkey").withColumns({f"z{i}": (F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"s{i}") for i in range(P)})
+    z = z.withColumn("norm", F.greatest(F.sqrt(sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(P)), F.lit(0.0))), F.lit(1e-9)))
+    z = z.select("gkey", *(F.tanh(f"z{i}").alias(f"t{i}") for i in range(P)), *((F.col(f"z{i}") / F.col("norm")).alias(f"u{i}") for i in range(P)))
+    both = z.groupBy("gkey").agg(*(F.covar_pop(f"t{i}", f"t{j}").alias(f"t{i}{j}") for i, j in LOWER), *(F.avg(F.col(f"u{i}") * F.col(f"u{j}")).alias(f"u{i}{j}") for i, j in LOWER))
+
+    def scatter(i: int, j: int, of: str | None) -> Column:
+        if i == j:
+            return F.col(f"s{i}") * F.col(f"s{j}")
+        size = F.sqrt(F.col(f"{of}{i}{i}") * F.col(f"{of}{j}{j}")) if of else F.lit(0.0)
+        return F.when(size > 1e-12, F.col(f"{of}{i}{j}") / size * F.col(f"s{i}") * F.col(f"s{j}")).otherwise(0.0) if of else F.lit(0.0)
+
+    each = [F.struct(F.lit(k).alias("start"), *(scatter(i, j, of).alias(f"c{i}{j}") for i, j in LOWER)) for k, of in enumerate((None, "t", "u"))]
+    starts = middle.join(both, "gkey").select("gkey", *(f"m{i}" for i in range(P)), F.explode(F.array(*each)).alias("e")).select("*", "e.*")
+    return _factor(starts, ["gkey", "start"])
+
+
+def _concentrate(fitted: DataFrame, params: DataFrame, keys: list[str], spec: RobustSpec, name: str) -> DataFrame:
+    """One concentration step of every estimate in ``params``."""
+    far = _distance(fitted.join(params, "gkey")).withColumn("cell", F.floor(F.log2(F.col("d2") + 1e-6) * 64))
+    near = materialize(_grid_quantiles(far.select(*keys, "cell"), keys, {"most": spec.h}), f"robust-near-{name}")
+    inside = far.join(near, keys).filter("cell <= most")
+    moments = inside.groupBy(*keys).agg(*(F.avg(f"x{i}").alias(f"m{i}") for i in range(P)), *(F.covar_pop(f"x{i}", f"x{j}").alias(f"v{i}{j}") for i, j in LOWER))
+    nxt = moments.select(*keys, *(f"m{i}" for i in range(P)), *(
+        (F.col(f"v{i}{j}") * spec.consistency + (RIDGE[i] ** 2 if i == j else 0.0)).alias(f"c{i}{j}") for i, j in LOWER))
+    return materialize(_factor(nxt, keys), f"robust-{name}")
 
 
 def judge(docs: DataFrame, spec: RobustSpec = RobustSpec(), prefix: str = "") -> DataFrame:
