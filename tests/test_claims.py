@@ -106,3 +106,24 @@ def test_hot_code_and_large_tables(spark, monkeypatch):
         assert ("_salt" in fired._jdf.queryExecution().toString()) is (limit == 0)
     want = sorted((c, code, "Female_Only") for c, s, _, code, *_ in rows if code == "HOT") + [(c, code, "Principal_Unacceptable") for c, s, _, code, *_ in rows if code == "C2" and s == 0]
     assert out[0] == out[1] == (sorted(want), sum(r[3] not in ("HOT", "C2") for r in rows))
+
+
+def test_many_lines_are_grouped_in_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    from icdforge.plans import catalog
+
+    lines = spark.range(800).select(
+        F.expr("id div 2").alias("l_orderkey"), F.expr("if(id % 8 = 1, id - 1, id) * 97 % 5000").alias("l_partkey"), F.expr("cast(id % 2 as int)").alias("l_linenumber")
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = spark.range(400).select(F.col("id").alias("o_orderkey"), F.lit(dt.datetime(2000, 1, 5)).alias("o_orderdate"), F.col("id").alias("o_custkey"))
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+
+    def found():
+        return sorted(map(tuple, catalog.q_dup_pdx(spark, str(tmp_path)).collect()))
+
+    expected = found()
+    assert len(expected) == 100 and {n for _, _, n in expected} == {2}
+    monkeypatch.setattr(claims, "LINES_PER_TASK", 20)
+    assert found() == expected
+    tasks = catalog.claim_codes(spark, str(tmp_path), grouped=True).groupBy(F.spark_partition_id().alias("task")).agg(F.countDistinct("claim_id").alias("n")).collect()
+    assert len(tasks) > 30 and max(r.n for r in tasks) < 40  # 400 claims; 8 tasks at most before
