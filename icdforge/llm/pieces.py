@@ -6,9 +6,10 @@ The best pair is merged, its neighbours enter the agenda with the new symbol,
 and pairs whose symbols have changed meanwhile are skipped.  Symbols that are no
 piece become byte pieces.  No piece continues behind a word beginning and some
 characters occur in no longer piece, so texts are cut there, without changing
-any merge, and the ids of short words are remembered within bounds.  Words that
-are not remembered are merged together: the agenda of each is a row of a matrix
-of ranks by score (numpy), words of over 40 symbols keep theirs in a heap.
+any merge, and the ids of short words are remembered within bounds.  Each
+different word of a run is looked up once.  Words that are not remembered are
+merged together: the agenda of each is a row of a matrix of ranks by score
+(numpy), words of over 40 symbols keep theirs in a heap.
 
 Every Arrow batch is checked against the sentencepiece library, ids and decoded
 texts; a difference fails the task.
@@ -25,7 +26,6 @@ than doc_id and text are not read.
 
 from __future__ import annotations
 
-import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -88,8 +88,9 @@ class Pieces:
         self.unknown_text = train.unk_surface
         if any(MARK in p.lstrip(MARK) for p in self.id):
             raise ValueError(f"{spec.model}: a piece continues behind a word beginning")
-        alone = "".join(re.escape(c) for c in map(chr, range(32)) if not any(c in p for p in self.id if len(p) > 1))
-        self.parts = re.compile(f"{MARK}*[^{MARK}{alone}]+|[{alone}]|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+")
+        alone = [b for b in range(32) if not any(chr(b) in p for p in self.id if len(p) > 1)]
+        #: bytes that are a word by themselves
+        self.alone = np.isin(np.arange(256), alone)
         self.spec = spec
         self._pairs()
         #: ids by word: of the words met lately, and of those met before them
@@ -253,32 +254,56 @@ class Pieces:
                 out[i] = flat[a:b]
 
     def ids_of(self, words: list[str]) -> list[bytes]:
-        """Ids of each word, remembered ones first; the others in one go."""
+        """Ids of each word (blanks count as word-beginning marks), remembered
+        ones first; the others in one go."""
         if len(self.lately) >= self.spec.cache_words // 2:
             self.lately, self.before = {}, self.lately
-        words_met = list(dict.fromkeys(words))
-        own = dict(zip(words_met, map(self.lately.get, words_met)))
-        new = [w for w, ids in own.items() if ids is None]
-        back = list(map(self.before.get, new))
-        unknown = [w for w, ids in zip(new, back) if ids is None]
-        made = iter(self.merge_many(unknown))
-        found = [next(made) if ids is None else ids for ids in back]
-        own.update(zip(new, found))
-        self.lately.update((w, ids) for w, ids in zip(new, found) if len(w) <= self.spec.word_chars)
-        return list(map(own.__getitem__, words))
+        out = list(map(self.lately.get, words))
+        new = [i for i, ids in enumerate(out) if ids is None]
+        met = [words[i] for i in new]
+        found = list(map(self.before.get, met))
+        made = iter(self.merge_many([w.replace(" ", MARK) for w, ids in zip(met, found) if ids is None]))
+        found = [next(made) if ids is None else ids for ids in found]
+        for i, ids in zip(new, found):
+            out[i] = ids
+        self.lately.update((w, ids) for w, ids in zip(met, found) if len(w) <= self.spec.word_chars)
+        return out
+
+    def cut(self, data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Where words begin in the UTF-8 bytes of texts (blanks for marks) that
+        begin at ``begins``: there, at the first of blanks in a row, and at and
+        behind characters that stand alone."""
+        blank, alone = data == 32, self.alone[data]
+        first = alone.copy()
+        first[1:] |= alone[:-1] | (blank[1:] & ~blank[:-1])
+        first[begins] = True
+        return np.flatnonzero(first)
 
     def encode_texts(self, texts: list[str]) -> list[array]:
         """Ids of each text and the end id."""
-        parts = [self.parts.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        flat = [w for p in parts for w in p]
-        ids = [x for k in range(0, len(flat), SLICE) for x in self.ids_of(flat[k:k + SLICE])]
-        out, at = [], 0
-        for p in parts:
+        raw = [b" " + t.replace(MARK, " ").encode() if t else b"" for t in texts]
+        ends = np.cumsum([0, *map(len, raw)])
+        data = b"".join(raw)
+        at = self.cut(np.frombuffer(data, np.uint8), ends[:-1][np.diff(ends) > 0])
+        words = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(np.append(at, len(data))), pa.py_buffer(data)])
+        ids, sizes = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+        for k in range(0, len(at), SLICE):
+            # each different word is looked up once
+            coded = words.slice(k, SLICE).dictionary_encode()
+            found = self.ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+            which = coded.indices.to_numpy()
+            size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            ids.append(gather(np.frombuffer(b"".join(found), np.int32), np.cumsum(size) - size, size, which))
+            sizes.append(size[which])
+        flat = np.concatenate(ids)
+        # ids before each text: those of the words that begin before it
+        upto = np.cumsum(np.concatenate(sizes))[np.searchsorted(at, ends)].tolist()
+        out = []
+        for i, j in zip(upto, upto[1:]):
             own = array("i")
-            own.frombytes(b"".join(ids[at:at + len(p)]))
+            own.frombytes(flat[i:j].tobytes())
             own.append(self.end)
             out.append(own)
-            at += len(p)
         return out
 
     def encode(self, text: str) -> array:
@@ -293,9 +318,7 @@ class Pieces:
             return ""
         if len(body) < 4 or any((body == i).any() for i in self.silent):  # control pieces part runs of bytes
             return self.decode_runs(ids)
-        size = self.share_size[body]
-        ends = np.cumsum(size)
-        share = self.shares[np.repeat(self.share_at[body] - ends + size, size) + np.arange(ends[-1])]
+        share = gather(self.shares, self.share_at, self.share_size, body)
         try:
             text = share.tobytes().decode()
         except UnicodeDecodeError:
@@ -321,6 +344,13 @@ class Pieces:
         return "".join(out).replace(MARK, " ")
 
 
+def gather(flat: np.ndarray, at: np.ndarray, size: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The stretches ``flat[at:at + size]`` numbered ``which``, one behind the other."""
+    size = size[which]
+    ends = np.cumsum(size)
+    return flat[np.repeat(at[which] - ends + size, size) + np.arange(ends[-1])]
+
+
 def utf8(data: bytes) -> str:
     try:
         return data.decode()

@@ -72,3 +72,16 @@ def test_query_digests(spark):
         r = rows[d["doc_id"]]
         assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (
             len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(LIBRARY.decode(ids).encode()).hexdigest())
+
+
+def test_each_different_word_is_looked_up_once(monkeypatch):
+    own = pieces.Pieces(SPEC)
+    met, ids_of = [], own.ids_of
+    monkeypatch.setattr(own, "ids_of", lambda words: met.append(list(words)) or ids_of(words))
+    texts = ["the cat and the cat\nand  the", "", "the cat", "\n\n \n", "▁the  ▁cat\x00the " * 3]
+    expected = [LIBRARY.encode(t, add_eos=True) for t in texts]
+    assert [ids.tolist() for ids in own.encode_texts(texts)] == expected
+    assert len(met) == 1 and len(set(met[0])) == len(met[0])
+    assert {" the", " cat", " and", "\n", "and", "  the"} <= set(met[0])
+    monkeypatch.setattr(pieces, "SLICE", 3)  # texts and words across slices
+    assert [ids.tolist() for ids in own.encode_texts(texts)] == expected
